@@ -34,6 +34,8 @@ from flagstar.operators.star import (
     calendar_attributes,
     calendar_days,
     calendar_dim,
+    calendar_from_bounds,
+    date_bound_metrics,
     date_bounds,
     fact_build,
     project_dim,

@@ -108,8 +108,27 @@ def calendar_dim(
 
     With no dates at all only the unknown member is returned.
     """
-    spark = df.sparkSession
     lo, hi = date_bounds(df, ts_col)
+    return calendar_from_bounds(df.sparkSession, lo, hi, unknown_id, unknown_label)
+
+
+def date_bound_metrics(ts_col: str) -> dict[str, Column]:
+    """Aggregates for :func:`calendar_from_bounds`, to observe during a write."""
+    d = F.to_date(F.col(ts_col))
+    return {"date_lo": F.min(d), "date_hi": F.max(d)}
+
+
+def calendar_from_bounds(
+    spark: SparkSession,
+    lo: _dt.date | None,
+    hi: _dt.date | None,
+    unknown_id: int = UNKNOWN_DATE_ID,
+    unknown_label: str = UNKNOWN_DATE_LABEL,
+) -> DataFrame:
+    """Date dimension for ``[lo, hi]`` plus the unknown member.
+
+    Its size is exactly ``hi - lo + 2`` rows, known before any job runs.
+    """
     member = unknown_member(spark, unknown_id, unknown_label)
     if lo is None or hi is None:
         return member

@@ -31,12 +31,20 @@ from flagstar.operators.quality import (
     quality_summary,
     refine,
 )
-from flagstar.operators.star import DimRef, calendar_dim, fact_build, project_dim, star_view
+from flagstar.operators.star import (
+    DimRef,
+    calendar_dim,
+    calendar_from_bounds,
+    date_bound_metrics,
+    fact_build,
+    project_dim,
+    star_view,
+)
 from flagstar.plans import hospital as H
 from flagstar.plans.medallion import Domain, run_layers
 from flagstar.session import scratch_dir
 from flagstar.sources.landing import read_latest, table_counts, write_partition
-from flagstar.sources.layers import read_source, read_table
+from flagstar.sources.layers import materialize, read_source, read_table
 
 # ---------------------------------------------------------------------------
 # Fixed parameters of the driver-table queries (the oracle SQL uses the same).
@@ -51,6 +59,10 @@ EMAIL_IN_TEXT_PATTERN = r"[^@\s]+@[^@\s]+\.[^@\s]+"
 EXCLUDED_SEGMENT = "MACHINERY"
 SELECTED_SPECIALTIES = ("NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8", "NATION_13")
 TOP_K = 10
+# Total orders that decide which duplicate survives (all non-key columns).
+APPT_TIEBREAK = ("fecha_hora", "tiempo_espera_minutos", "id_paciente", "duracion_minutos", "costo", "estado")
+LINEITEM_TIEBREAK = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                     "l_returnflag", "l_linestatus", "l_shipdate")
 # ---------------------------------------------------------------------------
 
 FACT_COLUMNS = (
@@ -90,7 +102,7 @@ def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def appointment_spec() -> TableSpec:
     return TableSpec(
         "citas", APPT_KEY, H.appointment_rules(), H.appointment_repairs(),
-        order_by=("fecha_hora", "tiempo_espera_minutos"),
+        order_by=APPT_TIEBREAK,
     )
 
 
@@ -125,15 +137,31 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_build(silver_appointments(spark, sf_dir), "fecha_hora", FACT_COLUMNS)
 
 
+def silver_and_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Silver appointments written once to shared scratch storage, and the
+    calendar for their date range.
+
+    The fact and the calendar both derive from Silver; writing it once (the
+    date bounds ride on that write as an Observation) means the join and the
+    dedup shuffle run once instead of once per consumer.
+    """
+    silver, metrics = materialize(
+        silver_appointments(spark, sf_dir),
+        scratch_dir(spark, "silver-citas"),
+        date_bound_metrics("fecha_hora"),
+    )
+    return silver, calendar_from_bounds(spark, metrics.get("date_lo"), metrics.get("date_hi"))
+
+
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact with doctor, date and patient dimensions (P7 renames)."""
-    silver = silver_appointments(spark, sf_dir)
+    silver, cal = silver_and_calendar(spark, sf_dir)
     f = fact_build(silver, "fecha_hora", FACT_COLUMNS)
     return star_view(
         f,
         [
             DimRef(doctor_dim(spark, sf_dir), "id_doctor"),
-            DimRef(calendar_dim(silver, "fecha_hora"), "id_tiempo"),
+            DimRef(cal, "id_tiempo"),
             DimRef(patient_dim(spark, sf_dir), "id_paciente", rename={"nombre": "nombre_paciente"}),
         ],
     )
@@ -213,8 +241,8 @@ def q_clean_rows(spark, sf_dir):
 
 # --------------------------------------------------------------------- dedup
 def q_dedup_key(spark, sf_dir):
-    """One line item per (order, line number); lowest part, then supplier."""
-    return dedup_by_key(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    """One line item per (order, line number); lowest part, then supplier, then the rest."""
+    return dedup_by_key(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], LINEITEM_TIEBREAK)
 
 
 def q_dup_count(spark, sf_dir):
@@ -268,13 +296,13 @@ def q_orphans_customer(spark, sf_dir):
 
 def q_orphan_report(spark, sf_dir):
     """One row per foreign key."""
-    silver = silver_appointments(spark, sf_dir)
+    silver, cal = silver_and_calendar(spark, sf_dir)
     f = fact_build(silver, "fecha_hora", FACT_COLUMNS)
     keys = [
         ForeignKey("paciente", "id_paciente",
                    patient_dim(spark, sf_dir).filter(F.col("segmento") != EXCLUDED_SEGMENT), "id_paciente"),
         ForeignKey("doctor", "id_doctor", doctor_dim(spark, sf_dir), "id_doctor"),
-        ForeignKey("tiempo", "id_tiempo", calendar_dim(silver, "fecha_hora"), "id_tiempo"),
+        ForeignKey("tiempo", "id_tiempo", cal, "id_tiempo"),
     ]
     return orphan_report(f, keys)
 
@@ -335,9 +363,8 @@ def q_check_silver(spark, sf_dir):
 
 def q_check_gold(spark, sf_dir):
     """V6 V7 V8 V9 on the Gold tables."""
-    silver = silver_appointments(spark, sf_dir)
+    silver, cal = silver_and_calendar(spark, sf_dir)
     f = fact_build(silver, "fecha_hora", FACT_COLUMNS)
-    cal = calendar_dim(silver, "fecha_hora")
     pat = patient_dim(spark, sf_dir)
     return V.run_checks([
         V.not_null(f, "id_tiempo"),

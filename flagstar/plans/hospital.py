@@ -146,8 +146,8 @@ def build_gold(silver: Mapping[str, DataFrame], as_of, exact_age: bool = False)
     }
 
 
-def foreign_keys(gold: Mapping[str, DataFrame], silver: Mapping[str, DataFrame] | None = None) -> tuple[str, list[ForeignKey]]:
-    """The fact's foreign keys (plus lab results -> appointments when given)."""
+def foreign_keys(gold: Mapping[str, DataFrame]) -> tuple[str, list[ForeignKey]]:
+    """The fact's three foreign keys."""
     keys = [
         ForeignKey("paciente", "id_paciente", gold["dim_paciente"], "id_paciente"),
         ForeignKey("doctor", "id_doctor", gold["dim_doctor"], "id_doctor"),
@@ -163,3 +163,15 @@ def lab_foreign_key(silver: Mapping[str, DataFrame]) -> ForeignKey:
 
 def default_as_of() -> _dt.date:
     return _dt.date.today()
+
+
+def domain(as_of, exact_age: bool = False):
+    """The hospital model as a :class:`~flagstar.plans.medallion.Domain` for ``run_layers``."""
+    from flagstar.plans.medallion import Domain
+
+    return Domain(
+        specs=table_specs(as_of),
+        build_gold=lambda silver: build_gold(silver, as_of, exact_age),
+        foreign_keys=foreign_keys,
+        bronze_schemas=BRONZE_SCHEMAS,
+    )

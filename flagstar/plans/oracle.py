@@ -26,7 +26,8 @@ dedup AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (
       PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey
-      ORDER BY fecha_hora NULLS FIRST, tiempo_espera_minutos NULLS FIRST) AS rn
+      ORDER BY fecha_hora NULLS FIRST, tiempo_espera_minutos NULLS FIRST, id_paciente NULLS FIRST,
+               duracion_minutos NULLS FIRST, costo NULLS FIRST, estado NULLS FIRST) AS rn
     FROM appt) WHERE rn = 1
 ),
 silver AS (
@@ -155,7 +156,11 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, tiempo_espera_minutos FRO
     "dedup_key": """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
        l_returnflag, l_linestatus, l_shipdate
-FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST,
+                 l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST,
+                 l_shipdate NULLS FIRST) AS rn
       FROM lineitem)
 WHERE rn = 1""",
     "dup_count": """
@@ -163,7 +168,7 @@ SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_keys, CAST(sum
 FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
     "dedup_text": """
 SELECT doc_id, text, lang, source, n_chars
-FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents)
+FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS FIRST) AS rn FROM documents)
 WHERE rn = 1""",
     "dim_paciente": "WITH " + _DIM_PACIENTE.lstrip() + " SELECT * FROM dim_paciente",
     "dim_doctor": "WITH " + _DIM_DOCTOR.lstrip() + " SELECT * FROM dim_doctor",

@@ -26,6 +26,7 @@ def get_session(
         SparkSession.builder.master(master or os.environ.get("SPARK_MASTER", "local[*]"))
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -11,12 +11,13 @@ from flagstar.sources.landing import (
     tables_ready,
     write_partition,
 )
-from flagstar.sources.layers import read_source, read_table, write_table
+from flagstar.sources.layers import materialize, read_source, read_table, write_table
 
 __all__ = [
     "LandingResult",
     "land_csv",
     "load_report",
+    "materialize",
     "path_exists",
     "read_csv",
     "read_latest",

@@ -23,6 +23,24 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return int(obs.get.get("rows", 0))
 
 
+def materialize(
+    df: DataFrame,
+    path: str,
+    metrics: dict | None = None,
+) -> tuple[DataFrame, dict]:
+    """Write ``df`` to ``path`` and return the re-read table plus metrics.
+
+    Cuts the lineage (later plans start from files in shared storage, so
+    nothing upstream is recomputed, not even after a lost executor) and
+    computes ``metrics`` (name -> aggregate Column) as an ``Observation`` on
+    the same pass; ``rows`` is always included.
+    """
+    obs = Observation(f"mat_{uuid.uuid4().hex[:8]}")
+    exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in (metrics or {}).items()]
+    df.observe(obs, *exprs).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), dict(obs.get)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a Silver/Gold table."""
     return spark.read.parquet(path)
