@@ -10,6 +10,19 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Runtime SQL settings the plans rely on at scale. None changes a result.
+#  * AQE re-plans from measured shuffle sizes (coalescing, broadcast switch).
+#  * skew join splits a hot key's partition; ``forceOptimizeSkewedJoin`` lets
+#    it do so even where the join's partitioning is reused downstream (the
+#    appointment join feeds a dedup window on the same key), at the price of
+#    one extra exchange only when skew is actually detected.
+RUNTIME_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
 
 def get_session(
     master: str | None = None,
@@ -28,21 +41,26 @@ def get_session(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", os.environ.get("FLAGSTAR_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in (extra or {}).items():
+    for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def tune_session(spark: SparkSession) -> SparkSession:
+    """Apply :data:`RUNTIME_CONF` to a session (runtime SQL settings only)."""
+    for key, value in RUNTIME_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
