@@ -438,6 +438,32 @@ def q_medallion_monthly(spark, sf_dir):
     return monthly(s)
 
 
+def q_stream_silver(spark, sf_dir):
+    """Silver as a stream: events landed one load date per day, refined
+    incrementally (Q7 rule, dedup per event and date), read back."""
+    from flagstar.streaming.silver_stream import refine_stream
+
+    root = scratch_dir(spark, "stream")
+    ev = _t(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("resultado"),
+        F.to_date("ts").cast("string").alias("load_date"),
+    )
+    (
+        ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load_date").parquet(f"{root}/bronze/events")
+    )
+    spec = TableSpec("events", ("event_id",), H.lab_rules(), order_by=("resultado",))
+    query = refine_stream(
+        spark, f"{root}/bronze/events", ev.drop("load_date").schema, spec,
+        f"{root}/silver/events", checkpoint=f"{root}/checkpoint/events",
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+    return read_table(spark, f"{root}/silver/events").select("event_id", "resultado", _flags_text())
+
+
 QUERIES = {
     "flag_missing": q_flag_missing,
     "flag_and_clamp": q_flag_and_clamp,
@@ -474,4 +500,5 @@ QUERIES = {
     "latest_partition": q_latest_partition,
     "load_report": q_load_report,
     "medallion_monthly": q_medallion_monthly,
+    "stream_silver": q_stream_silver,
 }

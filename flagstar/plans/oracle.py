@@ -266,6 +266,8 @@ SELECT 'TOTAL', CAST(sum(rows) AS BIGINT), CASE WHEN sum(rows) > 0 THEN 'OK' ELS
 # The layered run writes and re-reads the same appointments, so its monthly
 # mart equals the in-memory one.
 SQL["medallion_monthly"] = SQL["monthly"]
+# The streamed Silver holds every event once with the same flag as the batch rule.
+SQL["stream_silver"] = SQL["flag_null_or_negative"]
 
 
 def _with_passed(sql: str, col: str) -> str:
