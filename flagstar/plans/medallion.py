@@ -16,11 +16,12 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flagstar.operators.integrity import ForeignKey, enforce, orphan_report
-from flagstar.operators.quality import TableSpec, quality_summary, refine
+from flagstar.operators.quality import FLAG_COL, TableSpec, refine
 from flagstar.sources.landing import LandingResult, land_csv, read_latest, write_partition
-from flagstar.sources.layers import read_table, write_table
+from flagstar.sources.layers import materialize, read_table, write_table
 
 
 @dataclass
@@ -65,9 +66,10 @@ def silver_stage(spark: SparkSession, domain: Domain, bronze_root: str, silver_r
     detail = {}
     for name, spec in domain.specs.items():
         refined = refine(read_latest(spark, f"{bronze_root}/{name}"), spec)
-        detail[name] = {"rows": write_table(refined, f"{silver_root}/{name}")}
-        summary = quality_summary(read_table(spark, f"{silver_root}/{name}"), name).first()
-        detail[name].update(flagged=summary["flagged_rows"], pct_flagged=summary["pct_flagged"])
+        # Q10 rides on the write: one pass instead of write + two recounts.
+        _, m = materialize(refined, f"{silver_root}/{name}", {"flagged": F.count_if(F.size(F.col(FLAG_COL)) > 0)})
+        rows, flagged = int(m["rows"]), int(m["flagged"] or 0)
+        detail[name] = {"rows": rows, "flagged": flagged, "pct_flagged": 100.0 * flagged / rows if rows else 0.0}
     return detail
 
 

@@ -131,3 +131,10 @@ def test_orphans_can_fail_the_gold_stage(spark, tmp_path):
     statuses = run_layers(spark, str(tmp_path / "lake"), H.domain(AS_OF), sources=_sources(tmp_path),
                           load_date=AS_OF, on_orphan="fail")
     assert [(s.stage, s.ok) for s in statuses] == [("bronze", True), ("silver", True), ("gold", False)]
+
+
+def test_silver_stage_reports_flag_share(spark, tmp_path):
+    statuses = run_layers(spark, str(tmp_path / "lake"), H.domain(AS_OF), sources=_sources(tmp_path), load_date=AS_OF)
+    silver = statuses[1].detail
+    assert silver["citas"] == {"rows": 4, "flagged": 3, "pct_flagged": 75.0}
+    assert silver["doctores"]["rows"] == 3 and silver["doctores"]["flagged"] == 2
