@@ -1,9 +1,11 @@
 """Referential integrity: orphan foreign keys.
 
 A fact row is an orphan when its foreign key has no row in the dimension; a
-NULL key is always an orphan. Counting is done on *pre-aggregated* keys: the
-fact is reduced to ``(fk, rows)`` with a partial aggregate before anything is
-joined, so a hot key that owns a third of the fact is one row in the join.
+NULL key is always an orphan. Anti joins ignore duplicate dimension keys, so
+the dimension is only projected to its key (no ``distinct`` shuffle). Counts
+are taken over ``(fk, rows)`` pairs: with a broadcast dimension Catalyst
+filters the fact map-side first and then combines per key before the
+shuffle; with a shuffled dimension AQE splits a hot key's partition.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ def orphans(
 ) -> DataFrame:
     """Fact rows whose ``fk`` is NULL or missing from ``dim.pk`` (left anti join)."""
     pk = pk or fk
-    keys = bounded_broadcast(dim.select(F.col(pk).alias("__pk")).distinct(), broadcast_max_rows)
+    keys = bounded_broadcast(dim.select(F.col(pk).alias("__pk")), broadcast_max_rows)
     return fact.join(keys, fact[fk] == keys["__pk"], "left_anti")
 
 
@@ -50,7 +52,7 @@ def orphan_count(
     """One row ``orphan_rows``: fact rows without a dimension row."""
     pk = pk or fk
     per_key = fact.groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
-    keys = bounded_broadcast(dim.select(F.col(pk).alias("__pk")).distinct(), broadcast_max_rows)
+    keys = bounded_broadcast(dim.select(F.col(pk).alias("__pk")), broadcast_max_rows)
     missing = per_key.join(keys, per_key["__fk"] == keys["__pk"], "left_anti")
     return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
 

@@ -352,7 +352,7 @@ def q_specialty_domain(spark, sf_dir):
 def q_check_silver(spark, sf_dir):
     """V2 V3 V4 V5 on the Silver appointments."""
     raw = appointments(spark, sf_dir)
-    silver = refine(raw, appointment_spec())
+    silver, _ = materialize(refine(raw, appointment_spec()), scratch_dir(spark, "silver-citas"))
     return V.run_checks([
         V.pk_unique(silver, APPT_KEY),
         V.column_present(silver, FLAG_COL),
