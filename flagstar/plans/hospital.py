@@ -174,4 +174,5 @@ def domain(as_of, exact_age: bool = False):
         build_gold=lambda silver: build_gold(silver, as_of, exact_age),
         foreign_keys=foreign_keys,
         bronze_schemas=BRONZE_SCHEMAS,
+        silver_foreign_keys=lambda silver: [("resultados_lab", lab_foreign_key(silver))],
     )

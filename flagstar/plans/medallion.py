@@ -40,6 +40,8 @@ class Domain:
     build_gold: Callable[[Mapping[str, DataFrame]], dict[str, DataFrame]]
     foreign_keys: Callable[[Mapping[str, DataFrame]], tuple[str, list[ForeignKey]]]
     bronze_schemas: Mapping[str, object] = field(default_factory=dict)
+    # Keys between Silver tables that never reach Gold: (child table, key).
+    silver_foreign_keys: Callable[[Mapping[str, DataFrame]], list[tuple[str, ForeignKey]]] | None = None
 
 
 def _timed(stage: str, fn: Callable[[], dict]) -> StageStatus:
@@ -81,6 +83,8 @@ def gold_stage(spark: SparkSession, domain: Domain, silver_root: str, gold_root:
     written = {name: read_table(spark, f"{gold_root}/{name}") for name in gold}
     fact_name, keys = domain.foreign_keys(written)
     report = orphan_report(written[fact_name], keys)
+    for child, fk in domain.silver_foreign_keys(silver) if domain.silver_foreign_keys else []:
+        report = report.unionByName(orphan_report(silver[child], [fk]))
     detail["orphans"] = enforce(report, on_orphan)
     return detail
 

@@ -36,6 +36,7 @@ RESULTADOS = """id_resultado,id_cita,tipo_examen,resultado,valor_referencia,fech
 1,1,Glucosa,0,Normal,2024-01-06 10:00:00
 2,1,Colesterol,-0.1,Fuera de rango,2024-01-06 10:00:00
 3,4,Hemoglobina,abc,Normal,
+4,99,Glucosa,5,Normal,
 """
 
 
@@ -107,7 +108,7 @@ def test_hospital_layers_end_to_end(spark, tmp_path):
         4: (None, 1000.25, []),
     }
     lab = {r["id_resultado"]: list(r[FLAG_COL]) for r in silver["resultados_lab"].collect()}
-    assert lab == {1: [], 2: ["resultado_fuera_de_rango"], 3: ["resultado_fuera_de_rango"]}
+    assert lab == {1: [], 2: ["resultado_fuera_de_rango"], 3: ["resultado_fuera_de_rango"], 4: []}
 
     gold = {t: spark.read.parquet(f"{root}/gold/{t}") for t in ("dim_paciente", "dim_doctor", "dim_tiempo", "fact_citas")}
     assert not {"email", "telefono"} & set(gold["dim_paciente"].columns)
@@ -116,7 +117,7 @@ def test_hospital_layers_end_to_end(spark, tmp_path):
     assert fact == {1: (20240106, True), 2: (-1, True), 3: (-1, True), 4: (20240101, False)}
     assert gold["dim_tiempo"].count() == 6 + 1
     orphans = {o["fk_name"]: o["orphan_rows"] for o in statuses[2].detail["orphans"]}
-    assert orphans == {"paciente": 1}
+    assert orphans == {"paciente": 1, "cita": 1}  # lab result 4 points at a missing appointment
 
 
 def test_strict_run_stops_on_missing_source(spark, tmp_path):
