@@ -56,8 +56,11 @@ def get_session(
 def tune_session(spark: SparkSession) -> SparkSession:
     """Apply :data:`RUNTIME_CONF` to a session (runtime SQL settings only)."""
     for key, value in RUNTIME_CONF.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+        try:
+            if spark.conf.get(key, None) != value:
+                spark.conf.set(key, value)
+        except Exception:  # noqa: BLE001 - a locked conf only costs the optimization
+            pass
     return spark
 
 
@@ -68,12 +71,12 @@ def _checkpoint_root(spark: SparkSession) -> str:
     created and registered; on a cluster master that would be machine-local,
     so there the setting is required.
     """
-    configured = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    try:
+        configured = spark.conf.get(CHECKPOINT_CONF, None)
+    except Exception:  # noqa: BLE001 - some session types refuse static confs
+        configured = None
     if not configured:
-        try:
-            configured = spark.conf.get(CHECKPOINT_CONF)
-        except Exception:  # noqa: BLE001 - unset conf raises on some versions
-            configured = None
+        configured = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
