@@ -176,3 +176,54 @@ def domain(as_of, exact_age: bool = False):
         bronze_schemas=BRONZE_SCHEMAS,
         silver_foreign_keys=lambda silver: [("resultados_lab", lab_foreign_key(silver))],
     )
+
+
+GOLD_TABLES = ("dim_paciente", "dim_doctor", "dim_tiempo", "fact_citas")
+
+
+def star_from_gold(spark, gold_root: str) -> DataFrame:
+    """The fact joined to its three dimensions, read from Gold files.
+
+    The doctor's name stays ``nombre``; the patient's becomes ``nombre_paciente``.
+    Dimensions read from files are broadcast only under the row cap.
+    """
+    from flagstar.operators.star import DimRef, star_view
+    from flagstar.sources.layers import read_table
+
+    g = {t: read_table(spark, f"{gold_root}/{t}") for t in GOLD_TABLES}
+    return star_view(
+        g["fact_citas"],
+        [
+            DimRef(g["dim_doctor"], "id_doctor"),
+            DimRef(g["dim_tiempo"], "id_tiempo"),
+            DimRef(g["dim_paciente"], "id_paciente", rename={"nombre": "nombre_paciente"}),
+        ],
+    )
+
+
+def dashboard_marts(
+    spark,
+    gold_root: str,
+    specialties=None,
+    clean_only: bool = False,
+    top: int = 10,
+) -> dict[str, DataFrame]:
+    """M1-M6 over the Gold star, with the dashboard's two filters.
+
+    ``specialties=None`` selects every non-NULL specialty (the default
+    selection is the whole choice list); ``clean_only`` drops flagged rows.
+    Each mart re-reads the star from Gold files (a scan plus broadcast joins),
+    which is cheaper than pinning a fact-sized cache no caller could release.
+    """
+    from flagstar.operators.marts import count_by, domain as domain_of, kpis, mean_by, monthly, select_rows, top_k
+
+    star = star_from_gold(spark, gold_root)
+    chosen = select_rows(star, "especialidad", specialties, clean_only=clean_only)
+    return {
+        "especialidades": domain_of(star, "especialidad"),
+        "kpis": kpis(chosen),
+        "citas_por_mes": monthly(chosen),
+        "citas_por_estado": count_by(chosen, "estado", "total"),
+        "espera_por_especialidad": mean_by(chosen, "especialidad", "tiempo_espera_minutos", 1),
+        "top_doctores": top_k(chosen, "nombre", top, "total_citas"),
+    }

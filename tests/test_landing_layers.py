@@ -139,3 +139,19 @@ def test_silver_stage_reports_flag_share(spark, tmp_path):
     silver = statuses[1].detail
     assert silver["citas"] == {"rows": 4, "flagged": 3, "pct_flagged": 75.0}
     assert silver["doctores"]["rows"] == 3 and silver["doctores"]["flagged"] == 2
+
+
+def test_dashboard_marts_on_gold(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    run_layers(spark, root, H.domain(AS_OF), sources=_sources(tmp_path), load_date=AS_OF)
+    m = H.dashboard_marts(spark, f"{root}/gold")
+    # appointment 4 points at a missing patient: the inner star drops it
+    k = m["kpis"].first()
+    assert (k["total_citas"], k["ingresos_totales"]) == (3, 550.5)
+    assert k["pct_con_flag"] == 100.0
+    assert [tuple(r) for r in m["citas_por_mes"].collect()] == [(2024, 1, 1, "2024-01")]
+    assert [r[0] for r in m["especialidades"].collect()] == ["Cardiologia", "Pediatria"]
+    clean = H.dashboard_marts(spark, f"{root}/gold", specialties=["Cardiologia"], clean_only=True)
+    assert clean["kpis"].first()["total_citas"] == 0
+    top = [tuple(r) for r in m["top_doctores"].collect()]
+    assert top == [("Dr. Dos", 1), ("Dr. Tres", 1), ("Dr. Uno", 1)]
