@@ -15,7 +15,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flagstar.functions.rules import is_missing, negative, outside_dates, outside_range, regex_match, regex_mismatch
+from flagstar.functions.rules import is_missing, outside_dates, outside_range, regex_match, regex_mismatch
 from flagstar.operators import checks as V
 from flagstar.operators.dedup import dedup_by_key, duplicate_count
 from flagstar.operators.integrity import ForeignKey, orphan_report, orphans
@@ -43,7 +43,7 @@ from flagstar.operators.star import (
 from flagstar.plans import hospital as H
 from flagstar.plans.medallion import Domain, run_layers
 from flagstar.session import scratch_dir
-from flagstar.sources.landing import read_latest, table_counts, write_partition
+from flagstar.sources.landing import read_latest, table_counts
 from flagstar.sources.layers import materialize, read_source, read_table
 
 # ---------------------------------------------------------------------------
