@@ -1,9 +1,8 @@
 """Bronze landing: raw files in, dated Parquet partitions out.
 
 * :func:`land_csv` reads one CSV with a declared schema (ids stay text, so a
-  leading zero survives) and overwrites only today's ``load_date`` partition
-  (dynamic partition overwrite): same-day reruns are idempotent, earlier loads
-  stay.
+  leading zero survives) and overwrites only today's ``load_date`` partition:
+  same-day reruns are idempotent, earlier loads stay.
 * :func:`read_latest` reads the newest ``load_date`` through a partition
   filter, so only that partition's files are scanned.
 * :func:`load_report` turns landing results into a DataFrame.
@@ -13,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -64,19 +64,17 @@ def read_csv(
     return reader.csv(path)
 
 
-def write_partition(df: DataFrame, table_root: str, load_date) -> int:
+def write_partition(df: DataFrame, table_root: str, load_date, load_col: str = LOAD_COL) -> int:
     """Write ``df`` as the ``load_date`` partition of ``table_root``; returns rows.
 
-    The count is an ``Observation`` on the write itself: one pass.
+    The frame is written straight into its ``<load_col>=<date>`` folder, so an
+    overwrite replaces that date only (earlier loads stay) and an empty frame
+    still leaves a schema-only file: an empty landing is a real, readable
+    partition. The count is an ``Observation`` on the write itself: one pass.
     """
-    obs = Observation(f"land_{abs(hash((table_root, str(load_date))))}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (
-        observed.withColumn(LOAD_COL, F.lit(str(load_date)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LOAD_COL)
-        .parquet(table_root)
+    obs = Observation(f"land_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
+        f"{table_root}/{load_col}={load_date}"
     )
     return int(obs.get.get("rows", 0))
 
@@ -113,11 +111,14 @@ def read_latest(spark: SparkSession, table_root: str, load_col: str = LOAD_COL)
     """
     try:
         df = spark.read.parquet(table_root)
+        files = spark.read.format("binaryFile").load(table_root)
     except AnalysisException as exc:
         raise FileNotFoundError(f"no Bronze partitions under {table_root}") from exc
-    if load_col not in df.columns:
+    if load_col not in df.columns or load_col not in files.columns:
         raise FileNotFoundError(f"{table_root} is not partitioned by {load_col}")
-    newest = df.select(F.max(F.col(load_col))).scalar()
+    # The newest date comes from the file listing (file content is never
+    # read), so an empty newest landing is still the newest partition.
+    newest = files.select(F.max(F.col(load_col))).scalar()
     return df.filter(F.col(load_col) == newest).drop(load_col)
 
 

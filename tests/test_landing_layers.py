@@ -155,3 +155,24 @@ def test_dashboard_marts_on_gold(spark, tmp_path):
     assert clean["kpis"].first()["total_citas"] == 0
     top = [tuple(r) for r in m["top_doctores"].collect()]
     assert top == [("Dr. Dos", 1), ("Dr. Tres", 1), ("Dr. Uno", 1)]
+
+
+def test_empty_newest_landing_is_the_latest_partition(spark, tmp_path):
+    root = str(tmp_path / "bronze" / "t")
+    from flagstar.sources.landing import write_partition
+
+    assert write_partition(spark.createDataFrame([(1,), (2,)], "k int"), root, "2024-01-01") == 2
+    assert write_partition(spark.createDataFrame([], "k int"), root, "2024-01-02") == 0
+    latest = read_latest(spark, root)
+    assert latest.columns == ["k"] and latest.count() == 0
+    assert write_partition(spark.createDataFrame([(7,)], "k int"), root, "2024-01-03") == 1
+    assert [r["k"] for r in read_latest(spark, root).collect()] == [7]
+
+
+def test_layers_with_an_empty_source_table(spark, tmp_path):
+    srcs = _sources(tmp_path)
+    srcs["resultados_lab"] = _write(tmp_path / "src" / "empty_lab.csv", RESULTADOS.splitlines()[0] + "\n")
+    statuses = run_layers(spark, str(tmp_path / "lake"), H.domain(AS_OF), sources=srcs, load_date=AS_OF)
+    assert [(s.stage, s.ok) for s in statuses] == [("bronze", True), ("silver", True), ("gold", True)]
+    assert statuses[0].detail["resultados_lab"] == {"rows": 0, "status": "EMPTY"}
+    assert statuses[1].detail["resultados_lab"]["rows"] == 0
