@@ -46,7 +46,14 @@ def dedup_by_key(
     order_cols = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
     if not order_cols:
         order_cols = [F.col(keys[0])]
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    partition = [F.col(k) for k in keys]
+    types = dict(df.dtypes)
+    if any(types.get(k) in ("string", "binary") for k in keys):
+        # Long text keys: a 64-bit hash in front lets the sorts compare one
+        # long instead of whole texts (near copies share long prefixes); the
+        # keys themselves still follow, so grouping stays exact.
+        partition.insert(0, F.xxhash64(*keys))
+    w = Window.partitionBy(*partition).orderBy(*order_cols)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
