@@ -35,6 +35,7 @@ from flagstar.operators.star import (
     calendar_days,
     calendar_dim,
     calendar_from_bounds,
+    calendar_size,
     date_bound_metrics,
     date_bounds,
     fact_build,

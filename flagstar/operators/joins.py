@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 500_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None
+) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan),
-    so it is cheap for small sides and bounded for big ones.
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops each scan
+    task, and a count needs no columns), so it is cheap for small sides and
+    bounded for big ones. ``known_rows`` skips it when the size is known by
+    construction (a generated calendar).
     """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

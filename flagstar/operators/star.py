@@ -118,6 +118,11 @@ def date_bound_metrics(ts_col: str) -> dict[str, Column]:
     return {"date_lo": F.min(d), "date_hi": F.max(d)}
 
 
+def calendar_size(lo: _dt.date | None, hi: _dt.date | None) -> int:
+    """Rows of :func:`calendar_from_bounds`: the days in ``[lo, hi]`` plus the unknown member."""
+    return 1 if lo is None or hi is None else max(0, (hi - lo).days + 1) + 1
+
+
 def calendar_from_bounds(
     spark: SparkSession,
     lo: _dt.date | None,
@@ -167,6 +172,7 @@ class DimRef:
     rename: Mapping[str, str] = field(default_factory=dict)
     fact_key: str | None = None
     broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS
+    known_rows: int | None = None  # exact size when known by construction
 
 
 def star_view(fact: DataFrame, dims: Sequence[DimRef]) -> DataFrame:
@@ -183,7 +189,7 @@ def star_view(fact: DataFrame, dims: Sequence[DimRef]) -> DataFrame:
         clash = (set(dim.columns) - {ref.key}) & set(out.columns)
         if clash:
             raise ValueError(f"columns {sorted(clash)} exist on both sides; rename them")
-        dim = bounded_broadcast(dim, ref.broadcast_max_rows)
+        dim = bounded_broadcast(dim, ref.broadcast_max_rows, ref.known_rows)
         fk = ref.fact_key or ref.key
         if fk == ref.key:
             out = out.join(dim, on=ref.key, how="inner")

@@ -35,6 +35,7 @@ from flagstar.operators.star import (
     DimRef,
     calendar_dim,
     calendar_from_bounds,
+    calendar_size,
     date_bound_metrics,
     fact_build,
     project_dim,
@@ -137,7 +138,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_build(silver_appointments(spark, sf_dir), "fecha_hora", FACT_COLUMNS)
 
 
-def silver_and_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def silver_and_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DimRef]:
     """Silver appointments written once to shared scratch storage, and the
     calendar for their date range.
 
@@ -150,7 +151,8 @@ def silver_and_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         scratch_dir(spark, "silver-citas"),
         date_bound_metrics("fecha_hora"),
     )
-    return silver, calendar_from_bounds(spark, metrics.get("date_lo"), metrics.get("date_hi"))
+    lo, hi = metrics.get("date_lo"), metrics.get("date_hi")
+    return silver, DimRef(calendar_from_bounds(spark, lo, hi), "id_tiempo", known_rows=calendar_size(lo, hi))
 
 
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +163,7 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
         f,
         [
             DimRef(doctor_dim(spark, sf_dir), "id_doctor"),
-            DimRef(cal, "id_tiempo"),
+            cal,
             DimRef(patient_dim(spark, sf_dir), "id_paciente", rename={"nombre": "nombre_paciente"}),
         ],
     )
@@ -302,7 +304,7 @@ def q_orphan_report(spark, sf_dir):
         ForeignKey("paciente", "id_paciente",
                    patient_dim(spark, sf_dir).filter(F.col("segmento") != EXCLUDED_SEGMENT), "id_paciente"),
         ForeignKey("doctor", "id_doctor", doctor_dim(spark, sf_dir), "id_doctor"),
-        ForeignKey("tiempo", "id_tiempo", cal, "id_tiempo"),
+        ForeignKey("tiempo", "id_tiempo", cal.df, "id_tiempo"),
     ]
     return orphan_report(f, keys)
 
@@ -368,11 +370,11 @@ def q_check_gold(spark, sf_dir):
     pat = patient_dim(spark, sf_dir)
     return V.run_checks([
         V.not_null(f, "id_tiempo"),
-        V.single_unknown_member(cal),
+        V.single_unknown_member(cal.df),
         V.columns_absent(pat, ["c_acctbal"]),
         V.no_orphans(f, doctor_dim(spark, sf_dir), "id_doctor"),
         V.no_orphans(f, pat, "id_paciente"),
-        V.no_orphans(f, cal, "id_tiempo"),
+        V.no_orphans(f, cal.df, "id_tiempo"),
     ])
 
 
