@@ -45,7 +45,7 @@ from flagstar.operators.star import (
 from flagstar.plans import hospital as H
 from flagstar.plans.medallion import Domain, run_layers
 from flagstar.session import scratch_dir
-from flagstar.sources.landing import read_latest, table_counts
+from flagstar.sources.landing import land_by_date, read_latest, table_counts
 from flagstar.sources.layers import materialize, read_source, read_table
 
 # ---------------------------------------------------------------------------
@@ -394,14 +394,7 @@ def q_csv_landing(spark, sf_dir):
 def q_latest_partition(spark, sf_dir):
     """Events landed with one load date per event day; newest read back."""
     root = scratch_dir(spark, "latest")
-    ev = _t(spark, sf_dir, "events")
-    (
-        ev.withColumn("load_date", F.to_date("ts").cast("string"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_date")
-        .parquet(f"{root}/bronze/events")
-    )
+    land_by_date(_t(spark, sf_dir, "events"), f"{root}/bronze/events", "ts")
     return read_latest(spark, f"{root}/bronze/events")
 
 
@@ -450,15 +443,12 @@ def q_stream_silver(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select(
         "event_id",
         F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("resultado"),
-        F.to_date("ts").cast("string").alias("load_date"),
-    )
-    (
-        ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_date").parquet(f"{root}/bronze/events")
+        "ts",
     )
+    land_by_date(ev, f"{root}/bronze/events", "ts", keep_date_col=False)
     spec = TableSpec("events", ("event_id",), H.lab_rules(), order_by=("resultado",))
     query = refine_stream(
-        spark, f"{root}/bronze/events", ev.drop("load_date").schema, spec,
+        spark, f"{root}/bronze/events", ev.drop("ts").schema, spec,
         f"{root}/silver/events", checkpoint=f"{root}/checkpoint/events",
     )
     query.awaitTermination()

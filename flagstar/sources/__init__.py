@@ -2,6 +2,7 @@
 
 from flagstar.sources.landing import (
     LandingResult,
+    land_by_date,
     land_csv,
     load_report,
     path_exists,
@@ -15,6 +16,7 @@ from flagstar.sources.layers import materialize, read_source, read_table, write_
 
 __all__ = [
     "LandingResult",
+    "land_by_date",
     "land_csv",
     "load_report",
     "materialize",

@@ -122,6 +122,28 @@ def read_latest(spark: SparkSession, table_root: str, load_col: str = LOAD_COL)
     return df.filter(F.col(load_col) == newest).drop(load_col)
 
 
+def land_by_date(
+    df: DataFrame, table_root: str, date_col: str, load_col: str = LOAD_COL, keep_date_col: bool = True
+) -> None:
+    """Land a frame that spans many days as one ``load_col`` partition per day.
+
+    ``rebalance`` on the partition column lets AQE gather each day into a few
+    advisory-sized files and split a day that holds a large share of the rows,
+    instead of every task writing one small file per day it happens to hold.
+    Only the days present are overwritten.
+    """
+    out = df.withColumn(load_col, F.to_date(F.col(date_col)).cast("string"))
+    if not keep_date_col:
+        out = out.drop(date_col)
+    (
+        out.hint("rebalance", load_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(load_col)
+        .parquet(table_root)
+    )
+
+
 def tables_ready(spark: SparkSession, root: str, names: Sequence[str]) -> bool:
     """True when every ``root/<name>`` holds at least one Parquet file."""
     for name in names:

@@ -16,7 +16,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     per task, so a lost executor's task is simply rerun.
     """
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        # few, advisory-sized files per partition value; AQE splits a hot value
+        observed = observed.hint("rebalance", *partition_by)
+    writer = observed.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
