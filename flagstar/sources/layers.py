@@ -16,10 +16,12 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     per task, so a lost executor's task is simply rerun.
     """
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         # few, advisory-sized files per partition value; AQE splits a hot value
-        observed = observed.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", *partition_by)
+    # Observed last, i.e. in the result stage: a retried map stage cannot
+    # count its rows twice.
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
