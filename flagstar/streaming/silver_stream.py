@@ -2,16 +2,18 @@
 
 Bronze grows one ``load_date`` partition per landing. Instead of re-reading
 the newest partition in a batch job, :func:`refine_stream` follows the Bronze
-folder with Structured Streaming and refines only files it has not seen:
-each micro-batch is typed, deduplicated *within its load date* and flagged by
-the same :func:`~flagstar.operators.quality.refine` the batch stage uses, then
-written to Silver partitioned by ``load_date`` with dynamic partition
-overwrite. A replayed micro-batch (after a driver or executor loss) rewrites
-the same partitions, so the sink is idempotent; the checkpoint records which
+folder with Structured Streaming and refines only the dates that received
+new files: their Bronze rows are typed, deduplicated *within the load date*
+and flagged by the same :func:`~flagstar.operators.quality.refine` the batch
+stage uses, then written to Silver partitioned by ``load_date`` with dynamic
+partition overwrite. Because each micro-batch refines the complete Bronze
+partitions of the dates it touched, a date split across micro-batches is never written in
+part, and a replayed micro-batch (after a driver or executor loss) rewrites
+the same partitions: the sink is idempotent. The checkpoint records which
 files were done.
 
-No state store is involved: deduplication is per load date inside each
-micro-batch, exactly what the batch stage does per partition.
+No state store is involved: deduplication is per load date, exactly what the
+batch stage does per partition.
 """
 
 from __future__ import annotations
@@ -27,12 +29,19 @@ from flagstar.session import scratch_dir
 from flagstar.sources.landing import LOAD_COL
 
 
-def _write_batch(spec: TableSpec, silver_path: str, load_col: str):
+def _write_batch(spec: TableSpec, bronze_table: str, schema: StructType, silver_path: str, load_col: str):
     per_date = replace(spec, key=(*spec.key, load_col))
 
     def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - Spark's callback signature
+        # Refine the *whole* Bronze partition of every date this batch touched
+        # (a left-semi join on the partition column prunes the scan to those
+        # dates), so a date whose files straddle two micro-batches is still
+        # written complete, and a replayed batch rewrites the same output.
+        dates = batch.select(load_col).distinct()
+        bronze = batch.sparkSession.read.schema(schema).parquet(bronze_table)
+        touched = bronze.join(dates, on=load_col, how="left_semi")
         (
-            refine(batch, per_date)
+            refine(touched, per_date)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(load_col)
@@ -62,7 +71,7 @@ def refine_stream(
     schema = StructType([*bronze_schema.fields, StructField(load_col, StringType())])
     stream = spark.readStream.schema(schema).parquet(bronze_table)
     writer = (
-        stream.writeStream.foreachBatch(_write_batch(spec, silver_path, load_col))
+        stream.writeStream.foreachBatch(_write_batch(spec, bronze_table, schema, silver_path, load_col))
         .option("checkpointLocation", checkpoint or scratch_dir(spark, "silver-stream-ckpt"))
         .queryName(f"silver_{spec.name}")
     )

@@ -40,3 +40,17 @@ def test_stream_refines_only_new_landings(spark, tmp_path):
         ("2024-01-02", 3): [],
     }
     assert sorted(os.listdir(f"{silver}/load_date=2024-01-01")) == day1_files  # earlier date not rewritten
+
+
+def test_date_split_across_micro_batches_is_written_whole(spark, tmp_path):
+    bronze, silver, ckpt = (str(tmp_path / p) for p in ("bronze/lab", "silver/lab", "ckpt"))
+    spec = TableSpec("lab", ("id_resultado",), H.lab_rules(), order_by=("resultado",))
+    part = spark.createDataFrame([(1, 5.0), (2, 6.0)], "id_resultado int, resultado double")
+    write_partition(part, bronze, "2024-01-01")
+    _run(spark, bronze, silver, ckpt, part.schema, spec)
+    # a late file for the same date (e.g. listed after the first batch ran)
+    late = spark.createDataFrame([(3, -1.0), (1, 4.0)], "id_resultado int, resultado double")
+    late.write.mode("append").parquet(f"{bronze}/load_date=2024-01-01")
+    _run(spark, bronze, silver, ckpt, part.schema, spec)
+    got = {r["id_resultado"]: (r["resultado"], list(r[FLAG_COL])) for r in spark.read.parquet(silver).collect()}
+    assert got == {1: (4.0, []), 2: (6.0, []), 3: (-1.0, ["resultado_fuera_de_rango"])}
