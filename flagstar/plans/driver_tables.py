@@ -15,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flagstar.functions.dates import age_years
 from flagstar.functions.rules import is_missing, outside_dates, outside_range, regex_match, regex_mismatch
 from flagstar.operators import checks as V
 from flagstar.operators.dedup import dedup_by_key, duplicate_count
@@ -45,8 +46,9 @@ from flagstar.operators.star import (
 from flagstar.plans import hospital as H
 from flagstar.plans.medallion import Domain, run_layers
 from flagstar.session import scratch_dir
-from flagstar.sources.landing import land_by_date, read_latest, table_counts
+from flagstar.sources.landing import land_by_date, land_csv, read_latest, table_counts
 from flagstar.sources.layers import materialize, read_source, read_table
+from flagstar.streaming.silver_stream import refine_stream
 
 # ---------------------------------------------------------------------------
 # Fixed parameters of the driver-table queries (the oracle SQL uses the same).
@@ -271,8 +273,6 @@ def q_dim_doctor(spark, sf_dir):
 
 def q_age_years(spark, sf_dir):
     """G1: age at a fixed date, source approximation and exact."""
-    from flagstar.functions.dates import age_years
-
     o = _t(spark, sf_dir, "orders")
     return o.select(
         "o_orderkey",
@@ -385,8 +385,6 @@ def q_csv_landing(spark, sf_dir):
     root = scratch_dir(spark, "csv-landing")
     customer = _t(spark, sf_dir, "customer")
     customer.write.mode("overwrite").option("header", True).csv(f"{root}/source/customer")
-    from flagstar.sources.landing import land_csv
-
     land_csv(spark, "customer", f"{root}/source/customer", f"{root}/bronze", AS_OF, schema=customer.schema)
     return read_latest(spark, f"{root}/bronze/customer")
 
@@ -437,8 +435,6 @@ def q_medallion_monthly(spark, sf_dir):
 def q_stream_silver(spark, sf_dir):
     """Silver as a stream: events landed one load date per day, refined
     incrementally (Q7 rule, dedup per event and date), read back."""
-    from flagstar.streaming.silver_stream import refine_stream
-
     root = scratch_dir(spark, "stream")
     ev = _t(spark, sf_dir, "events").select(
         "event_id",

@@ -21,8 +21,12 @@ from flagstar.functions.rules import (
     regex_mismatch,
 )
 from flagstar.operators.integrity import ForeignKey
+from flagstar.operators.marts import count_by, kpis, mean_by, monthly, select_rows, top_k
+from flagstar.operators.marts import domain as domain_of
 from flagstar.operators.quality import Repair, Rule, TableSpec
-from flagstar.operators.star import calendar_dim, fact_build, project_dim, with_age
+from flagstar.operators.star import DimRef, calendar_dim, fact_build, project_dim, star_view, with_age
+from flagstar.plans.medallion import Domain
+from flagstar.sources.layers import read_table
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the source model's for identical results:
@@ -167,8 +171,6 @@ def default_as_of() -> _dt.date:
 
 def domain(as_of, exact_age: bool = False):
     """The hospital model as a :class:`~flagstar.plans.medallion.Domain` for ``run_layers``."""
-    from flagstar.plans.medallion import Domain
-
     return Domain(
         specs=table_specs(as_of),
         build_gold=lambda silver: build_gold(silver, as_of, exact_age),
@@ -187,9 +189,6 @@ def star_from_gold(spark, gold_root: str) -> DataFrame:
     The doctor's name stays ``nombre``; the patient's becomes ``nombre_paciente``.
     Dimensions read from files are broadcast only under the row cap.
     """
-    from flagstar.operators.star import DimRef, star_view
-    from flagstar.sources.layers import read_table
-
     g = {t: read_table(spark, f"{gold_root}/{t}") for t in GOLD_TABLES}
     return star_view(
         g["fact_citas"],
@@ -215,8 +214,6 @@ def dashboard_marts(
     Each mart re-reads the star from Gold files (a scan plus broadcast joins),
     which is cheaper than pinning a fact-sized cache no caller could release.
     """
-    from flagstar.operators.marts import count_by, domain as domain_of, kpis, mean_by, monthly, select_rows, top_k
-
     star = star_from_gold(spark, gold_root)
     chosen = select_rows(star, "especialidad", specialties, clean_only=clean_only)
     return {
