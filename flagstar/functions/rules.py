@@ -53,6 +53,21 @@ def regex_match(col: ColumnLike, pattern: str) -> Column:
     return _c(col).rlike(pattern)
 
 
+# Fixed value: the "e-mail-like token somewhere in a text" language,
+# ``[^@\s]+@[^@\s]+\.[^@\s]+`` with find semantics. Java's backtracking
+# engine needs quadratic time on a long run without '@' (it retries from every
+# position in the run), so whole texts are scanned with this equivalent form:
+# a match may only start where a token starts (any match can be moved left to
+# one), and the part before '@' never gives characters back (it cannot hold
+# '@'). Linear per text; the same rows match.
+EMAIL_TOKEN_PATTERN = r"(?<![^@\s])[^@\s]++@[^@\s]+\.[^@\s]+"
+
+
+def contains_email(col: ColumnLike) -> Column:
+    """Text contains an e-mail-like token (linear-time on whole texts)."""
+    return _c(col).rlike(EMAIL_TOKEN_PATTERN)
+
+
 def outside_range(col: ColumnLike, low=None, high=None, null_is_bad: bool = False) -> Column:
     """``col < low OR col > high``; the bounds themselves are valid."""
     c = _c(col)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flagstar.functions.dates import age_years
-from flagstar.functions.rules import is_missing, outside_dates, outside_range, regex_match, regex_mismatch
+from flagstar.functions.rules import contains_email, is_missing, outside_dates, outside_range, regex_mismatch
 from flagstar.operators import checks as V
 from flagstar.operators.dedup import dedup_by_key, duplicate_count
 from flagstar.operators.integrity import ForeignKey, orphan_report, orphans
@@ -59,7 +59,6 @@ ORDER_DATE_MIN, ORDER_DATE_AS_OF = "1995-06-01", "2001-01-01"
 ACCTBAL_MIN, ACCTBAL_MAX = 0, 9000
 FLAG_ACCTBAL = "acctbal_fuera_de_rango"
 FLAG_EMAIL_IN_TEXT = "email_en_texto"
-EMAIL_IN_TEXT_PATTERN = r"[^@\s]+@[^@\s]+\.[^@\s]+"
 EXCLUDED_SEGMENT = "MACHINERY"
 SELECTED_SPECIALTIES = ("NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8", "NATION_13")
 TOP_K = 10
@@ -201,7 +200,7 @@ def q_flag_regex(spark, sf_dir):
 
 def q_flag_regex_text(spark, sf_dir):
     """Q1 polarity flipped: whole documents that contain an e-mail-like token."""
-    rule = Rule(FLAG_EMAIL_IN_TEXT, lambda: regex_match("text", EMAIL_IN_TEXT_PATTERN))
+    rule = Rule(FLAG_EMAIL_IN_TEXT, lambda: contains_email("text"))
     return apply_rules(_t(spark, sf_dir, "documents").select("doc_id", "text"), [rule]).select(
         "doc_id", _flags_text()
     )
