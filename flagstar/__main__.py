@@ -3,6 +3,7 @@
     python -m flagstar layers --source-dir data/source --root data/lake [--as-of 2024-01-02]
                               [--load-date 2024-01-02] [--strict] [--on-orphan warn|fail]
     python -m flagstar marts --root data/lake [--specialty Cardiologia ...] [--clean-only]
+    python -m flagstar checks --root data/lake
 
 ``layers`` expects ``pacientes.csv``, ``doctores.csv``, ``citas.csv`` and
 ``resultados_lab.csv`` (a missing one is reported as MISSING). It prints one
@@ -46,6 +47,14 @@ def _marts(args) -> int:
     return 0
 
 
+def _checks(args) -> int:
+    spark = get_session(app_name="flagstar-checks")
+    rows = H.contract_checks(spark, args.root.rstrip("/")).collect()
+    for r in rows:
+        print(json.dumps(r.asDict()))
+    return 0 if all(r["passed"] for r in rows) else 1
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="python -m flagstar")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -64,6 +73,9 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--top", type=int, default=10)
     m.add_argument("--rows", type=int, default=50)
     m.set_defaults(fn=_marts)
+    c = sub.add_parser("checks", help="data contract of a written lake (one JSON line per check)")
+    c.add_argument("--root", required=True)
+    c.set_defaults(fn=_checks)
     args = parser.parse_args(argv)
     return args.fn(args)
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from flagstar.operators.integrity import orphan_count
 from flagstar.operators.quality import FLAG_COL
 from flagstar.operators.star import UNKNOWN_DATE_ID
+from flagstar.sources.landing import tables_ready
 
 
 def _row(df: DataFrame, name: str, violations) -> DataFrame:
@@ -27,6 +28,11 @@ def _const(spark: SparkSession, name: str, violations: int) -> DataFrame:
     )
 
 
+def table_exists(spark: SparkSession, root: str, table: str, name: str | None = None) -> DataFrame:
+    """V1: ``root/<table>`` holds at least one Parquet file."""
+    return _const(spark, name or f"table_exists:{table}", 0 if tables_ready(spark, root, [table]) else 1)
+
+
 def pk_unique(df: DataFrame, keys: Sequence[str], name: str = "pk_unique") -> DataFrame:
     """V2: rows minus distinct keys (0 when the key is unique)."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

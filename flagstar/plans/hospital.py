@@ -10,6 +10,7 @@ import datetime as _dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flagstar.functions.rules import (
@@ -20,12 +21,14 @@ from flagstar.functions.rules import (
     outside_range,
     regex_mismatch,
 )
+from flagstar.operators import checks as V
 from flagstar.operators.integrity import ForeignKey
 from flagstar.operators.marts import count_by, kpis, mean_by, monthly, select_rows, top_k
 from flagstar.operators.marts import domain as domain_of
-from flagstar.operators.quality import Repair, Rule, TableSpec
+from flagstar.operators.quality import FLAG_COL, Repair, Rule, TableSpec
 from flagstar.operators.star import DimRef, calendar_dim, fact_build, project_dim, star_view, with_age
 from flagstar.plans.medallion import Domain
+from flagstar.sources.landing import read_latest, tables_ready
 from flagstar.sources.layers import read_table
 
 # ---------------------------------------------------------------------------
@@ -224,3 +227,44 @@ def dashboard_marts(
         "espera_por_especialidad": mean_by(chosen, "especialidad", "tiempo_espera_minutos", 1),
         "top_doctores": top_k(chosen, "nombre", top, "total_citas"),
     }
+
+
+SILVER_KEYS = {"pacientes": "id_paciente", "doctores": "id_doctor", "citas": "id_cita", "resultados_lab": "id_resultado"}
+
+
+def contract_checks(spark, root: str) -> DataFrame:
+    """The data contract of a written lake (V1-V9), one row per check.
+
+    Silver: every table exists, has a unique key and the flag column, every
+    appointment without a date carries its flag, and no appointment was lost
+    between the newest Bronze partition and Silver. Gold: every table exists,
+    the fact's date key is never NULL, the unknown date exists exactly once,
+    no patient contact data is exposed, and no fact row is an orphan.
+    Missing tables are reported as failed existence checks; checks that need
+    them are skipped.
+    """
+    silver_root, gold_root = f"{root}/silver", f"{root}/gold"
+    rows = []
+    have_silver = tables_ready(spark, silver_root, list(SILVER_KEYS))
+    for t in SILVER_KEYS:
+        rows.append(V.table_exists(spark, silver_root, t, f"silver_exists:{t}"))
+    if have_silver:
+        silver = {t: read_table(spark, f"{silver_root}/{t}") for t in SILVER_KEYS}
+        for t, key in SILVER_KEYS.items():
+            rows.append(V.pk_unique(silver[t], [key], f"pk_unique:{t}"))
+            rows.append(V.column_present(silver[t], FLAG_COL, f"flag_column:{t}"))
+        rows.append(V.null_date_flagged(silver["citas"], "fecha_hora", FLAG_MISSING_DATE))
+        bronze = read_latest(spark, f"{root}/bronze/citas")
+        rows.append(V.no_row_loss(bronze.select(F.col("id_cita").try_cast("int").alias("id_cita")),
+                                  silver["citas"], ["id_cita"]))
+    have_gold = tables_ready(spark, gold_root, list(GOLD_TABLES))
+    for t in GOLD_TABLES:
+        rows.append(V.table_exists(spark, gold_root, t, f"gold_exists:{t}"))
+    if have_gold:
+        g = {t: read_table(spark, f"{gold_root}/{t}") for t in GOLD_TABLES}
+        rows.append(V.not_null(g["fact_citas"], "id_tiempo"))
+        rows.append(V.single_unknown_member(g["dim_tiempo"]))
+        rows.append(V.columns_absent(g["dim_paciente"], PATIENT_FORBIDDEN, "no_personal_data:dim_paciente"))
+        for dim, key in (("dim_doctor", "id_doctor"), ("dim_paciente", "id_paciente"), ("dim_tiempo", "id_tiempo")):
+            rows.append(V.no_orphans(g["fact_citas"], g[dim], key))
+    return V.run_checks(rows)

@@ -176,3 +176,18 @@ def test_layers_with_an_empty_source_table(spark, tmp_path):
     assert [(s.stage, s.ok) for s in statuses] == [("bronze", True), ("silver", True), ("gold", True)]
     assert statuses[0].detail["resultados_lab"] == {"rows": 0, "status": "EMPTY"}
     assert statuses[1].detail["resultados_lab"]["rows"] == 0
+
+
+def test_contract_checks_on_a_written_lake(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    run_layers(spark, root, H.domain(AS_OF), sources=_sources(tmp_path), load_date=AS_OF)
+    got = {r["check_name"]: (r["violations"], r["passed"]) for r in H.contract_checks(spark, root).collect()}
+    assert all(passed for name, (_, passed) in got.items() if name != "no_orphans:id_paciente"), got
+    assert got["no_orphans:id_paciente"] == (1, False)  # appointment 4 points at a missing patient
+    assert got["no_row_loss"] == (0, True)  # the exact duplicate of appointment 4 is the only row removed
+    assert len(got) == 4 + 8 + 2 + 4 + 3 + 3
+
+
+def test_contract_checks_report_missing_tables(spark, tmp_path):
+    got = {r["check_name"]: r["passed"] for r in H.contract_checks(spark, str(tmp_path / "nothing")).collect()}
+    assert got and not any(got.values())
