@@ -2,10 +2,17 @@
 
 ``dropDuplicates`` keeps an arbitrary row per key (it plans as a ``first()``
 aggregate), so two runs may publish different survivors. Here the survivor is
-the first row of a declared total order, via ``row_number() = 1``. Catalyst
-turns that filter into a *partial* ``WindowGroupLimit`` before the shuffle:
-every map task keeps one row per key, so a key that owns a third of the table
-sends at most one row per input partition to its reducer.
+the first row of a declared total order.
+
+It is written as an aggregate, ``groupBy(keys).agg(min_by(row, order))``,
+rather than a ``row_number() = 1`` window, for the sake of hot keys: an
+aggregate always keeps its partial (map-side) step, so a key whose copies make
+up a third of the table is collapsed to one row per task before any shuffle,
+also when the input already arrives partitioned by a join on a prefix of the
+key and AQE only adds the exchange later, after splitting that join's skewed
+partition. A window's partial per-key limit is dropped in that situation. The
+window form remains for orders given as arbitrary Column expressions
+(e.g. descending).
 """
 
 from __future__ import annotations
@@ -17,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
 _RN = "__flagstar_rn"
+_ROW = "__flagstar_row"
+_KEYHASH = "__flagstar_keyhash"
 
 
 def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
@@ -28,32 +37,51 @@ def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     ]
 
 
+def _key_exprs(df: DataFrame, keys: list[str]) -> list[Column]:
+    """Grouping expressions; long text keys get a 64-bit hash in front so
+    sorts compare one long instead of whole texts (near copies share long
+    prefixes). The keys still follow, so grouping stays exact."""
+    exprs = [F.col(k) for k in keys]
+    types = dict(df.dtypes)
+    if any(types.get(k) in ("string", "binary") for k in keys):
+        exprs.insert(0, F.xxhash64(*keys).alias(_KEYHASH))
+    return exprs
+
+
 def dedup_by_key(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str | Column] | None = None,
 ) -> DataFrame:
-    """Keep one row per ``keys``: the first by ``order_by``.
-
-    ``order_by`` defaults to all other (orderable) columns ascending with NULLs
-    first, which makes the survivor independent of partitioning; exact copies
-    are then interchangeable.
+    """Keep one row per ``keys``: the first by ``order_by`` (ascending, NULLs
+    first), ties broken by the remaining columns, so the survivor never
+    depends on partitioning. ``order_by`` defaults to all other columns.
+    Column order of ``df`` is preserved.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("dedup_by_key needs at least one key column")
     order = list(order_by) if order_by else _orderable(df, keys)
+    if any(not isinstance(c, str) for c in order):
+        return _dedup_window(df, keys, order)
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_RN)).select(*keys)
+    orderable = _orderable(df, keys)
+    ranked = [*order, *[c for c in orderable if c not in order]]
+    if len(ranked) == len(rest):
+        # every column compares: the smallest (order..., rest...) struct is the row
+        survivor = F.min(F.struct(*[F.col(c) for c in ranked]))
+    else:
+        # map/variant columns cannot be compared: carry them along with min_by
+        survivor = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in ranked]))
+    grouped = df.groupBy(*_key_exprs(df, keys)).agg(survivor.alias(_ROW))
+    return grouped.select(*[F.col(c) if c in keys else F.col(f"{_ROW}.{c}").alias(c) for c in df.columns])
+
+
+def _dedup_window(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     order_cols = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
-    if not order_cols:
-        order_cols = [F.col(keys[0])]
-    partition = [F.col(k) for k in keys]
-    types = dict(df.dtypes)
-    if any(types.get(k) in ("string", "binary") for k in keys):
-        # Long text keys: a 64-bit hash in front lets the sorts compare one
-        # long instead of whole texts (near copies share long prefixes); the
-        # keys themselves still follow, so grouping stays exact.
-        partition.insert(0, F.xxhash64(*keys))
-    w = Window.partitionBy(*partition).orderBy(*order_cols)
+    w = Window.partitionBy(*_key_exprs(df, keys)).orderBy(*order_cols)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 

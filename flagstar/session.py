@@ -14,8 +14,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 #  * AQE re-plans from measured shuffle sizes (coalescing, broadcast switch).
 #  * skew join splits a hot key's partition; ``forceOptimizeSkewedJoin`` lets
 #    it do so even where the join's partitioning is reused downstream (the
-#    appointment join feeds a dedup window on the same key), at the price of
-#    one extra exchange only when skew is actually detected.
+#    appointment join feeds a dedup on the same key), at the price of one
+#    extra exchange only when skew is actually detected.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

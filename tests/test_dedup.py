@@ -40,7 +40,22 @@ def test_needs_a_key(spark):
         dedup_by_key(spark.createDataFrame([(1,)], "k int"), [])
 
 
-def test_plan_limits_each_key_before_the_shuffle(spark):
+def test_plan_combines_each_key_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 7 AS k", "id AS v")
     plan = plan_text(dedup_by_key(df, ["k"], ["v"]))
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    tree = plan.split("\n\n\n")[0]
+    assert tree.index("Exchange") < tree.rindex("SortAggregate")  # a partial aggregate below the exchange
+    assert "partial_min" in plan
+
+
+def test_map_columns_ride_along(spark):
+    df = spark.createDataFrame([(1, 2, {"a": 1}), (1, 1, {"b": 2})], "k int, v int, m map<string,int>")
+    out = dedup_by_key(df, ["k"], ["v"]).collect()
+    assert [(r["k"], r["v"], r["m"]) for r in out] == [(1, 1, {"b": 2})]
+
+
+def test_descending_orders_use_the_window_form(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, 1), (1, 3), (1, 2)], "k int, v int")
+    assert [tuple(r) for r in dedup_by_key(df, ["k"], [F.col("v").desc()]).collect()] == [(1, 3)]

@@ -43,7 +43,7 @@ def _hot(spark, n=200_000):
     )
 
 
-def test_hot_join_key_is_split_before_the_dedup_window(spark):
+def test_hot_join_key_is_split_before_the_dedup(spark):
     tune_session(spark)
     with conf(spark, SMALL_SKEW):
         dim = spark.range(200_000).select(F.col("id").alias("k2"), (F.col("id") * 3).alias("cust"))
@@ -64,3 +64,28 @@ def test_hot_keys_are_combined_map_side(spark):
     assert orphan_count(df, dim, "k").first()["orphan_rows"] == 200_000 - 5  # keys 1, 3, 5, 7, 9 exist
     plan = plan_text(orphan_count(df, dim, "k"))
     assert "BroadcastHashJoin LeftAnti" in plan and "partial_count" in plan  # map-side filter, then combine
+
+
+def test_hot_group_of_copies_is_collapsed_before_its_shuffle(spark):
+    """Half of all rows are copies of one dedup key, and the input arrives
+    partitioned by a join on a prefix of that key: after AQE splits the skewed
+    join partition, the exchange feeding the dedup carries about one row per
+    distinct key, not the copies."""
+    import re
+
+    tune_session(spark)
+    with conf(spark, SMALL_SKEW):
+        hot = F.col("id") % 2 == 0
+        fact = spark.range(200_000).select(
+            F.when(hot, F.lit(0)).otherwise(F.col("id")).alias("k"),
+            F.when(hot, F.lit(0)).otherwise(F.col("id")).alias("line"),
+            F.col("id").alias("payload"),
+        )
+        dim = spark.range(200_000).select(F.col("id").alias("k2"), (F.col("id") * 3).alias("cust"))
+        j = fact.join(dim, F.col("k") == F.col("k2")).select("k", "line", "payload", "cust")
+        d = dedup_by_key(j, ["k", "line"], ["payload"])
+        assert len(d.collect()) == 100_001
+        plan = plan_text(d)
+    assert "SortMergeJoin(skew=true)" in plan
+    first_stage = re.search(r"ShuffleQueryStage \(\d+\), Statistics\([^)]*rowCount=([0-9.E+]+)\)", plan)
+    assert first_stage and float(first_stage.group(1)) < 150_000
