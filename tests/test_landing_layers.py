@@ -191,3 +191,18 @@ def test_contract_checks_on_a_written_lake(spark, tmp_path):
 def test_contract_checks_report_missing_tables(spark, tmp_path):
     got = {r["check_name"]: r["passed"] for r in H.contract_checks(spark, str(tmp_path / "nothing")).collect()}
     assert got and not any(got.values())
+
+
+def test_malformed_csv_lines_are_kept_not_dropped(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from flagstar.sources.landing import read_csv
+
+    src = _write(tmp_path / "src" / "t.csv", "id,n\n1,7\n2,not a number\n3\n")
+    schema = StructType([StructField("id", IntegerType()), StructField("n", IntegerType())])
+    df = read_csv(spark, src, schema=schema, keep_corrupt=True).cache()
+    got = {r["id"]: (r["n"], r["_corrupt_record"]) for r in df.collect()}
+    assert got[1] == (7, None)
+    assert got[2][0] is None and got[2][1] == "2,not a number"
+    assert got[3][0] is None and got[3][1] == "3"
+    assert df.count() == 3
