@@ -206,3 +206,21 @@ def test_malformed_csv_lines_are_kept_not_dropped(spark, tmp_path):
     assert got[2][0] is None and got[2][1] == "2,not a number"
     assert got[3][0] is None and got[3][1] == "3"
     assert df.count() == 3
+
+
+def test_command_line_runs_layers_checks_and_marts(spark, tmp_path, capsys):
+    import json as _json
+
+    from flagstar.__main__ import main
+
+    src = tmp_path / "src"
+    _sources(tmp_path)
+    root = str(tmp_path / "lake")
+    assert main(["layers", "--source-dir", str(src), "--root", root, "--as-of", "2024-01-02"]) == 0
+    stages = [_json.loads(l) for l in capsys.readouterr().out.splitlines() if l.startswith("{")]
+    assert [s["stage"] for s in stages] == ["bronze", "silver", "gold"] and all(s["ok"] for s in stages)
+    assert main(["checks", "--root", root]) == 1  # appointment 4 points at a missing patient
+    checks = [_json.loads(l) for l in capsys.readouterr().out.splitlines() if l.startswith("{")]
+    assert [c["check_name"] for c in checks if not c["passed"]] == ["no_orphans:id_paciente"]
+    assert main(["marts", "--root", root, "--rows", "5"]) == 0
+    assert "== kpis" in capsys.readouterr().out
