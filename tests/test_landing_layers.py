@@ -194,7 +194,7 @@ def test_contract_checks_report_missing_tables(spark, tmp_path):
 
 
 def test_malformed_csv_lines_are_kept_not_dropped(spark, tmp_path):
-    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+    from pyspark.sql.types import IntegerType, StructField, StructType
 
     from flagstar.sources.landing import read_csv
 
