@@ -137,8 +137,9 @@ def test_orphans_can_fail_the_gold_stage(spark, tmp_path):
 def test_silver_stage_reports_flag_share(spark, tmp_path):
     statuses = run_layers(spark, str(tmp_path / "lake"), H.domain(AS_OF), sources=_sources(tmp_path), load_date=AS_OF)
     silver = statuses[1].detail
-    assert silver["citas"] == {"rows": 4, "flagged": 3, "pct_flagged": 75.0}
+    assert silver["citas"] == {"rows": 4, "duplicates_removed": 1, "flagged": 3, "pct_flagged": 75.0}
     assert silver["doctores"]["rows"] == 3 and silver["doctores"]["flagged"] == 2
+    assert silver["doctores"]["duplicates_removed"] == 1
 
 
 def test_dashboard_marts_on_gold(spark, tmp_path):
@@ -224,3 +225,13 @@ def test_command_line_runs_layers_checks_and_marts(spark, tmp_path, capsys):
     assert [c["check_name"] for c in checks if not c["passed"]] == ["no_orphans:id_paciente"]
     assert main(["marts", "--root", root, "--rows", "5"]) == 0
     assert "== kpis" in capsys.readouterr().out
+
+
+def test_inferred_schema_loses_leading_zeros_declared_text_keeps_them(spark, tmp_path):
+    src = _write(tmp_path / "src" / "doctores.csv", DOCTORES)
+    bronze = str(tmp_path / "bronze")
+    land_csv(spark, "inferred", src, bronze, "2024-01-01", infer_schema=True)
+    land_csv(spark, "declared", src, bronze, "2024-01-01", schema=H.BRONZE_SCHEMAS["doctores"])
+    inferred = {r["cedula_profesional"] for r in read_latest(spark, f"{bronze}/inferred").collect()}
+    declared = {r["cedula_profesional"] for r in read_latest(spark, f"{bronze}/declared").collect()}
+    assert 1234567 in inferred and "01234567" in declared
