@@ -6,7 +6,6 @@ This is one configuration of the generic operators; nothing in
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -168,10 +167,6 @@ def lab_foreign_key(silver: Mapping[str, DataFrame]) -> ForeignKey:
     return ForeignKey("cita", "id_cita", silver["citas"], "id_cita")
 
 
-def default_as_of() -> _dt.date:
-    return _dt.date.today()
-
-
 def domain(as_of, exact_age: bool = False):
     """The hospital model as a :class:`~flagstar.plans.medallion.Domain` for ``run_layers``."""
     return Domain(
