@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 LOAD_COL = "load_date"
 CORRUPT_COL = "_corrupt_record"
@@ -52,16 +52,30 @@ def read_csv(
 ) -> DataFrame:
     """CSV with header. With ``schema`` no inference pass is made; cells that
     do not fit their type become NULL (PERMISSIVE) and, with ``keep_corrupt``,
-    the raw line is kept in ``_corrupt_record``."""
+    the raw line is kept in ``_corrupt_record``.
+
+    Declared columns are matched to the file *by header name*, not by
+    position, so a source that reorders its columns still lands correctly
+    (Spark's default would apply the schema positionally and silently swap
+    values). A declared column missing from the header raises ``ValueError``;
+    extra columns in the file are not carried into the result.
+    """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        if keep_corrupt:
-            schema = StructType(list(schema.fields)).add(CORRUPT_COL, "string")
-            reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", infer_schema)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", infer_schema).csv(path)
+    header = spark.read.option("header", True).csv(path).columns  # first line only
+    declared = {f.name: f for f in schema.fields}
+    missing = [n for n in declared if n not in header]
+    if missing:
+        raise ValueError(f"{path}: header lacks declared columns {missing}")
+    file_schema = StructType([declared.get(n, StructField(n, StringType())) for n in header])
+    out_cols = [f.name for f in schema.fields]
+    if keep_corrupt:
+        file_schema = file_schema.add(CORRUPT_COL, "string")
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
+        out_cols.append(CORRUPT_COL)
+    df = reader.option("enforceSchema", False).schema(file_schema).csv(path)
+    return df.select(*out_cols)
 
 
 def write_partition(df: DataFrame, table_root: str, load_date, load_col: str = LOAD_COL) -> int:

@@ -235,3 +235,18 @@ def test_inferred_schema_loses_leading_zeros_declared_text_keeps_them(spark, tmp
     inferred = {r["cedula_profesional"] for r in read_latest(spark, f"{bronze}/inferred").collect()}
     declared = {r["cedula_profesional"] for r in read_latest(spark, f"{bronze}/declared").collect()}
     assert 1234567 in inferred and "01234567" in declared
+
+
+def test_csv_columns_are_matched_by_header_name(spark, tmp_path):
+    from flagstar.sources.landing import read_csv
+
+    schema = H.BRONZE_SCHEMAS["doctores"]
+    swapped = _write(tmp_path / "src" / "swapped.csv",
+                     "cedula_profesional,id_doctor,especialidad,nombre,anios_experiencia,extra\n"
+                     "01234567,1,Cardiologia,Dr. Uno,10,zzz\n")
+    row = read_csv(spark, swapped, schema=schema).first()
+    assert row.asDict() == {"id_doctor": "1", "nombre": "Dr. Uno", "especialidad": "Cardiologia",
+                            "anios_experiencia": "10", "cedula_profesional": "01234567"}
+    short = _write(tmp_path / "src" / "short.csv", "id_doctor,nombre\n1,Dr. Uno\n")
+    with pytest.raises(ValueError):
+        read_csv(spark, short, schema=schema)
