@@ -20,6 +20,7 @@ import sys
 from flagstar.plans import hospital as H
 from flagstar.plans.medallion import run_layers
 from flagstar.session import get_session
+from flagstar.sources.landing import tables_ready
 
 SOURCE_FILES = {name: f"{name}.csv" for name in H.BRONZE_SCHEMAS}
 
@@ -40,7 +41,11 @@ def _layers(args) -> int:
 
 def _marts(args) -> int:
     spark = get_session(app_name="flagstar-marts")
-    marts = H.dashboard_marts(spark, f"{args.root.rstrip('/')}/gold", args.specialty or None, args.clean_only, args.top)
+    gold = f"{args.root.rstrip('/')}/gold"
+    if not tables_ready(spark, gold, H.GOLD_TABLES):
+        print(f"Gold tables are missing under {gold}; run `python -m flagstar layers` first.", file=sys.stderr)
+        return 2
+    marts = H.dashboard_marts(spark, gold, args.specialty or None, args.clean_only, args.top)
     for name, df in marts.items():
         print(f"== {name}")
         df.show(args.rows, truncate=False)

@@ -225,6 +225,7 @@ def test_command_line_runs_layers_checks_and_marts(spark, tmp_path, capsys):
     assert [c["check_name"] for c in checks if not c["passed"]] == ["no_orphans:id_paciente"]
     assert main(["marts", "--root", root, "--rows", "5"]) == 0
     assert "== kpis" in capsys.readouterr().out
+    assert main(["marts", "--root", str(tmp_path / "no-lake")]) == 2
 
 
 def test_inferred_schema_loses_leading_zeros_declared_text_keeps_them(spark, tmp_path):
