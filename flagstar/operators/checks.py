@@ -89,9 +89,13 @@ def columns_absent(df: DataFrame, forbidden: Sequence[str], name: str = "columns
     return _const(df.sparkSession, name, len(set(forbidden) & set(df.columns)))
 
 
-def no_orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str | None = None, name: str | None = None) -> DataFrame:
+def no_orphans(
+    fact: DataFrame, dim: DataFrame, fk: str, pk: str | None = None, name: str | None = None,
+    known_rows: int | None = None,
+) -> DataFrame:
     """V9: fact rows whose key has no dimension row."""
-    return _row(orphan_count(fact, dim, fk, pk), name or f"no_orphans:{fk}", F.col("orphan_rows"))
+    counted = orphan_count(fact, dim, fk, pk, known_rows=known_rows)
+    return _row(counted, name or f"no_orphans:{fk}", F.col("orphan_rows"))
 
 
 def run_checks(checks: Sequence[DataFrame]) -> DataFrame:

@@ -27,6 +27,7 @@ class ForeignKey:
     fact_key: str
     dim: DataFrame
     dim_key: str
+    known_rows: int | None = None  # dimension size when known by construction
 
 
 def orphans(
@@ -48,11 +49,12 @@ def orphan_count(
     fk: str,
     pk: str | None = None,
     broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """One row ``orphan_rows``: fact rows without a dimension row."""
     pk = pk or fk
     per_key = fact.groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
-    keys = bounded_broadcast(dim.select(F.col(pk).alias("__pk")), broadcast_max_rows)
+    keys = bounded_broadcast(dim.select(F.col(pk).alias("__pk")), broadcast_max_rows, known_rows)
     missing = per_key.join(keys, per_key["__fk"] == keys["__pk"], "left_anti")
     return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
 
@@ -66,7 +68,7 @@ def orphan_report(
     if not keys:
         raise ValueError("orphan_report needs at least one foreign key")
     parts = [
-        orphan_count(fact, k.dim, k.fact_key, k.dim_key, broadcast_max_rows).select(
+        orphan_count(fact, k.dim, k.fact_key, k.dim_key, broadcast_max_rows, k.known_rows).select(
             F.lit(k.name).alias("fk_name"),
             F.lit(k.fact_key).alias("fact_key"),
             "orphan_rows",

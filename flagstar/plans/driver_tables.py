@@ -304,7 +304,7 @@ def q_orphan_report(spark, sf_dir):
         ForeignKey("paciente", "id_paciente",
                    patient_dim(spark, sf_dir).filter(F.col("segmento") != EXCLUDED_SEGMENT), "id_paciente"),
         ForeignKey("doctor", "id_doctor", doctor_dim(spark, sf_dir), "id_doctor"),
-        ForeignKey("tiempo", "id_tiempo", cal.df, "id_tiempo"),
+        ForeignKey("tiempo", "id_tiempo", cal.df, "id_tiempo", known_rows=cal.known_rows),
     ]
     return orphan_report(f, keys)
 
@@ -374,7 +374,7 @@ def q_check_gold(spark, sf_dir):
         V.columns_absent(pat, ["c_acctbal"]),
         V.no_orphans(f, doctor_dim(spark, sf_dir), "id_doctor"),
         V.no_orphans(f, pat, "id_paciente"),
-        V.no_orphans(f, cal.df, "id_tiempo"),
+        V.no_orphans(f, cal.df, "id_tiempo", known_rows=cal.known_rows),
     ])
 
 
