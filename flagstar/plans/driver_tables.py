@@ -20,7 +20,6 @@ from flagstar.functions.rules import contains_email, is_missing, outside_dates,
 from flagstar.operators import checks as V
 from flagstar.operators.dedup import dedup_by_key, duplicate_count
 from flagstar.operators.integrity import ForeignKey, orphan_report, orphans
-from flagstar.operators.joins import bounded_broadcast
 from flagstar.operators.marts import count_by, domain, kpis, mean_by, monthly, select_rows, top_k
 from flagstar.operators.quality import (
     FLAG_COL,
@@ -128,7 +127,8 @@ def doctor_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Doctor role: suppliers with their nation's name as specialty."""
     s = _t(spark, sf_dir, "supplier")
     n = _t(spark, sf_dir, "nation")
-    j = s.join(bounded_broadcast(n), s["s_nationkey"] == n["n_nationkey"], "inner")
+    # A plain scan: Spark's size-based auto-broadcast decides from the file size.
+    j = s.join(n, s["s_nationkey"] == n["n_nationkey"], "inner")
     return project_dim(
         j,
         [F.col("s_suppkey").alias("id_doctor"), F.col("s_name").alias("nombre"),
