@@ -89,3 +89,24 @@ def test_hot_group_of_copies_is_collapsed_before_its_shuffle(spark):
     assert "SortMergeJoin(skew=true)" in plan
     first_stage = re.search(r"ShuffleQueryStage \(\d+\), Statistics\([^)]*rowCount=([0-9.E+]+)\)", plan)
     assert first_stage and float(first_stage.group(1)) < 150_000
+
+
+def test_hot_day_is_split_across_files_and_quiet_days_stay_whole(spark, tmp_path):
+    import os
+
+    from flagstar.sources.landing import land_by_date
+
+    day = F.when(F.col("id") % 2 == 0, F.lit("2024-01-01")).otherwise(
+        F.concat(F.lit("2024-02-"), F.lpad(((F.col("id") % 20) + 1).cast("string"), 2, "0")))
+    df = spark.range(400_000).select(F.col("id"), F.to_timestamp(day).alias("ts"), F.rand(1).alias("x"))
+    root = str(tmp_path / "bronze")
+    with conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+                      "spark.sql.adaptive.coalescePartitions.enabled": "true"}):
+        land_by_date(df, root, "ts")
+    files = {d: [f for f in os.listdir(os.path.join(root, d)) if f.endswith(".parquet")]
+             for d in os.listdir(root) if d.startswith("load_date=")}
+    assert len(files) == 11
+    hot = len(files["load_date=2024-01-01"])
+    quiet = max(len(v) for k, v in files.items() if k != "load_date=2024-01-01")
+    assert hot > 2 * quiet  # the day holding half the rows is split into advisory-sized pieces
+    assert spark.read.parquet(root).count() == 400_000
