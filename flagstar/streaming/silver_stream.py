@@ -18,6 +18,7 @@ batch stage does per partition.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,7 +74,7 @@ def refine_stream(
     writer = (
         stream.writeStream.foreachBatch(_write_batch(spec, bronze_table, schema, silver_path, load_col))
         .option("checkpointLocation", checkpoint or scratch_dir(spark, "silver-stream-ckpt"))
-        .queryName(f"silver_{spec.name}")
+        .queryName(f"silver_{spec.name}_{uuid.uuid4().hex[:8]}")  # unique among active queries
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
