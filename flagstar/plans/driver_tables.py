@@ -157,15 +157,27 @@ def silver_and_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Di
     return silver, DimRef(calendar_from_bounds(spark, lo, hi), "id_tiempo", known_rows=calendar_size(lo, hi))
 
 
-def star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact with doctor, date and patient dimensions (P7 renames)."""
-    silver, cal = silver_and_calendar(spark, sf_dir)
+def star(spark: SparkSession, sf_dir: str, with_calendar: bool = True) -> DataFrame:
+    """Fact with doctor, date and patient dimensions (P7 renames).
+
+    The calendar covers every date of the fact by construction (each fact
+    key is a day between the fact's own first and last date, or the unknown
+    member), so joining it never drops a row; it only adds date attributes.
+    Marts that use none of them pass ``with_calendar=False``: same rows, and
+    no Silver write is needed to size the calendar, so the whole mart is one
+    plan.
+    """
+    if with_calendar:
+        silver, cal = silver_and_calendar(spark, sf_dir)
+        dims = [cal]
+    else:
+        silver, dims = silver_appointments(spark, sf_dir), []
     f = fact_build(silver, "fecha_hora", FACT_COLUMNS)
     return star_view(
         f,
         [
             DimRef(doctor_dim(spark, sf_dir), "id_doctor"),
-            cal,
+            *dims,
             DimRef(patient_dim(spark, sf_dir), "id_paciente", rename={"nombre": "nombre_paciente"}),
         ],
     )
@@ -317,12 +329,13 @@ def q_star_view(spark, sf_dir):
 # --------------------------------------------------------------------- marts
 def q_kpis(spark, sf_dir):
     """M1 over all rows."""
-    return kpis(star(spark, sf_dir))
+    return kpis(star(spark, sf_dir, with_calendar=False))
 
 
 def q_kpis_clean(spark, sf_dir):
     """M1 with the dashboard's filters: chosen specialties, clean rows only."""
-    return kpis(select_rows(star(spark, sf_dir), "especialidad", SELECTED_SPECIALTIES, clean_only=True))
+    return kpis(select_rows(star(spark, sf_dir, with_calendar=False), "especialidad", SELECTED_SPECIALTIES,
+                            clean_only=True))
 
 
 def q_monthly(spark, sf_dir):
@@ -332,22 +345,22 @@ def q_monthly(spark, sf_dir):
 
 def q_by_status(spark, sf_dir):
     """M3."""
-    return count_by(star(spark, sf_dir), "estado", "total")
+    return count_by(star(spark, sf_dir, with_calendar=False), "estado", "total")
 
 
 def q_wait_by_specialty(spark, sf_dir):
     """M4."""
-    return mean_by(star(spark, sf_dir), "especialidad", "tiempo_espera_minutos", 1)
+    return mean_by(star(spark, sf_dir, with_calendar=False), "especialidad", "tiempo_espera_minutos", 1)
 
 
 def q_top_doctors(spark, sf_dir):
     """M5."""
-    return top_k(star(spark, sf_dir), "nombre", TOP_K, "total_citas")
+    return top_k(star(spark, sf_dir, with_calendar=False), "nombre", TOP_K, "total_citas")
 
 
 def q_specialty_domain(spark, sf_dir):
     """M6."""
-    return domain(star(spark, sf_dir), "especialidad")
+    return domain(star(spark, sf_dir, with_calendar=False), "especialidad")
 
 
 # -------------------------------------------------------------------- checks

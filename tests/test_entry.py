@@ -70,3 +70,16 @@ def test_latest_partition_prunes_partitions(spark):
     plan = plan_text(E.queries()["latest_partition"](spark, SF_SMALL))
     assert "PartitionFilters: [isnotnull(load_date" in plan and "= Subquery subquery" in plan
     assert "ReadSchema: struct<>" in plan  # the max(load_date) subquery reads no data columns
+
+
+def test_calendar_join_never_drops_fact_rows(spark):
+    """The calendar covers every fact date by construction, so marts that use
+    no date attribute may leave it out: same rows either way."""
+    from flagstar.operators.marts import kpis
+    from flagstar.plans.driver_tables import star
+
+    with_cal = star(spark, SF_SMALL)
+    without = star(spark, SF_SMALL, with_calendar=False)
+    cols = without.columns
+    assert sorted(map(tuple, with_cal.select(*cols).collect())) == sorted(map(tuple, without.collect()))
+    assert kpis(with_cal).first() == kpis(without).first()
