@@ -35,6 +35,12 @@ def duck():
     return con
 
 
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _norm(v):
     return v  # exact: doubles must agree to the last bit, as a value hash would require
 
@@ -44,6 +50,9 @@ def test_query_matches_oracle_at_sf0001(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    assert {c: SAME_TYPE[spark_types[c]] for c in df.columns} == {c: duck_types[c] for c in df.columns}
     s_order = sorted(range(len(df.columns)), key=lambda i: df.columns[i])
     d_order = sorted(range(len(rel.columns)), key=lambda i: rel.columns[i])
     s_rows = sorted((tuple(_norm(r[i]) for i in s_order) for r in df.collect()), key=repr)
