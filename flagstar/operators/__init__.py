@@ -37,12 +37,14 @@ from flagstar.operators.star import (
     calendar_from_bounds,
     calendar_size,
     date_bound_metrics,
+    date_attributes,
     date_bounds,
     fact_build,
     project_dim,
     star_view,
     unknown_member,
     with_age,
+    with_date_attributes,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

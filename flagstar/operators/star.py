@@ -68,18 +68,36 @@ def calendar_days(spark: SparkSession, start: _dt.date, end: _dt.date, alias: st
     )
 
 
-def calendar_attributes(days: DataFrame, date_col: str = "fecha") -> DataFrame:
-    """Attributes of the date dimension for a column of days."""
-    d = F.col(date_col)
-    return days.select(
-        date_key(d).alias("id_tiempo"),
+def date_attributes(d: Column, unknown_label: str = UNKNOWN_DATE_LABEL) -> list[Column]:
+    """The date dimension's attributes as expressions of a day (NULL = unknown).
+
+    One definition serves the generated calendar and :func:`with_date_attributes`,
+    so both always agree.
+    """
+    return [
         d.alias("fecha"),
-        F.date_format(d, "EEEE").alias("dia_semana"),
+        F.coalesce(F.date_format(d, "EEEE"), F.lit(unknown_label)).alias("dia_semana"),
         F.month(d).alias("mes"),
         F.quarter(d).alias("trimestre"),
         F.year(d).alias("anio"),
         is_weekend(d).alias("es_fin_de_semana"),
-    )
+    ]
+
+
+def calendar_attributes(days: DataFrame, date_col: str = "fecha") -> DataFrame:
+    """Attributes of the date dimension for a column of days."""
+    d = F.col(date_col)
+    return days.select(date_key(d).alias("id_tiempo"), *date_attributes(d))
+
+
+def with_date_attributes(fact: DataFrame, ts_col: str, unknown_label: str = UNKNOWN_DATE_LABEL) -> DataFrame:
+    """The fact plus the date dimension's attributes, computed from its own date.
+
+    Equal, row for row, to joining the calendar built from the same fact: the
+    calendar covers every fact date and its attributes are functions of the
+    date. No calendar has to be sized, built or joined.
+    """
+    return fact.select("*", *date_attributes(F.to_date(F.col(ts_col)), unknown_label))
 
 
 def unknown_member(

@@ -41,6 +41,7 @@ from flagstar.operators.star import (
     fact_build,
     project_dim,
     star_view,
+    with_date_attributes,
 )
 from flagstar.plans import hospital as H
 from flagstar.plans.medallion import Domain, run_layers
@@ -157,6 +158,20 @@ def silver_and_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Di
     return silver, DimRef(calendar_from_bounds(spark, lo, hi), "id_tiempo", known_rows=calendar_size(lo, hi))
 
 
+def star_with_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star with date attributes computed from each appointment's own date
+    instead of joined from the calendar (same rows and values; one plan)."""
+    f = fact_build(silver_appointments(spark, sf_dir), "fecha_hora", [*FACT_COLUMNS, "fecha_hora"])
+    dated = with_date_attributes(f, "fecha_hora").drop("fecha_hora")
+    return star_view(
+        dated,
+        [
+            DimRef(doctor_dim(spark, sf_dir), "id_doctor"),
+            DimRef(patient_dim(spark, sf_dir), "id_paciente", rename={"nombre": "nombre_paciente"}),
+        ],
+    )
+
+
 def star(spark: SparkSession, sf_dir: str, with_calendar: bool = True) -> DataFrame:
     """Fact with doctor, date and patient dimensions (P7 renames).
 
@@ -340,7 +355,7 @@ def q_kpis_clean(spark, sf_dir):
 
 def q_monthly(spark, sf_dir):
     """M2."""
-    return monthly(star(spark, sf_dir))
+    return monthly(star_with_dates(spark, sf_dir))
 
 
 def q_by_status(spark, sf_dir):
