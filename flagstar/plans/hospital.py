@@ -74,14 +74,18 @@ BRONZE_SCHEMAS: dict[str, StructType] = {
     ),
 }
 
+# Identifiers are 64-bit: at scale they pass 2^31, and an id that does not fit
+# would become NULL and collapse with every other NULL key in deduplication.
 SILVER_TYPES: dict[str, dict[str, str]] = {
-    "pacientes": {"id_paciente": "int", "fecha_nacimiento": "date", "fecha_registro": "date"},
-    "doctores": {"id_doctor": "int", "anios_experiencia": "int"},
+    "pacientes": {"id_paciente": "bigint", "fecha_nacimiento": "date", "fecha_registro": "date"},
+    "doctores": {"id_doctor": "bigint", "anios_experiencia": "int"},
     "citas": {
-        "id_cita": "int", "id_paciente": "int", "id_doctor": "int", "fecha_hora": "timestamp",
+        "id_cita": "bigint", "id_paciente": "bigint", "id_doctor": "bigint", "fecha_hora": "timestamp",
         "duracion_minutos": "int", "tiempo_espera_minutos": "int", "costo": "double",
     },
-    "resultados_lab": {"id_resultado": "int", "id_cita": "int", "resultado": "double", "fecha_resultado": "timestamp"},
+    "resultados_lab": {
+        "id_resultado": "bigint", "id_cita": "bigint", "resultado": "double", "fecha_resultado": "timestamp",
+    },
 }
 
 
@@ -250,7 +254,8 @@ def contract_checks(spark, root: str) -> DataFrame:
             rows.append(V.column_present(silver[t], FLAG_COL, f"flag_column:{t}"))
         rows.append(V.null_date_flagged(silver["citas"], "fecha_hora", FLAG_MISSING_DATE))
         bronze = read_latest(spark, f"{root}/bronze/citas")
-        rows.append(V.no_row_loss(bronze.select(F.col("id_cita").try_cast("int").alias("id_cita")),
+        id_type = SILVER_TYPES["citas"]["id_cita"]
+        rows.append(V.no_row_loss(bronze.select(F.col("id_cita").try_cast(id_type).alias("id_cita")),
                                   silver["citas"], ["id_cita"]))
     have_gold = tables_ready(spark, gold_root, list(GOLD_TABLES))
     for t in GOLD_TABLES:

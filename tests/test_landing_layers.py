@@ -251,3 +251,16 @@ def test_csv_columns_are_matched_by_header_name(spark, tmp_path):
     short = _write(tmp_path / "src" / "short.csv", "id_doctor,nombre\n1,Dr. Uno\n")
     with pytest.raises(ValueError):
         read_csv(spark, short, schema=schema)
+
+
+def test_large_identifiers_survive_typing(spark, tmp_path):
+    big = 2**40
+    src = _write(tmp_path / "src" / "citas.csv",
+                 "id_cita,id_paciente,id_doctor,fecha_hora,duracion_minutos,tiempo_espera_minutos,motivo,costo,estado\n"
+                 f"{big + 1},1,1,2024-01-06 10:00:00,30,5,a,1.0,completada\n"
+                 f"{big + 2},1,1,2024-01-06 11:00:00,30,5,b,1.0,completada\n")
+    from flagstar.operators.quality import refine
+    from flagstar.sources.landing import read_csv
+
+    silver = refine(read_csv(spark, src, schema=H.BRONZE_SCHEMAS["citas"]), H.table_specs(AS_OF)["citas"])
+    assert sorted(r["id_cita"] for r in silver.collect()) == [big + 1, big + 2]
