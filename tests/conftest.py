@@ -16,7 +16,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_session(master="local[*]", shuffle_partitions=8, app_name="flagstar-tests")
+    session = get_session(master=os.environ.get("SPARK_MASTER", "local[*]"), shuffle_partitions=8, app_name="flagstar-tests")
     yield session
     session.stop()
 

@@ -38,7 +38,7 @@ def conf(spark, values):
 
 def _hot(spark, n=200_000):
     """Half of the rows share key 0."""
-    return spark.range(n).select(
+    return spark.range(0, n, 1, 8).select(
         F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("line")
     )
 
@@ -46,7 +46,7 @@ def _hot(spark, n=200_000):
 def test_hot_join_key_is_split_before_the_dedup(spark):
     tune_session(spark)
     with conf(spark, SMALL_SKEW):
-        dim = spark.range(200_000).select(F.col("id").alias("k2"), (F.col("id") * 3).alias("cust"))
+        dim = spark.range(0, 200_000, 1, 8).select(F.col("id").alias("k2"), (F.col("id") * 3).alias("cust"))
         j = _hot(spark).join(dim, F.col("k") == F.col("k2")).select("k", "line", "cust")
         d = dedup_by_key(j, ["k", "line"], ["cust"])
         assert len(d.collect()) == 200_000
@@ -76,12 +76,12 @@ def test_hot_group_of_copies_is_collapsed_before_its_shuffle(spark):
     tune_session(spark)
     with conf(spark, SMALL_SKEW):
         hot = F.col("id") % 2 == 0
-        fact = spark.range(200_000).select(
+        fact = spark.range(0, 200_000, 1, 8).select(
             F.when(hot, F.lit(0)).otherwise(F.col("id")).alias("k"),
             F.when(hot, F.lit(0)).otherwise(F.col("id")).alias("line"),
             F.col("id").alias("payload"),
         )
-        dim = spark.range(200_000).select(F.col("id").alias("k2"), (F.col("id") * 3).alias("cust"))
+        dim = spark.range(0, 200_000, 1, 8).select(F.col("id").alias("k2"), (F.col("id") * 3).alias("cust"))
         j = fact.join(dim, F.col("k") == F.col("k2")).select("k", "line", "payload", "cust")
         d = dedup_by_key(j, ["k", "line"], ["payload"])
         assert len(d.collect()) == 100_001
@@ -98,7 +98,7 @@ def test_hot_day_is_split_across_files_and_quiet_days_stay_whole(spark, tmp_path
 
     day = F.when(F.col("id") % 2 == 0, F.lit("2024-01-01")).otherwise(
         F.concat(F.lit("2024-02-"), F.lpad(((F.col("id") % 20) + 1).cast("string"), 2, "0")))
-    df = spark.range(400_000).select(F.col("id"), F.to_timestamp(day).alias("ts"), F.rand(1).alias("x"))
+    df = spark.range(0, 400_000, 1, 8).select(F.col("id"), F.to_timestamp(day).alias("ts"), F.rand(1).alias("x"))
     root = str(tmp_path / "bronze")
     with conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
                       "spark.sql.adaptive.coalescePartitions.enabled": "true"}):
