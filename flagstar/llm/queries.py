@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from flagstar.llm import op10_chat
 from flagstar.llm.op01_secrets import op1_secrets
+from flagstar.llm.op02_neardup import op2_near_duplicates
 from flagstar.llm.op03_mixing import op3_mix_sources
 from flagstar.llm.op05_tokens import op5_token_files
 from flagstar.llm.op09_imatch import op9_imatch
@@ -13,6 +14,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_secrets,
+        op2_near_duplicates,
         op3_mix_sources,
         op5_token_files,
         op9_imatch,
