@@ -6,7 +6,10 @@ from flagstar.llm import op10_chat
 from flagstar.llm.op01_secrets import op1_secrets
 from flagstar.llm.op02_neardup import op2_near_duplicates
 from flagstar.llm.op03_mixing import op3_mix_sources
+from flagstar.llm.op04_packing import op4_best_fit_packing
 from flagstar.llm.op05_tokens import op5_token_files
+from flagstar.llm.op06_toxicity import op6_toxicity
+from flagstar.llm.op07_pii import op7_pii
 from flagstar.llm.op09_imatch import op9_imatch
 from flagstar.llm.op10_chat import op10_chat_format
 
@@ -16,7 +19,10 @@ QUERIES = {
         op1_secrets,
         op2_near_duplicates,
         op3_mix_sources,
+        op4_best_fit_packing,
         op5_token_files,
+        op6_toxicity,
+        op7_pii,
         op9_imatch,
         op10_chat_format,
     )
