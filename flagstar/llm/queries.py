@@ -10,6 +10,7 @@ from flagstar.llm.op04_packing import op4_best_fit_packing
 from flagstar.llm.op05_tokens import op5_token_files
 from flagstar.llm.op06_toxicity import op6_toxicity
 from flagstar.llm.op07_pii import op7_pii
+from flagstar.llm.op08_nndescent import op8_nn_descent
 from flagstar.llm.op09_imatch import op9_imatch
 from flagstar.llm.op10_chat import op10_chat_format
 
@@ -23,6 +24,7 @@ QUERIES = {
         op5_token_files,
         op6_toxicity,
         op7_pii,
+        op8_nn_descent,
         op9_imatch,
         op10_chat_format,
     )
