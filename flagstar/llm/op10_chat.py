@@ -101,6 +101,10 @@ def _joined(parts: list[Column]) -> Column:
     return F.array_join(F.filter(F.array(*[F.coalesce(p, F.lit("")) for p in parts]), lambda p: p != ""), "\n")
 
 
+def _listed(items: Column, role: str, text: str) -> Column:
+    return F.transform(items, lambda x: F.struct(_canonical(x[role]).alias("role"), F.coalesce(x[text], F.lit("")).alias("text")))
+
+
 def json_turns(record: Column) -> Column:
     """Canonical turns of a JSON record, by its fingerprint; null if unknown."""
     found = json_fingerprint(record)
@@ -110,7 +114,7 @@ def json_turns(record: Column) -> Column:
         if step[0] == "*":
             _, path, role, text = step
             items = F.from_json(F.get_json_object(record, f"$.{path}"), f"array<struct<`{role}`:string,`{text}`:string>>")
-            turns = F.transform(items, lambda x, r=role, t=text: F.struct(_canonical(x[r]).alias("role"), F.coalesce(x[t], F.lit("")).alias("text")))
+            turns = _listed(items, role, text)
         else:
             turns = F.array(
                 *[
