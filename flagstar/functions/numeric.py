@@ -10,14 +10,17 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def money_sum(col, precision: int = 18, scale: int = 2) -> Column:
+def money_sum(col, precision: int = 38, scale: int = 6) -> Column:
     """Sum of a money column that does not depend on row order.
 
-    Each value is cast to ``decimal(precision, scale)`` so the addition is
-    exact; the total is returned as double. An empty input gives 0.
+    Values are added exactly as ``decimal(precision, scale)``; the total is
+    returned as double. Where a value or the total does not fit that type, the
+    plain double sum is returned instead. An empty input gives 0.
     """
-    total = F.sum(_c(col).cast(f"decimal({precision},{scale})"))
-    return F.coalesce(total.cast("double"), F.lit(0.0))
+    value = _c(col)
+    exact = value.try_cast(f"decimal({precision},{scale})")
+    total = F.when(F.count(exact) == F.count(value), F.try_sum(exact).cast("double"))
+    return F.coalesce(total, F.sum(value.cast("double")), F.lit(0.0))
 
 
 def percent_of(part: Column, whole: Column) -> Column:

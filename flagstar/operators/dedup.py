@@ -21,7 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 _RN = "__flagstar_rn"
 _ROW = "__flagstar_row"
@@ -30,11 +30,16 @@ _KEYHASH = "__flagstar_keyhash"
 
 def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     skip = set(exclude)
-    return [
-        f.name
-        for f in df.schema.fields
-        if f.name not in skip and not isinstance(f.dataType, (MapType, VariantType))
-    ]
+    return [f.name for f in df.schema.fields if f.name not in skip and _comparable(f.dataType)]
+
+
+def _comparable(kind: DataType) -> bool:
+    """Whether values of this type have an order, nested parts included."""
+    if isinstance(kind, ArrayType):
+        return _comparable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_comparable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
 
 
 def _key_exprs(df: DataFrame, keys: list[str]) -> list[Column]:
@@ -69,7 +74,7 @@ def dedup_by_key(
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_RN)).select(*keys)
     orderable = _orderable(df, keys)
     ranked = [*order, *[c for c in orderable if c not in order]]
-    if len(ranked) == len(rest):
+    if set(ranked) == set(rest):
         # every column compares: the smallest (order..., rest...) struct is the row
         survivor = F.min(F.struct(*[F.col(c) for c in ranked]))
     else:
@@ -80,6 +85,9 @@ def dedup_by_key(
 
 
 def _dedup_window(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+    # ties go on by all columns that have an order, so the survivor is fixed
+    named = [c for c in order if isinstance(c, str)]
+    order = [*order, *[c for c in _orderable(df, keys) if c not in named]]
     order_cols = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
     w = Window.partitionBy(*_key_exprs(df, keys)).orderBy(*order_cols)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

@@ -5,23 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows) shipped whole to every executor. A few hundred
-# thousand narrow rows is tens of MB; anything bigger goes through a shuffle
-# join (and AQE may still switch to broadcast from measured sizes at run time).
+# Largest dimension of a known size (in rows) that gets a broadcast hint.
 DEFAULT_BROADCAST_ROWS = 500_000
 
 
 def bounded_broadcast(
     df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None
 ) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+    """``broadcast(df)`` where ``known_rows`` (a size known by construction, as
+    of a generated calendar) is at most ``max_rows``; else ``df`` as it is.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops each scan
-    task, and a count needs no columns), so it is cheap for small sides and
-    bounded for big ones. ``known_rows`` skips it when the size is known by
-    construction (a generated calendar).
+    No job runs while a plan is built: for tables whose size is not known,
+    Spark's byte threshold and AQE decide from file and shuffle sizes.
     """
-    if max_rows <= 0:
+    if max_rows <= 0 or known_rows is None or known_rows > max_rows:
         return df
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df)

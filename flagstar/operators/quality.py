@@ -100,13 +100,26 @@ def apply_rules(
     return df.select(*cols, flag_array(rules).alias(flag_col))
 
 
+INTEGER_TYPES = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
+
+
+def parsed(column: str, kind: str) -> Column:
+    """``column`` as ``kind``; NULL where it does not parse. Integer types also
+    take whole numbers written with zero decimals (``12.0``)."""
+    value = F.col(column).try_cast(kind)
+    if kind.lower() not in INTEGER_TYPES:
+        return value
+    whole = F.regexp_extract(F.col(column).cast("string"), r"^\s*([+-]?[0-9]+)\.0+\s*$", 1)
+    return F.coalesce(value, whole.try_cast(kind))
+
+
 def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cast columns with ``try_cast``: unparseable text becomes NULL, not an error."""
+    """Cast columns with :func:`parsed`: unparseable text becomes NULL, not an error."""
     if not types:
         return df
-    return df.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
-    )
+    texts = {name for name, kind in df.dtypes if kind == "string"}
+    cast = lambda c: parsed(c, types[c]) if c in texts else F.col(c).try_cast(types[c])
+    return df.select(*[cast(c).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
 def quality_summary(df: DataFrame, table: str, flag_col: str = FLAG_COL) -> DataFrame:
@@ -149,8 +162,27 @@ def dirty_rows(df: DataFrame, flag_col: str = FLAG_COL) -> DataFrame:
     return df.filter(F.size(F.col(flag_col)) > 0)
 
 
+UNPARSED_PREFIX = "valor_no_interpretable_"
+_RAW = "__flagstar_raw_"
+
+
 def refine(df: DataFrame, spec: TableSpec, flag_col: str = FLAG_COL) -> DataFrame:
-    """Bronze -> Silver for one table: types, deterministic dedup, rules, repairs."""
-    out = typed(df, spec.types)
-    out = dedup_by_key(out, list(spec.key), list(spec.order_by) or None)
-    return apply_rules(out, spec.rules, spec.repairs, flag_col)
+    """Bronze -> Silver for one table: types, deterministic dedup, rules, repairs.
+
+    A text value that does not parse becomes NULL and its row carries a flag:
+    that of a rule which objects to the row, or else
+    ``valor_no_interpretable_<column>``. A key that does not parse stays the
+    key: such rows are told apart by their raw text, never merged as one NULL.
+    """
+    texts = {name for name, kind in df.dtypes if kind == "string"}
+    watched = [c for c in spec.types if c in texts]
+    kept = df.withColumns({f"{_RAW}{c}": F.col(c) for c in watched}) if watched else df
+    out = typed(kept, spec.types)
+    failed = {c: F.col(c).isNull() & (F.trim(F.col(f"{_RAW}{c}")) != "") for c in watched}
+    if watched:
+        out = out.withColumns({f"{_RAW}{c}": F.when(p, F.col(f"{_RAW}{c}")) for c, p in failed.items()})
+    keys = [*spec.key, *[f"{_RAW}{c}" for c in spec.key if c in watched]]
+    out = dedup_by_key(out, keys, list(spec.order_by) or None)
+    unflagged = F.size(flag_array(spec.rules)) == 0
+    unparsed = [Rule(f"{UNPARSED_PREFIX}{c}", F.col(f"{_RAW}{c}").isNotNull() & unflagged) for c in watched]
+    return apply_rules(out, [*spec.rules, *unparsed], spec.repairs, flag_col).drop(*[f"{_RAW}{c}" for c in watched])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from flagstar.operators.integrity import ForeignKey, enforce, orphan_report
 from flagstar.operators.quality import FLAG_COL, TableSpec, refine
 from flagstar.sources.landing import LandingResult, land_csv, read_latest, write_partition
-from flagstar.sources.layers import materialize, read_table, write_table
+from flagstar.sources.layers import materialize, publish, read_table, staging_path, write_table
 
 
 @dataclass
@@ -86,13 +86,17 @@ def gold_stage(spark: SparkSession, domain: Domain, silver_root: str, gold_root:
     """Silver -> dims, calendar, fact; orphan report; write Gold."""
     silver = {name: read_table(spark, f"{silver_root}/{name}") for name in domain.specs}
     gold = domain.build_gold(silver)
-    detail = {name: {"rows": write_table(df, f"{gold_root}/{name}")} for name, df in gold.items()}
-    written = {name: read_table(spark, f"{gold_root}/{name}") for name in gold}
+    # written beside Gold first; published only once the gate has passed
+    staged = {name: staging_path(f"{gold_root}/{name}") for name in gold}
+    detail = {name: {"rows": write_table(df, staged[name])} for name, df in gold.items()}
+    written = {name: read_table(spark, path) for name, path in staged.items()}
     fact_name, keys = domain.foreign_keys(written)
     report = orphan_report(written[fact_name], keys)
     for child, fk in domain.silver_foreign_keys(silver) if domain.silver_foreign_keys else []:
         report = report.unionByName(orphan_report(silver[child], [fk]))
     detail["orphans"] = enforce(report, on_orphan)
+    for name, path in staged.items():
+        publish(spark, path, f"{gold_root}/{name}")
     return detail
 
 

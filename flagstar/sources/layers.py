@@ -13,7 +13,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
     The row count rides on the write as an ``Observation`` instead of a second
     job over the same lineage. Spark's commit protocol makes the write atomic
-    per task, so a lost executor's task is simply rerun.
+    per task, so a lost executor's task is simply rerun. An unpartitioned table
+    is written beside ``path`` and moved there when complete: a failed job
+    leaves the old table as it was.
     """
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
     if partition_by:
@@ -22,13 +24,36 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     # Observed last, i.e. in the result stage: a retried map stage cannot
     # count its rows twice.
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        observed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        observed.write.parquet(staged := staging_path(path))
+        publish(df.sparkSession, staged, path)
     return int(obs.get.get("rows", 0))
 
 
+def staging_path(path: str) -> str:
+    """A new folder beside ``path``, hidden from scans of the parent."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_staging-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Move a complete table to ``path``; the table that was there goes last."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, final, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path, staging_path(path)))
+    fs = final.getFileSystem(conf)
+    had = fs.exists(final)
+    if had and not fs.rename(final, old):
+        raise OSError(f"could not set {path} aside")
+    if not fs.rename(new, final):
+        if had:
+            fs.rename(old, final)
+        raise OSError(f"could not move {staged} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def materialize(
     df: DataFrame,
     path: str,

@@ -21,7 +21,8 @@ from __future__ import annotations
 import uuid
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -30,17 +31,24 @@ from flagstar.session import scratch_dir
 from flagstar.sources.landing import LOAD_COL
 
 
+def touched_dates(dates: DataFrame, load_col: str) -> Column:
+    """Filter on the load dates of a batch, NULL among them."""
+    found = [r[0] for r in dates.collect()]
+    match = F.col(load_col).isin([d for d in found if d is not None])
+    return match | F.col(load_col).isNull() if None in found else match
+
+
 def _write_batch(spec: TableSpec, bronze_table: str, schema: StructType, silver_path: str, load_col: str):
     per_date = replace(spec, key=(*spec.key, load_col))
 
     def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - Spark's callback signature
         # Refine the *whole* Bronze partition of every date this batch touched
-        # (a left-semi join on the partition column prunes the scan to those
-        # dates), so a date whose files straddle two micro-batches is still
+        # (as literals, one per load date, so the scan prunes to those folders;
+        # undated rows are a partition too), so a date whose files straddle two micro-batches is still
         # written complete, and a replayed batch rewrites the same output.
         dates = batch.select(load_col).distinct()
         bronze = batch.sparkSession.read.schema(schema).parquet(bronze_table)
-        touched = bronze.join(dates, on=load_col, how="left_semi")
+        touched = bronze.filter(touched_dates(dates, load_col))
         (
             refine(touched, per_date)
             .write.mode("overwrite")
