@@ -22,6 +22,7 @@ from flagstar.plans.medallion import run_layers
 from flagstar.session import get_session
 from flagstar.sources.landing import tables_ready
 
+ALL_ROWS = 2**31 - 32  # marts are report-sized
 SOURCE_FILES = {name: f"{name}.csv" for name in H.BRONZE_SCHEMAS}
 
 
@@ -76,7 +77,7 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--specialty", action="append")
     m.add_argument("--clean-only", action="store_true")
     m.add_argument("--top", type=int, default=10)
-    m.add_argument("--rows", type=int, default=50)
+    m.add_argument("--rows", type=int, default=ALL_ROWS, help="rows shown of each mart (default: all)")
     m.set_defaults(fn=_marts)
     c = sub.add_parser("checks", help="data contract of a written lake (one JSON line per check)")
     c.add_argument("--root", required=True)

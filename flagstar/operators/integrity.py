@@ -62,23 +62,32 @@ def orphan_count(
 def orphan_report(
     fact: DataFrame,
     keys: Sequence[ForeignKey],
-    broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """One row per foreign key: ``fk_name, fact_key, orphan_rows, passed``."""
+    """One row per foreign key: ``fk_name, fact_key, orphan_rows, passed``.
+
+    The fact is read once whatever the number of keys: its rows per (key,
+    value) are counted, combined before the one shuffle, and held against the
+    dimensions' values. A dimension's key is compared in the fact's key type.
+    """
     if not keys:
         raise ValueError("orphan_report needs at least one foreign key")
-    parts = [
-        orphan_count(fact, k.dim, k.fact_key, k.dim_key, broadcast_max_rows, k.known_rows).select(
-            F.lit(k.name).alias("fk_name"),
-            F.lit(k.fact_key).alias("fact_key"),
-            "orphan_rows",
-        )
-        for k in keys
+    kinds = dict(fact.dtypes)
+    pair = lambda i, value: F.struct(F.lit(i).alias("__k"), value.cast("string").alias("__v"))
+    values = F.explode(F.array(*[pair(i, F.col(k.fact_key)) for i, k in enumerate(keys)]))
+    counted = fact.select(values.alias("__x")).groupBy("__x.__k", "__x.__v").agg(F.count(F.lit(1)).alias("__n"))
+    known = None
+    for i, k in enumerate(keys):
+        value = pair(i, F.col(k.dim_key).try_cast(kinds[k.fact_key]))
+        part = k.dim.select(value.alias("__x")).select("__x.*")
+        known = part if known is None else known.unionByName(part)
+    missing = counted.join(known, ["__k", "__v"], "left_anti")
+    sums = [F.coalesce(F.sum(F.when(F.col("__k") == i, F.col("__n"))), F.lit(0)).cast("bigint") for i in range(len(keys))]
+    totals = missing.agg(*[s.alias(f"__n{i}") for i, s in enumerate(sums)])
+    rows = [
+        F.struct(F.lit(k.name).alias("fk_name"), F.lit(k.fact_key).alias("fact_key"), F.col(f"__n{i}").alias("orphan_rows"))
+        for i, k in enumerate(keys)
     ]
-    report = parts[0]
-    for p in parts[1:]:
-        report = report.unionByName(p)
-    return report.withColumn("passed", F.col("orphan_rows") == 0)
+    return totals.select(F.inline(F.array(*rows))).withColumn("passed", F.col("orphan_rows") == 0)
 
 
 class OrphanError(RuntimeError):

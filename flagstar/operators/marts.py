@@ -98,17 +98,21 @@ def mean_by(star: DataFrame, group_col: str, value_col: str, decimals: int = 1)
     )
 
 
-def top_k(star: DataFrame, group_col: str, k: int = 10, alias: str = "total_citas") -> DataFrame:
+def top_k(star: DataFrame, group_col: str | Sequence[str], k: int = 10, alias: str = "total_citas") -> DataFrame:
     """The ``k`` most frequent values of ``group_col``; ties broken by value ascending.
 
+    Several columns (name and id, say) keep apart what one of them would merge;
+    rows without the first are left out.
+
     ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its
     own top ``k`` after the partial count, so only ``k`` rows per task move.
     """
+    cols = [group_col] if isinstance(group_col, str) else list(group_col)
     return (
-        star.filter(F.col(group_col).isNotNull())
-        .groupBy(group_col)
+        star.filter(F.col(cols[0]).isNotNull())
+        .groupBy(*cols)
         .agg(F.count(F.lit(1)).alias(alias))
-        .orderBy(F.col(alias).desc(), F.col(group_col).asc())
+        .orderBy(F.col(alias).desc(), *[F.col(c).asc() for c in cols])
         .limit(k)
     )
 

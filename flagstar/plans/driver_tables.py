@@ -41,13 +41,14 @@ from flagstar.operators.star import (
     fact_build,
     project_dim,
     star_view,
+    with_age,
     with_date_attributes,
 )
 from flagstar.plans import hospital as H
 from flagstar.plans.medallion import Domain, run_layers
 from flagstar.session import scratch_dir
-from flagstar.sources.landing import land_by_date, land_csv, read_latest, table_counts
-from flagstar.sources.layers import materialize, read_source, read_table
+from flagstar.sources.landing import land_by_date, land_csv, load_report, read_latest, table_counts
+from flagstar.sources.layers import materialize, read_source, read_table, write_table
 from flagstar.streaming.silver_stream import refine_stream
 
 # ---------------------------------------------------------------------------
@@ -373,6 +374,11 @@ def q_top_doctors(spark, sf_dir):
     return top_k(star(spark, sf_dir, with_calendar=False), "nombre", TOP_K, "total_citas")
 
 
+def q_top_doctors_id(spark, sf_dir):
+    """A10 by name and id: two doctors of one name stay two."""
+    return top_k(star(spark, sf_dir, with_calendar=False), ["nombre", "id_doctor"], TOP_K, "total_citas")
+
+
 def q_specialty_domain(spark, sf_dir):
     """M6."""
     return domain(star(spark, sf_dir, with_calendar=False), "especialidad")
@@ -404,22 +410,95 @@ def q_check_gold(spark, sf_dir):
         V.not_null(f, "id_tiempo"),
         V.single_unknown_member(cal.df),
         V.columns_absent(pat, ["c_acctbal"]),
-        V.no_orphans(f, doctor_dim(spark, sf_dir), "id_doctor"),
-        V.no_orphans(f, pat, "id_paciente"),
-        V.no_orphans(f, cal.df, "id_tiempo", known_rows=cal.known_rows),
+        V.no_orphans_each(f, [
+            ForeignKey("doctor", "id_doctor", doctor_dim(spark, sf_dir), "id_doctor"),
+            ForeignKey("paciente", "id_paciente", pat, "id_paciente"),
+            ForeignKey("tiempo", "id_tiempo", cal.df, "id_tiempo", known_rows=cal.known_rows),
+        ]),
     ])
 
 
+def q_orphans_lab(spark, sf_dir):
+    """G6 between Silver tables: lab results (line items) whose appointment is not among the kept orders."""
+    lab = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id_cita"))
+    kept = _t(spark, sf_dir, "orders").filter(F.to_date("o_orderdate") >= F.lit(ORDER_DATE_MIN).cast("date"))
+    return orphan_report(lab, [H.lab_foreign_key({"citas": kept.select(F.col("o_orderkey").alias("id_cita"))})])
+
+
+# ------------------------------------------------- text -> Silver (Q12 and G1)
+def patients_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as the text a source would deliver: ids with a letter, ids
+    written ``n.0``, dates that do not parse, addresses without an ``@``."""
+    key, name, balance = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_acctbal")
+    return _t(spark, sf_dir, "customer").select(
+        F.when(balance < 0, F.concat(F.lit("A"), key))
+        .when(F.col("c_mktsegment") == "BUILDING", F.concat(key, F.lit(".0")))
+        .otherwise(key).alias("id_paciente"),
+        name.alias("nombre"),
+        F.when(F.col("c_nationkey") < 3, F.lit("sin dato"))
+        .otherwise(F.concat(F.lit("19"), (F.col("c_nationkey") + 10).cast("string"), F.lit("-02-03")))
+        .alias("fecha_nacimiento"),
+        F.col("c_mktsegment").alias("genero"),
+        F.col("c_nationkey").cast("string").alias("ciudad"),
+        F.when(balance > ACCTBAL_MAX, name)
+        .otherwise(F.concat(F.col("c_mktsegment"), F.lit("@"), name, F.lit(".mx"))).alias("email"),
+        F.lit("555").alias("telefono"),
+        F.lit("2020-01-01").alias("fecha_registro"),
+    )
+
+
+def q_silver_pacientes(spark, sf_dir):
+    """Text-typed patients through their registered spec; every raw id keeps its row."""
+    silver = refine(patients_as_text(spark, sf_dir), H.table_specs(AS_OF)["pacientes"])
+    return silver.select("nombre", "id_paciente", "fecha_nacimiento", _flags_text())
+
+
+def q_dim_paciente_edad(spark, sf_dir):
+    """G1: the patient dimension with its age and without contact data."""
+    silver = refine(patients_as_text(spark, sf_dir), H.table_specs(AS_OF)["pacientes"])
+    aged = with_age(silver, "fecha_nacimiento", AS_OF)
+    return project_dim(aged, ["id_paciente", "nombre", "edad", "genero", "ciudad"], forbidden=H.PATIENT_FORBIDDEN)
+
+
+def q_flag_regex_email(spark, sf_dir):
+    """Q1 with both outcomes: addresses with and without an ``@``."""
+    rule = Rule(H.FLAG_EMAIL, lambda: regex_mismatch("email", H.EMAIL_PATTERN))
+    return apply_rules(patients_as_text(spark, sf_dir).select("nombre", "email"), [rule]).select(
+        "nombre", "email", _flags_text()
+    )
+
+
 # ------------------------------------------------------------------- sources
 def q_csv_landing(spark, sf_dir):
-    """Customers exported as CSV, landed with a declared schema, read back."""
+    """Customers exported as CSV with a column that no schema declares,
+    landed with the declared schema, read back: nothing is lost."""
     root = scratch_dir(spark, "csv-landing")
     customer = _t(spark, sf_dir, "customer")
-    customer.write.mode("overwrite").option("header", True).csv(f"{root}/source/customer")
+    exported = customer.withColumn("turno", F.col("c_mktsegment"))
+    exported.write.mode("overwrite").option("header", True).csv(f"{root}/source/customer")
     land_csv(spark, "customer", f"{root}/source/customer", f"{root}/bronze", AS_OF, schema=customer.schema)
     return read_latest(spark, f"{root}/bronze/customer")
 
 
+def q_landing_status(spark, sf_dir):
+    """A source that is there, one that is missing, and the total."""
+    root = scratch_dir(spark, "landing-status")
+    customer = _t(spark, sf_dir, "customer")
+    customer.write.option("header", True).csv(f"{root}/source/customer")
+    landed = [
+        land_csv(spark, name, f"{root}/source/{name}", f"{root}/bronze", AS_OF, schema=customer.schema)
+        for name in ("customer", "ausente")
+    ]
+    return load_report(spark, landed).select("table_name", "rows", "status")
+
+
+def q_check_lake(spark, sf_dir):
+    """Existence of a written table and of one that is not there."""
+    root = scratch_dir(spark, "check-lake")
+    write_table(_t(spark, sf_dir, "customer"), f"{root}/customer")
+    return V.run_checks([V.table_exists(spark, root, "customer"), V.table_exists(spark, root, "ausente")])
+
+
 def q_latest_partition(spark, sf_dir):
     """Events landed with one load date per event day; newest read back."""
     root = scratch_dir(spark, "latest")
@@ -445,6 +524,7 @@ def q_medallion_monthly(spark, sf_dir):
             "dim_paciente": patient_dim(spark, sf_dir),
         },
         foreign_keys=lambda g: ("fact_citas", [
+            ForeignKey("paciente", "id_paciente", g["dim_paciente"], "id_paciente"),
             ForeignKey("doctor", "id_doctor", g["dim_doctor"], "id_doctor"),
             ForeignKey("tiempo", "id_tiempo", g["dim_tiempo"], "id_tiempo"),
         ]),
@@ -521,4 +601,11 @@ QUERIES = {
     "load_report": q_load_report,
     "medallion_monthly": q_medallion_monthly,
     "stream_silver": q_stream_silver,
+    "flag_regex_email": q_flag_regex_email,
+    "silver_pacientes": q_silver_pacientes,
+    "dim_paciente_edad": q_dim_paciente_edad,
+    "orphans_lab": q_orphans_lab,
+    "top_doctors_id": q_top_doctors_id,
+    "landing_status": q_landing_status,
+    "check_lake": q_check_lake,
 }

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from flagstar.operators.integrity import ForeignKey, enforce, orphan_report
 from flagstar.operators.quality import FLAG_COL, TableSpec, refine
-from flagstar.sources.landing import LandingResult, land_csv, read_latest, write_partition
+from flagstar.sources.landing import CORRUPT_COL, LandingResult, land_csv, read_latest, write_partition
 from flagstar.sources.layers import materialize, publish, read_table, staging_path, write_table
 
 
@@ -67,7 +67,7 @@ def silver_stage(spark: SparkSession, domain: Domain, bronze_root: str, silver_r
     """Newest Bronze partition -> types, dedup, rules -> Silver, with a summary."""
     detail = {}
     for name, spec in domain.specs.items():
-        bronze = read_latest(spark, f"{bronze_root}/{name}")
+        bronze = read_latest(spark, f"{bronze_root}/{name}").drop(CORRUPT_COL)  # raw lines stay in Bronze
         landed = bronze.count()  # Parquet row count: answered from file metadata
         # Q10 rides on the write: one pass instead of write + two recounts.
         _, m = materialize(refine(bronze, spec), f"{silver_root}/{name}",

@@ -99,11 +99,22 @@ star AS (
 _KPIS = """
 SELECT count(*) AS total_citas,
        CAST(avg(tiempo_espera_minutos) AS DOUBLE) AS tiempo_espera_prom,
-       coalesce(CAST(sum(CAST(costo AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS ingresos_totales,
+       coalesce(CAST(sum(CAST(costo AS DECIMAL(28,6))) AS DOUBLE), 0.0) AS ingresos_totales,
        coalesce(CAST(100 AS DOUBLE) * CAST(count(*) FILTER (WHERE tiene_flag_calidad) AS DOUBLE)
                 / NULLIF(CAST(count(*) AS DOUBLE), 0.0), 0.0) AS pct_con_flag
 FROM star"""
 
+# Patients from the customers' own columns: what the text form must come back to.
+_PATIENTS = r"""
+WITH p AS (
+  SELECT *, NOT regexp_matches(email, '^[^@\s]+@[^@\s]+\.[^@\s]+$') AS bad_email
+  FROM (SELECT c_name AS nombre, c_mktsegment, c_nationkey,
+               CASE WHEN c_acctbal < 0 THEN NULL ELSE c_custkey END AS id_paciente,
+               CASE WHEN c_nationkey < 3 THEN NULL ELSE make_date(1910 + c_nationkey, 2, 3) END AS fecha_nacimiento,
+               CASE WHEN c_acctbal > 9000 THEN c_name ELSE c_mktsegment || '@' || c_name || '.mx' END AS email
+        FROM customer)
+)"""
+
 SQL: dict[str, str] = {
     "flag_missing": "WITH " + _APPT.lstrip() + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, fecha_hora,
@@ -255,7 +266,39 @@ report AS (
     (SELECT count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM cal c WHERE c.id_tiempo = f.id_tiempo))
 )
 SELECT *, violations = 0 AS passed FROM report""",
-    "csv_landing": "SELECT * FROM customer",
+    "csv_landing": "SELECT *, c_mktsegment AS turno, CAST(NULL AS VARCHAR) AS _corrupt_record FROM customer",
+    "landing_status": """
+SELECT 'customer' AS table_name, count(*) AS rows, 'OK' AS status FROM customer
+UNION ALL SELECT 'ausente', 0, 'MISSING'
+UNION ALL SELECT 'TOTAL', count(*), 'FAILED' FROM customer""",
+    "check_lake": """
+WITH report AS (
+  SELECT 'table_exists:customer' AS check_name, CASE WHEN count(*) > 0 THEN 0 ELSE 1 END::BIGINT AS violations
+  FROM customer
+  UNION ALL SELECT 'table_exists:ausente', 1
+)
+SELECT *, violations = 0 AS passed FROM report""",
+    "orphans_lab": """
+SELECT 'cita' AS fk_name, 'id_cita' AS fact_key, count(*) AS orphan_rows, count(*) = 0 AS passed
+FROM lineitem l WHERE NOT EXISTS (
+  SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND CAST(o.o_orderdate AS DATE) >= DATE '1995-06-01')""",
+    "top_doctors_id": _STAR + """
+SELECT nombre, id_doctor, count(*) AS total_citas FROM star WHERE nombre IS NOT NULL
+GROUP BY nombre, id_doctor ORDER BY total_citas DESC, nombre ASC, id_doctor ASC LIMIT 10""",
+    "flag_regex_email": _PATIENTS + """
+SELECT nombre, email, concat_ws(',', CASE WHEN bad_email THEN 'email_invalido' END) AS flags FROM p""",
+    "silver_pacientes": _PATIENTS + """
+SELECT nombre, id_paciente, fecha_nacimiento,
+       concat_ws(',', CASE WHEN bad_email THEN 'email_invalido' END,
+                 CASE WHEN id_paciente IS NULL AND NOT bad_email THEN 'valor_no_interpretable_id_paciente' END,
+                 CASE WHEN fecha_nacimiento IS NULL AND NOT bad_email
+                      THEN 'valor_no_interpretable_fecha_nacimiento' END) AS flags
+FROM p""",
+    "dim_paciente_edad": _PATIENTS + """
+SELECT id_paciente, nombre,
+       CAST(floor(date_diff('day', fecha_nacimiento, DATE '2024-01-02') / 365.25) AS INTEGER) AS edad,
+       c_mktsegment AS genero, CAST(c_nationkey AS VARCHAR) AS ciudad
+FROM p""",
     "latest_partition": """
 SELECT * FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",
     "load_report": """

@@ -3,8 +3,7 @@
 * :func:`land_csv` reads one CSV with a declared schema (ids stay text, so a
   leading zero survives) and overwrites only today's ``load_date`` partition:
   same-day reruns are idempotent, earlier loads stay.
-* :func:`read_latest` reads the newest ``load_date`` through a partition
-  filter, so only that partition's files are scanned.
+* :func:`read_latest` lists the dated folders and reads the newest alone.
 * :func:`load_report` turns landing results into a DataFrame.
 """
 
@@ -49,6 +48,7 @@ def read_csv(
     schema: StructType | None = None,
     infer_schema: bool = False,
     keep_corrupt: bool = False,
+    keep_extra: bool = False,
 ) -> DataFrame:
     """CSV with header. With ``schema`` no inference pass is made; cells that
     do not fit their type become NULL (PERMISSIVE) and, with ``keep_corrupt``,
@@ -58,7 +58,8 @@ def read_csv(
     position, so a source that reorders its columns still lands correctly
     (Spark's default would apply the schema positionally and silently swap
     values). A declared column missing from the header raises ``ValueError``;
-    extra columns in the file are not carried into the result.
+    with ``keep_extra`` undeclared columns of the file follow the declared ones,
+    as text.
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if schema is None:
@@ -69,7 +70,7 @@ def read_csv(
     if missing:
         raise ValueError(f"{path}: header lacks declared columns {missing}")
     file_schema = StructType([declared.get(n, StructField(n, StringType())) for n in header])
-    out_cols = [f.name for f in schema.fields]
+    out_cols = [*declared, *([n for n in header if n not in declared] if keep_extra else [])]
     if keep_corrupt:
         file_schema = file_schema.add(CORRUPT_COL, "string")
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
@@ -104,14 +105,17 @@ def land_csv(
 ) -> LandingResult:
     """Land one CSV into ``bronze_root/<table>/load_date=<d>``.
 
-    A missing source is reported as ``MISSING`` (0 rows) instead of failing,
-    so a runner can decide whether that stops the run.
+    Nothing the file holds is lost: undeclared columns land as text behind the
+    declared ones, and a line that does not fit the header (or a cell its type)
+    is also kept whole in ``_corrupt_record``. A missing source is reported as
+    ``MISSING`` (0 rows) instead of failing, so a runner can decide whether
+    that stops the run.
     """
     dest = f"{bronze_root}/{table}"
     start = time.time()
     if not path_exists(spark, source_path):
         return LandingResult(table, 0, 0.0, dest, "MISSING")
-    df = read_csv(spark, source_path, schema=schema, infer_schema=infer_schema)
+    df = read_csv(spark, source_path, schema=schema, infer_schema=infer_schema, keep_corrupt=True, keep_extra=True)
     rows = write_partition(df, dest, load_date)
     return LandingResult(table, rows, time.time() - start, dest, "OK" if rows > 0 else "EMPTY")
 
@@ -119,21 +123,21 @@ def land_csv(
 def read_latest(spark: SparkSession, table_root: str, load_col: str = LOAD_COL) -> DataFrame:
     """The newest ``load_date`` partition of a Bronze table, without that column.
 
-    The newest date is a scalar subquery, so the scan's partition filter is
-    resolved at run time and only the newest partition's files are read.
-    Raises ``FileNotFoundError`` when the table has no partition.
+    One listing of the table's folders names the newest date, and only that
+    folder is then listed and read, however many landings came before. An empty
+    newest landing is still the newest partition; a folder without data files
+    (a landing that failed) is passed over, and so is the folder of undated
+    rows. Raises ``FileNotFoundError`` when the table has no partition.
     """
-    try:
-        df = spark.read.parquet(table_root)
-        files = spark.read.format("binaryFile").load(table_root)
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"no Bronze partitions under {table_root}") from exc
-    if load_col not in df.columns or load_col not in files.columns:
-        raise FileNotFoundError(f"{table_root} is not partitioned by {load_col}")
-    # The newest date comes from the file listing (file content is never
-    # read), so an empty newest landing is still the newest partition.
-    newest = files.select(F.max(F.col(load_col))).scalar()
-    return df.filter(F.col(load_col) == newest).drop(load_col)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [f.getPath() for f in fs.listStatus(root)] if fs.exists(root) else []
+    dated = {p.getName(): p for p in folders if p.getName().startswith(f"{load_col}=")}
+    dated.pop(f"{load_col}=__HIVE_DEFAULT_PARTITION__", None)
+    for name in sorted(dated, reverse=True):
+        if any(f.getPath().getName().endswith(".parquet") for f in fs.listStatus(dated[name])):
+            return spark.read.option("basePath", table_root).parquet(f"{table_root}/{name}").drop(load_col)
+    raise FileNotFoundError(f"no {load_col} partitions under {table_root}")
 
 
 def land_by_date(
@@ -169,11 +173,13 @@ def tables_ready(spark: SparkSession, root: str, names: Sequence[str]) -> bool:
 
 
 def load_report(spark: SparkSession, results: Sequence[LandingResult]) -> DataFrame:
-    """``table_name, rows, seconds, destination, status`` per landed table."""
+    """``table_name, rows, seconds, destination, status`` per landed table and a
+    ``TOTAL`` row, which is OK when every table is (S12)."""
     schema = "table_name string, rows bigint, seconds double, destination string, status string"
-    return spark.createDataFrame(
-        [(r.table, r.rows, float(r.seconds), r.destination, r.status) for r in results], schema
-    )
+    rows = [(r.table, r.rows, float(r.seconds), r.destination, r.status) for r in results]
+    state = "OK" if all(r.status == "OK" for r in results) else "FAILED"
+    rows.append(("TOTAL", sum(r.rows for r in results), float(sum(r.seconds for r in results)), "", state))
+    return spark.createDataFrame(rows, schema)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -27,7 +27,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flagstar.operators.quality import TableSpec, refine
-from flagstar.session import scratch_dir
 from flagstar.sources.landing import LOAD_COL
 
 
@@ -66,7 +65,7 @@ def refine_stream(
     bronze_schema: StructType,
     spec: TableSpec,
     silver_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = True,
     load_col: str = LOAD_COL,
 ) -> StreamingQuery:
@@ -81,7 +80,7 @@ def refine_stream(
     stream = spark.readStream.schema(schema).parquet(bronze_table)
     writer = (
         stream.writeStream.foreachBatch(_write_batch(spec, bronze_table, schema, silver_path, load_col))
-        .option("checkpointLocation", checkpoint or scratch_dir(spark, "silver-stream-ckpt"))
+        .option("checkpointLocation", checkpoint)
         .queryName(f"silver_{spec.name}_{uuid.uuid4().hex[:8]}")  # unique among active queries
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -77,9 +77,9 @@ def test_scans_read_only_needed_columns(spark):
 
 
 def test_latest_partition_prunes_partitions(spark):
-    plan = plan_text(E.queries()["latest_partition"](spark, SF_SMALL))
-    assert "PartitionFilters: [isnotnull(load_date" in plan and "= Subquery subquery" in plan
-    assert "ReadSchema: struct<>" in plan  # the max(load_date) subquery reads no data columns
+    latest = E.queries()["latest_partition"](spark, SF_SMALL)
+    folders = {f.rsplit("/", 1)[0] for f in latest.inputFiles()}
+    assert len(folders) == 1 and "load_date=" in folders.pop()  # only the newest date's files are even listed
 
 
 def test_calendar_join_never_drops_fact_rows(spark):

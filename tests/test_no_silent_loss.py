@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from flagstar.sources.landing import land_csv, read_latest
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,20 @@ def test_failed_write_keeps_the_old_table(spark, tmp_path):
 def test_undated_rows_are_touched(spark):
     df = spark.createDataFrame([(1, "2024-01-01"), (2, None), (3, "2024-01-02")], "id int, d string")
     assert [r.id for r in df.filter(touched_dates(df.where("id < 3").select("d"), "d")).collect()] == [1, 2]
+
+
+def test_landing_keeps_undeclared_columns_and_ragged_lines(spark, tmp_path):
+    src = tmp_path / "t.csv"
+    src.write_text("id,n,turno\n1,a,noche\n2,b,dia,sobra\n3\n")
+    result = land_csv(spark, "t", str(src), str(tmp_path / "bronze"), "2024-01-01", schema=spark.createDataFrame([], "id string, n string").schema)
+    rows = {r["id"]: r for r in read_latest(spark, str(tmp_path / "bronze" / "t")).collect()}
+    assert result.rows == 3 and set(rows) == {"1", "2", "3"}
+    assert (rows["1"]["turno"], rows["1"]["_corrupt_record"]) == ("noche", None)
+    assert rows["2"]["_corrupt_record"] == "2,b,dia,sobra" and rows["3"]["_corrupt_record"] == "3"
+
+
+def test_newest_landing_without_files_is_passed_over(spark, tmp_path):
+    root = tmp_path / "bronze" / "t"
+    spark.range(2).write.parquet(str(root / "load_date=2024-01-01"))
+    (root / "load_date=2024-01-02").mkdir()
+    assert read_latest(spark, str(root)).count() == 2
