@@ -105,7 +105,7 @@ def land_csv(
 ) -> LandingResult:
     """Land one CSV into ``bronze_root/<table>/load_date=<d>``.
 
-    Nothing the file holds is lost: undeclared columns land as text behind the
+    With ``schema`` nothing the file holds is lost: undeclared columns land as text behind the
     declared ones, and a line that does not fit the header (or a cell its type)
     is also kept whole in ``_corrupt_record``. A missing source is reported as
     ``MISSING`` (0 rows) instead of failing, so a runner can decide whether
