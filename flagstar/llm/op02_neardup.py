@@ -21,8 +21,13 @@ neighbours on, counting nodes of other components only, so a large group never
 hides an outsider from it. Candidates whose 64-value sketches say that they
 can't be similar are left out; every other one is confirmed on the full shingle
 sets of both texts. Groups larger than that reach are connected through their
-chains; regions in which components still differ after a round are compared
-again until no new link is found.
+chains.
+
+A region (tree and prefix) in which some node's reach ended before the region
+did is *dense*. Only dense regions are compared again: with the labels that the
+new links gave, and, where a round found none, with ``GROWTH`` times the reach,
+until no region is dense. So the reach only orders the work; it leaves no pair
+of a region out.
 """
 
 from __future__ import annotations
@@ -46,7 +51,7 @@ TREES, DEPTH, MIN_DEPTH = 24, 5, 2
 FIRST_TREES = 4
 REACH = 8
 SKETCH_LEAST = 27  # of 64
-MAX_PASSES = 6
+GROWTH = 4
 SEED = 7
 FILTER_BITS = 1 << 23  # fixed size of the id filter sent to the text scan
 
@@ -179,27 +184,33 @@ class _Window:
     """The last rows of a sorted list that still matter as earlier neighbours."""
 
     def __init__(self, reach: int):
-        self.reach, self.region, self.rows = reach, None, {}
+        self.reach, self.region, self.rows, self.forgotten = reach, None, {}, set()
         self.order: deque = deque()
 
     def pairs(self, tree, key, node, label, n, small):
         """Pairs of this row with up to ``reach`` rows before it, in its region,
-        of other labels; per label only the latest ``reach`` rows are kept."""
+        of other labels, and whether the reach ended the search. Per label only
+        the latest ``reach`` rows are kept; whoever looks past them has met
+        ``reach`` rows."""
         region = (tree, key[: 4 * MIN_DEPTH])
         if region != self.region:
             self.region = region
             self.order.clear()
             self.rows.clear()
-        out, seen, small = [], 0, int.from_bytes(small, "big")
+            self.forgotten.clear()
+        out, seen, dense, small = [], 0, False, int.from_bytes(small, "big")
         for other, mark, size, theirs in reversed(self.order):
             if mark == label:
                 continue
+            if seen >= self.reach:
+                dense = True
+                break
             lo, hi = (n, size) if n < size else (size, n)
             if lo * SIMILARITY[1] >= hi * SIMILARITY[0] and agreement(small, theirs) >= SKETCH_LEAST:
                 out.append((other, node) if other < node else (node, other))
             seen += 1
-            if seen >= self.reach:
-                break
+        # kept rows can't show whether one was forgotten
+        dense = dense or (seen >= self.reach and len(self.forgotten - {label}) > 0)
         self.order.append((node, label, n, small))
         self.rows[label] = self.rows.get(label, 0) + 1
         if self.rows[label] > self.reach:  # forget the label's oldest row
@@ -208,15 +219,16 @@ class _Window:
                     del self.order[i]
                     break
             self.rows[label] -= 1
-        return out
+            self.forgotten.add(label)
+        return out, dense
 
 
 _FOUND = "a long, b long, part int, side int, tree int, key binary, node long, label long, n long, sketch binary, place long"
 
 
 def _neighbours(reach: int):
-    """Pairs inside each sorted partition, and the partition's first and last
-    rows, for the pairs across partition borders."""
+    """Pairs inside each sorted partition, its dense regions, and its first and
+    last rows, for the pairs across partition borders."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -225,58 +237,81 @@ def _neighbours(reach: int):
         window, head, tail, place = _Window(reach), [], deque(maxlen=4 * reach), 0
         for b in batches:
             cols = [b.column(k).to_pylist() for k in range(6)]
-            found = set()
+            found, dense = set(), {}
             for row in zip(*cols):
-                found.update(window.pairs(*row))
+                pairs, more = window.pairs(*row)
+                found.update(pairs)
+                if more:
+                    dense[window.region] = None
                 edge = (*row, place)
                 if place < 4 * reach:
                     head.append(edge)
                 tail.append(edge)
                 place += 1
             yield _found_batch(sorted(found), [], part)
+            yield _found_batch([], [(*r, None, None, None, None, None) for r in dense], part, 2)
         ends = {e[-1]: e for e in [*head, *tail]}
         yield _found_batch([], [ends[k] for k in sorted(ends)], part)
 
     return run
 
 
-def _found_batch(pairs, ends, part):
+def _found_batch(pairs, ends, part, side=1):
     n, m = len(pairs), len(ends)
     pick = lambda k, kind: pa.array([None] * n + [e[k] for e in ends], kind)
     columns = [
         pa.array([p[0] for p in pairs] + [None] * m, pa.int64()),
         pa.array([p[1] for p in pairs] + [None] * m, pa.int64()),
         pa.array([part] * (n + m), pa.int32()),
-        pa.array([0] * n + [1] * m, pa.int32()),
+        pa.array([0] * n + [side] * m, pa.int32()),
         pick(0, pa.int32()), pick(1, pa.binary()), pick(2, pa.int64()), pick(3, pa.int64()), pick(4, pa.int64()), pick(5, pa.binary()), pick(6, pa.int64()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["a", "b", "part", "side", "tree", "key", "node", "label", "n", "sketch", "place"])
 
 
 def _border_pairs(reach: int):
+    """Pairs (side 0) of a region's rows at partition ends, or the region itself
+    (side 2) where rows of several partitions may still not have met."""
+
     def run(pdf):
         import pandas as pd
 
-        window, found = _Window(reach), set()
-        for r in pdf.sort_values(["part", "place"]).itertuples():
-            found.update(window.pairs(r.tree, r.key, r.node, r.label, r.n, r.sketch))
-        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+        window, found, dense, last = _Window(reach), set(), False, None
+        several = pdf["part"].nunique() > 1
+        if several:
+            for r in pdf.sort_values(["part", "place"]).itertuples():
+                pairs, more = window.pairs(r.tree, r.key, r.node, r.label, r.n, r.sketch)
+                found.update(pairs)
+                # rows between a partition's first and last ones are not here
+                gap = last is not None and last[0] == r.part and last[1] + 1 != r.place
+                dense, last = dense or more or gap, (r.part, r.place)
+        out = pd.DataFrame(sorted(found), columns=["a", "b"], dtype="Int64").assign(side=0, tree=None, region=None)
+        if dense:
+            first = pdf.iloc[0]
+            out.loc[len(out)] = [None, None, 2, int(first["tree"]), first["region"]]
+        return out
 
     return run
 
 
-def candidates(nodes: DataFrame, trees: int, reach: int, name: str) -> Saved:
-    """Candidate pairs (a < b, distinct) of nodes with different labels."""
+def candidates(nodes: DataFrame, trees: int, reach: int, name: str, within: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a < b, distinct) of nodes with different labels, and the
+    dense regions (tree, region). ``within``: only these regions are looked at."""
     spark = nodes.sparkSession
     rows = _tree_rows(nodes, trees).select(F.col("tree").cast("int"), "key", "node", "label", "n", "sketch")
+    region = F.substring("key", 1, 4 * MIN_DEPTH)
+    if within is not None:
+        rows = rows.withColumn("region", region).join(within, ["tree", "region"], "left_semi").drop("region")
     ordered = rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-    found = Saved(spark, ordered.mapInArrow(_neighbours(reach), _FOUND), f"{name}-found")
-    inside = found.df.where("side = 0").select("a", "b")
-    # a few rows per partition and tree, however many rows a partition has
-    across = found.df.where("side = 1").groupBy("tree").applyInPandas(_border_pairs(reach), "a long, b long")
-    pairs = Saved(spark, inside.unionByName(across).distinct(), f"{name}-pairs")
-    found.drop()
-    return pairs
+    found = Saved(spark, ordered.mapInArrow(_neighbours(reach), _FOUND), f"{name}-found").df
+    # of each region, some rows per partition, however many rows a partition has
+    ends = found.where("side = 1").withColumn("region", region)
+    shape = "a long, b long, side int, tree int, region binary"
+    across = Saved(spark, ends.groupBy("tree", "region").applyInPandas(_border_pairs(reach), shape), f"{name}-across").df
+    inside = found.where("side = 0").select("a", "b")
+    pairs = Saved(spark, inside.unionByName(across.where("side = 0").select("a", "b")).distinct(), f"{name}-pairs").df
+    dense = found.where("side = 2").select("tree", F.col("key").alias("region")).unionByName(across.where("side = 2").select("tree", "region"))
+    return pairs, Saved(spark, dense.distinct(), f"{name}-dense").df
 
 
 # ------------------------------------------------------------- confirmation
@@ -372,19 +407,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tied = real.select(F.col("doc_id").alias("a"), "d1", "d2").join(groups.df, ["d1", "d2"]).select("a", F.col("node").alias("b")).where("a <> b")
     several = real.groupBy("doc_id").agg((F.min(F.struct("d1", "d2")) != F.max(F.struct("d1", "d2"))).alias("x")).where("x").select(F.col("doc_id").alias("a"))
     links = Saved(spark, tied.join(several, "a", "left_semi"), "op2-links").df
-    labels, tried = None, None
-    for i in range(MAX_PASSES):
+    labels, tried, dense, reach, i = None, None, None, 1, 0
+    while True:
         first = i == 0
         label = F.col("node") if first else F.coalesce("label", "node")
         marked = (nodes.df if first else nodes.df.join(labels, "node", "left")).withColumn("label", label)
-        pairs = candidates(marked, FIRST_TREES if first else TREES, 1 if first else REACH, f"op2-{i}").df
+        pairs, more = candidates(marked, FIRST_TREES if first else TREES, reach, f"op2-{i}", dense)
         untried = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         confirmed = confirm(untried, texts, f"op2-{i}").df
         tried = pairs if tried is None else tried.unionByName(pairs)
-        if not first and confirmed.isEmpty():
-            break
-        links = links.unionByName(confirmed)
-        labels = Saved(spark, components(spark, links), f"op2-labels-{i}").df
+        linked = first or not confirmed.isEmpty()
+        if linked:
+            links = links.unionByName(confirmed)
+            labels = Saved(spark, components(spark, links), f"op2-labels-{i}").df
+        if first:
+            reach = REACH
+        else:
+            dense = more
+            if dense.isEmpty():
+                break
+            reach = reach if linked else reach * GROWTH
+        i += 1
     found = groups.df.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("component_id"))
     out = signed.df.join(found, ["d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

@@ -57,7 +57,9 @@ def _shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def test_near_duplicates_brute_force(spark, small):
+@pytest.mark.parametrize("reach", [op02_neardup.REACH, 1])
+def test_near_duplicates_brute_force(spark, small, monkeypatch, reach):
+    monkeypatch.setattr(op02_neardup, "REACH", reach)
     docs = [(i, _shingles(t)) for i, t in texts(spark, small)]
     label = {i: i for i, _ in docs if i is not None}
     named = [(i, s) for i, s in docs if i is not None and s]
@@ -75,6 +77,16 @@ def test_near_duplicates_brute_force(spark, small):
     )
 
 
+def test_window_names_a_region_dense_only_where_its_reach_ended():
+    small = bytes(32)
+    for reach, want in ((1, [False, False, True]), (2, [False, False, False])):
+        window = op02_neardup._Window(reach)
+        assert [window.pairs(0, bytes(20), n, n, 10, small)[1] for n in range(3)] == want
+    window = op02_neardup._Window(1)
+    # two rows of one label, of which one is forgotten, before one of another
+    assert [window.pairs(0, bytes(20), n, mark, 10, small)[1] for n, mark in enumerate((7, 7, 8))] == [False, False, True]
+
+
 def test_fit_counts_hits_budget():
     rng = np.random.default_rng(0)
     for _ in range(30):
