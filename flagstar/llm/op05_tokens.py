@@ -182,9 +182,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
     ranked = counts.select("id", (F.row_number().over(order) - 1).cast("long").alias("rank"), "n")
     ranked.coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of, _ = _rank_arrays(spark.read.parquet(f"{folder}/ranks"))
-    coded = ids.df.mapInArrow(_encode(rank_of), "doc_id long, n_tokens long, tie long, control binary, data binary")
-    coded.orderBy("doc_id", "n_tokens", "tie").drop("tie").write.option("compression", "uncompressed").parquet(f"{folder}/ids")
+    # written before the sort, whose sampling would else encode all a second time
+    coded = Saved(spark, ids.df.mapInArrow(_encode(rank_of), "doc_id long, n_tokens long, tie long, control binary, data binary"), "op5-coded")
+    coded.df.orderBy("doc_id", "n_tokens", "tie").drop("tie").write.option("compression", "uncompressed").parquet(f"{folder}/ids")
     ids.drop()
+    coded.drop()
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
