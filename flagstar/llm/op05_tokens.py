@@ -35,7 +35,7 @@ from flagstar.session import scratch_dir
 ship(__name__)
 
 END_ID = 1
-CACHE_WORDS = 200_000  # distinct words remembered per Python worker
+CACHE_WORDS = 300_000  # a Python worker remembers twice as many distinct words at most
 VOCABULARY_BOUND = 1 << 22  # largest vocabulary whose rank table is broadcast
 
 # ---------------------------------------------------------------- the code
@@ -72,6 +72,9 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 class WordEncoder:
     """Token ids of whole texts, one library call per word not seen lately.
 
+    Words are remembered in two generations of at most about ``limit`` words;
+    when the younger is full, the older is forgotten, but for what was met since.
+
     Sound for tokenizers that drop white space and never join characters
     across a space or newline (``word_bpe_49k`` is one): the ids of a text are
     then those of its parts between spaces and newlines, in order.
@@ -80,17 +83,20 @@ class WordEncoder:
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {"": b""}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.known, self.older = {"": b""}, {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        if len(known) > self.limit:
-            known = self.known = {"": b""}
-        new = list({w for p in parts for w in p if w not in known})
+        if len(self.known) > self.limit:
+            self.known, self.older = {"": b""}, self.known
+        known, older = self.known, self.older
+        lacking = set().union(*parts).difference(known)
+        known.update((w, older[w]) for w in lacking if w in older)
+        new = [w for w in lacking if w not in older]
         for at in range(0, len(new), 20_000):
             some = new[at : at + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 known[w] = np.array(e.ids, dtype="<u4").tobytes()
         return [np.frombuffer(b"".join(map(known.__getitem__, p)), dtype="<u4") for p in parts]
 

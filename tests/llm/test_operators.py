@@ -180,8 +180,11 @@ def test_word_encoder_equals_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     tok, own = Tokenizer.from_file(path), op05_tokens.WordEncoder(path)
     odd = ["it's we'll  a b́ <|endoftext|> ΑΣ Σ", "́x ́", "a\tb\r\nc d", "İstanbul ﬁ ½ 12,345.6 🙂🙂", "don't 'S"]
+    forgetful = op05_tokens.WordEncoder(path, limit=3)
     for text, ids in zip(odd, own.encode(odd)):
         assert tok.encode(text, add_special_tokens=False).ids == ids.tolist()
+    for text in odd * 2:
+        assert tok.encode(text, add_special_tokens=False).ids == forgetful.encode([text])[0].tolist()
 
 
 def test_toxicity(spark, small):
