@@ -28,6 +28,11 @@ def _const(spark: SparkSession, name: str, violations: int) -> DataFrame:
     )
 
 
+def failed(spark: SparkSession, name: str) -> DataFrame:
+    """A check that can't be made, as one violation."""
+    return _const(spark, name, 1)
+
+
 def table_exists(spark: SparkSession, root: str, table: str, name: str | None = None) -> DataFrame:
     """V1: ``root/<table>`` holds at least one Parquet file."""
     return _const(spark, name or f"table_exists:{table}", 0 if tables_ready(spark, root, [table]) else 1)

@@ -240,7 +240,7 @@ def contract_checks(spark, root: str) -> DataFrame:
     the fact's date key is never NULL, the unknown date exists exactly once,
     no patient contact data is exposed, and no fact row is an orphan.
     Missing tables are reported as failed existence checks; checks that need
-    them are skipped.
+    them are skipped, but for the loss check: without Bronze it has failed.
     """
     silver_root, gold_root = f"{root}/silver", f"{root}/gold"
     rows = []
@@ -256,8 +256,10 @@ def contract_checks(spark, root: str) -> DataFrame:
         try:
             bronze = read_latest(spark, f"{root}/bronze/citas")
         except FileNotFoundError:
-            bronze = None  # Silver without its Bronze: the loss check is left out
-        if bronze is not None:
+            bronze = None
+        if bronze is None:  # whether rows were lost can't be told: not passed
+            rows.append(V.failed(spark, "no_row_loss"))
+        else:
             # the raw id where it does not parse, so such rows count one by one
             id_type = SILVER_TYPES["citas"]["id_cita"]
             raw_id = F.coalesce(parsed("id_cita", id_type).cast("string"), F.col("id_cita").cast("string"))

@@ -189,6 +189,14 @@ def test_contract_checks_on_a_written_lake(spark, tmp_path):
     assert len(got) == 4 + 8 + 2 + 4 + 3 + 3
 
 
+def test_contract_checks_without_bronze_fail_the_loss_check(spark, tmp_path):
+    for t, key in H.SILVER_KEYS.items():
+        row = f"1L AS {key}, timestamp'2024-01-02' AS fecha_hora, array() AS {H.FLAG_COL}"
+        spark.sql(f"SELECT {row}").withColumn(H.FLAG_COL, F.col(H.FLAG_COL).cast("array<string>")).write.parquet(f"{tmp_path}/silver/{t}")
+    got = {r["check_name"]: r["passed"] for r in H.contract_checks(spark, str(tmp_path)).collect()}
+    assert not got["no_row_loss"] and got["pk_unique:citas"]
+
+
 def test_contract_checks_report_missing_tables(spark, tmp_path):
     got = {r["check_name"]: r["passed"] for r in H.contract_checks(spark, str(tmp_path / "nothing")).collect()}
     assert got and not any(got.values())
