@@ -2,8 +2,9 @@
 
 The *lexicon* holds the terms (distinct lower-cased words) whose document
 frequency lies in a chosen band: too common ones say nothing about a document,
-too rare ones make a fingerprint break at the first edit. Each term of the band
-occurs in a least share of all documents, so the lexicon has at most
+too rare ones make a fingerprint break at the first edit. Frequencies count
+distinct texts, so that copies of a text don't push its terms out of the band.
+Each term of the band occurs in a least share of all distinct texts, so the lexicon has at most
 ``LEXICON_BOUND`` terms however large the corpus is, and all tasks get it as one
 constant table of buckets.
 
@@ -11,7 +12,9 @@ A document's in-band terms are sorted once. Each of ``FAMILIES`` x ``RATES``
 randomised subsets of the lexicon keeps a term by a seeded hash, at rates from
 1 down to 1 / 2 ** 9, and the terms kept are hashed together. Two documents are
 alike in the share of equal hashes among those subsets in which either has a
-term: high rates serve short texts, low rates long ones.
+term: high rates serve short texts, low rates long ones. A text without in-band
+terms is hashed by all its own terms instead; where it meets a text with in-band
+terms, both are compared by all their terms.
 
 Everything is DataFrame functions; terms travel as 64-bit hashes.
 """
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from flagstar.llm.common import Saved, lower_ascii, shuffle_partitions, table, word_array
 
-MIN_DF, MAX_DF = 0.002, 0.15  # shares of all documents
+MIN_DF, MAX_DF = 0.002, 0.15  # shares of all distinct texts
 FAMILIES = 4  # independent hashes
 RATES = 10  # subset r of a family keeps a term with probability 1 / 2 ** r
 LEXICON_BUCKETS = 1 << 15
@@ -41,13 +44,16 @@ def term_hashes(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", min_df: float = MIN_DF, max_df: float = MAX_DF, bound: int = LEXICON_BOUND) -> DataFrame:
-    """Terms (hashes) in the frequency band, counted over all documents.
+    """Terms (hashes) in the frequency band, counted over all distinct texts.
 
-    A term must occur in two documents at least. The band's lower end is at
-    least (all occurrences) / ``bound``, so at most ``bound`` terms can reach it.
+    A term must occur in two texts at least. The band's lower end is at least
+    (all occurrences) / ``bound``, so at most ``bound`` terms can reach it.
     """
-    n = docs.count()
-    terms = docs.select(F.explode(term_hashes(F.col(text_col))).alias("term"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # copies are dropped in the tasks that read them, before the shuffle
+    texts = docs.select(F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2"), text.alias("text")).groupBy("h1", "h2").agg(F.first("text").alias("text"))
+    n = docs.select(F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2")).distinct().count()
+    terms = texts.select(F.explode(term_hashes(F.col("text"))).alias("term"))
     counts = Saved(docs.sparkSession, terms.groupBy("term").agg(F.count("*").alias("df")).where("df >= 2"), "op9-counts").df
     occurrences = counts.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("s")).first()["s"]
     least = max(2.0, min_df * n, occurrences / bound)
@@ -72,7 +78,7 @@ class Fingerprints:
         self.table = constant([t for b in buckets for t in sorted(b)] or [0], "bigint")
 
     def terms(self, text: Column) -> Column:
-        """The sorted in-band terms of a text."""
+        """The sorted in-band terms of a text; none: empty array."""
 
         def known(h: Column) -> Column:
             slot = F.pmod(h, F.lit(LEXICON_BUCKETS)).cast("int")
@@ -102,6 +108,11 @@ class Fingerprints:
         return F.concat_ws(".", *[family(f) for f in range(self.families)])
 
 
+def own_terms(text: Column) -> Column:
+    """All terms of a text, sorted."""
+    return F.array_sort(term_hashes(text))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal subset hashes, 0 to 1, among subsets where either has a
     term. A subset counts by the inverse of its rate, as one that keeps few
@@ -164,25 +175,36 @@ def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all ``documents`` and of their edited texts.
 
     Null texts count as empty; a text without in-band terms has a fingerprint
-    of empty subsets. Documents that share an id follow each other by a hash
+    of all its terms, one without words has empty subsets only. Documents that share an id follow each other by a hash
     of their text; null ids come last. A single document is its own next one.
     """
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     prints = Fingerprints(lexicon(docs))
-    marked = docs.withColumn("terms", prints.terms(F.col("text")))
-    marked = marked.select("doc_id", "text", prints.of(F.col("terms")).alias("fingerprint"), F.xxhash64("text").alias("_tie"))
-    led = with_next(marked, "doc_id", "_tie", ["text", "fingerprint"])
+    own = lambda terms: F.size(terms) == 0
+    used = lambda terms, text: F.when(own(terms), own_terms(text)).otherwise(terms)
+    marked = docs.withColumn("_band", prints.terms(F.col("text")))
+    marked = marked.select("doc_id", "text", own(F.col("_band")).alias("own"), used(F.col("_band"), F.col("text")).alias("terms"))
+    marked = marked.select("doc_id", "text", "own", prints.of(F.col("terms")).alias("fingerprint"), F.xxhash64("text").alias("_tie"))
+    led = with_next(marked, "doc_id", "_tie", ["text", "own", "fingerprint"])
     n, cut = F.length("text"), F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut))
-    out = led.select("doc_id", n.cast("long").alias("n_chars"), "fingerprint", "next_fingerprint", edited.alias("_edited"))
-    out = out.withColumn("_terms", prints.terms(F.col("_edited")))
-    out = out.withColumn("edited_sha256", F.sha2(F.col("_edited").cast("binary"), 256)).withColumn("edited_fingerprint", prints.of(F.col("_terms")))
+
+    def near(other: str) -> Column:
+        # one of the two has no in-band terms: all terms of both
+        whole = lambda text: prints.of(own_terms(F.col(text)))
+        mixed = F.col("own") != F.col(f"{other}_own")
+        return F.when(mixed, likeness(whole("text"), whole(f"{other}_text"))).otherwise(likeness(F.col("fingerprint"), F.col(f"{other}_fingerprint")))
+
+    out = led.withColumn("n_chars", n.cast("long")).withColumn("edited_text", edited)
+    out = out.withColumn("_band", prints.terms(F.col("edited_text")))
+    out = out.withColumn("edited_own", own(F.col("_band"))).withColumn("_terms", used(F.col("_band"), F.col("edited_text")))
+    out = out.withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256)).withColumn("edited_fingerprint", prints.of(F.col("_terms")))
     return out.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        near("edited").alias("near_edited"),
+        near("next").alias("near_next"),
     )
