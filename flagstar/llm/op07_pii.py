@@ -8,8 +8,10 @@
    characters around it).
 4. Boosted trees learn, from a bounded sample of the corpus's own candidates
    (``MAX_TRAIN``, lowest seeded hash first), which formats in which contexts
-   are personal data. No labels exist, so strict validators give them: spans
-   that pass are positive, spans that fail negative.
+   are personal data. No labels exist, so evidence outside the base patterns
+   gives them: addresses are made plain before they are validated, national
+   phone numbers go by digits and words around them. Spans without evidence
+   either way, and those that overlap a base span, stay out of the fit.
 5. A threshold per kind is calibrated on sampled candidates kept out of the
    fit: the lowest score from which a share of ``PRECISION`` is positive.
    Candidates above it are added, best first, where they don't overlap a base
@@ -20,6 +22,7 @@ Texts are read once, whole; only spans and features of candidates are kept.
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import numpy as np
@@ -117,6 +120,10 @@ _CUES = tuple(
         r"phone|tel|call|mobile|fax|cell|whatsapp|t[eé]l[eé]", r"iban|account|bank|konto|compte|cuenta", r"ssn|social|security",
     )
 )
+_MAIL_CUE = re.compile(r"mail|\bcontact\b|\bwrite\b|\breach\b", re.I)
+_PHONE_CUE = re.compile(r"phone|\btel\b|\bcall\b|\bmobile\b|\bfax\b|\bcell\b|\bsms\b|whatsapp|t[eé]l[eé]f", re.I)
+_AT, _DOT = re.compile(r"\x20?(?:\(at\)|\[at\]|@)\x20?"), re.compile(r"\x20?(?:\(dot\)|\[dot\])\x20?")
+_PLAIN_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}")
 _CODE = re.compile(r"version|release|build|order|invoice|item|no\.|isbn|#", re.I)
 
 
@@ -127,17 +134,39 @@ def _iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
-def valid(kind: int, span: str, before: str) -> bool:
-    """Strict validators: the training labels."""
+def _address(span: str) -> bool:
+    """An e-mail address once (at) and (dot) are written plainly."""
+    return _PLAIN_EMAIL.fullmatch(_DOT.sub(".", _AT.sub("@", span))) is not None
+
+
+def _series(before: str, after: str) -> bool:
+    """More digit groups go before or after, or it is an amount."""
+    return re.search(r"[0-9][\x20.,/-]$|[$€£]\x20?$", before) is not None or re.match(r"[\x20.,/-][0-9]", after) is not None
+
+
+def _years(groups: list[str]) -> bool:
+    return all(len(g) == 4 and g[:2] in ("19", "20") for g in groups)
+
+
+def valid(kind: int, span: str, before: str, after: str = "") -> bool | None:
+    """Training labels; None: no evidence either way."""
     digits = _digits(span)
     if kind == 0:
-        return re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}", span) is not None
+        if not _address(span):
+            return False
+        # a sign between blanks also stands for the word "at"
+        return True if _MAIL_CUE.search(before) or not ("@ " in span or " @" in span) else None
     if kind == 1:
         return re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", span) is not None and _octets(span) and _CODE.search(before) is None
     if kind == 2:
         return 12 <= len(digits) <= 19 and luhn(digits) and digits[0] in "3456"
     if kind == 3:
-        return span[:1] == "+" and 9 <= len(digits) <= 15
+        if span[:1] == "+" or not 8 <= len(digits) <= 15:
+            return 9 <= len(digits) <= 15
+        cue = _PHONE_CUE.search(before) is not None
+        other = any(c.search(before) for c in (_CODE, _CUES[2], _CUES[4], _CUES[5]))
+        other = other or _series(before, after) or _years(re.findall(r"[0-9]+", span)) or len(set(digits)) <= 2
+        return cue if cue != other else None
     if kind == 4:
         return _iban(span)
     return digits[:3] not in ("000", "666") and digits[0] != "9" and digits[3:5] != "00" and _CUES[5].search(before) is not None
@@ -156,7 +185,8 @@ def features(kind: int, text: str, start: int, end: int) -> list[float]:
         float(span.count("@")), float(sum(c.isalpha() for c in span)), float(sum(c.isupper() for c in span)),
         float(len(set(digits))), float(bool(digits) and luhn(digits)), float(kind == 1 and _octets(span)), float(kind == 4 and _iban(span)),
         float(digits[:1] in tuple("3456")), float(before[-1:].isalnum()), float(after[:1].isalnum()), float(near[kind]), float(sum(near)),
-        float(_CODE.search(before) is not None),
+        float(_CODE.search(before) is not None), float(kind == 0 and _address(span)), float(_MAIL_CUE.search(before) is not None),
+        float(_PHONE_CUE.search(before) is not None), float(_series(before, after)), float(bool(groups) and _years(groups)),
     ]
 
 
@@ -166,6 +196,21 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return sorted(found | set(base))
 
 
+def labels(text: str, base: list[tuple[int, int, int]], found: list[tuple[int, int, int]]) -> list[bool | None]:
+    """Training labels of candidates; those that only a base span keeps out
+    say nothing about spans to add."""
+    own, ends, top = set(base), [], 0
+    for _, _, e in base:
+        ends.append(top := max(top, e))
+    starts = [s for s, _, _ in base]
+    # the base spans that start before e reach furthest to ends[at - 1]
+    covered = lambda s, e: (at := bisect.bisect_left(starts, e)) > 0 and ends[at - 1] > s
+    return [
+        None if (s, k, e) not in own and covered(s, e) else valid(k, text[s:e], text[max(0, s - CONTEXT) : s], text[e : e + CONTEXT])
+        for s, k, e in found
+    ]
+
+
 # ----------------------------------------------------------- boosted trees
 
 
@@ -273,7 +318,7 @@ def _scan(text_at: int, keep: list[int], names: list[str]):
                 base.append(spans)
                 cands.append(found)
                 feats.append([v for s, k, e in found for v in features(k, text, s, e)])
-                oks.append([valid(k, text[s:e], text[max(0, s - CONTEXT) : s]) for s, k, e in found])
+                oks.append(labels(text, spans, found))
             columns = [b.column(i) for i in keep]
             columns += [_spans_array(base), _spans_array(cands), pa.array(feats, pa.list_(pa.float64())), pa.array(oks, pa.list_(pa.bool_()))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -323,7 +368,7 @@ def _train(scanned: DataFrame) -> Model:
     width = len(features(0, "", 0, 0))
     each = scanned.select(
         F.xxhash64("doc_id", F.lit(SEED)).alias("h"), F.posexplode("valid").alias("at", "y"), "feats", "cands"
-    ).select(F.xxhash64("h", "at").alias("h"), "at", "y", F.slice("feats", F.col("at") * width + 1, F.lit(width)).alias("x"))
+    ).where("y IS NOT NULL").select(F.xxhash64("h", "at").alias("h"), "at", "y", F.slice("feats", F.col("at") * width + 1, F.lit(width)).alias("x"))
     rows = each.orderBy("h", "at", "x").limit(MAX_TRAIN).toPandas()
     x = np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), width)
     return fit(x, rows["y"].to_numpy(dtype=float))
