@@ -7,13 +7,15 @@
    digits, groups, separators, checksums) and by its context (cue words and
    characters around it).
 4. Boosted trees learn, from a bounded sample of the corpus's own candidates
-   (``MAX_TRAIN``, lowest seeded hash first), which formats in which contexts
+   (about ``MAX_TRAIN``, an equal part for each kind and label), which formats in which contexts
    are personal data. No labels exist, so evidence outside the base patterns
    gives them: addresses are made plain before they are validated, national
    phone numbers go by digits and words around them. Spans without evidence
    either way, and those that overlap a base span, stay out of the fit.
-5. A threshold per kind is calibrated on sampled candidates kept out of the
-   fit: the lowest score from which a share of ``PRECISION`` is positive.
+5. A threshold per kind is calibrated on all candidates kept out of the fit,
+   from counts by kind, range of scores and label: the lowest score from which
+   a share of ``PRECISION`` is positive, among spans that are no base spans
+   where those have enough positives.
    Candidates above it are added, best first, where they don't overlap a base
    span or a better one.
 
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import bisect
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,8 @@ KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE_KINDS = 4
 MAX_TRAIN = 12_000
 PRECISION, MIN_POSITIVE = 0.99, 20
+NEVER = 1 << 30  # a threshold that no score reaches
+DRAWN = 1 << 30  # marks of candidates for the fit's sample are below
 TREES, DEPTH, RATE, BINS, MIN_LEAF = 30, 3, 0.3, 16, 20
 SEED = 5
 CONTEXT = 32  # characters looked at on either side
@@ -270,30 +275,28 @@ class Trees:
         return 1 / (1 + np.exp(-z))
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray) -> float:
-    """Lowest score from which the share of positives stays at PRECISION; above
-    1 where too few positives show it."""
-    if labels.sum() < MIN_POSITIVE:
-        return 1.1
-    order = np.argsort(-scores, kind="stable")
-    share = np.cumsum(labels[order]) / np.arange(1, len(order) + 1)
-    last_of_tie = np.append(np.diff(scores[order]) != 0, True)
-    good = np.flatnonzero((share >= PRECISION) & last_of_tie)
-    return float(scores[order][good[-1]]) if len(good) else 1.1
+def ranges(scores: np.ndarray) -> np.ndarray:
+    """Ranges of scores, even in log odds."""
+    p = np.clip(scores, 1e-9, 1 - 1e-9)
+    return np.floor(np.log(p / (1 - p)) * 64).astype(np.int64)
 
 
-class Model:
-    def __init__(self, trees: Trees, thresholds: list[float]):
-        self.trees, self.thresholds = trees, thresholds
+def calibrate(at: np.ndarray, labels: np.ndarray, n: np.ndarray) -> int:
+    """Lowest range of scores from which the share of positives stays at
+    PRECISION; NEVER where too few positives show it. ``n`` candidates each."""
+    if (labels * n).sum() < MIN_POSITIVE:
+        return NEVER
+    found, which = np.unique(at, return_inverse=True)
+    good, every = np.bincount(which, labels * n)[::-1].cumsum(), np.bincount(which, n)[::-1].cumsum()
+    enough = np.flatnonzero(good >= PRECISION * every)
+    return int(found[::-1][enough[-1]]) if len(enough) else NEVER
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Model:
-    """Trees on four fifths of the rows, thresholds on the rest."""
-    keep = np.arange(len(y)) % 5 != 0
-    trees = Trees(x[keep], y[keep])
-    scores = trees.score(x[~keep])
-    kinds = x[~keep, 0] if len(y) else np.zeros(0)
-    return Model(trees, [calibrate(scores[kinds == k], y[~keep][kinds == k]) for k in range(len(KINDS))])
+class Model:
+    """Trees, and the least range of scores that passes for each kind."""
+
+    def __init__(self, trees: Trees, thresholds: list[int]):
+        self.trees, self.thresholds = trees, thresholds
 
 
 # ------------------------------------------------------------------ operator
@@ -331,10 +334,11 @@ def choose(model: Model, base, cands, feats) -> list[tuple[int, int, int]]:
     out = list(base)
     if len(cands) > len(base):
         scores = model.trees.score(np.asarray(feats, dtype=float).reshape(len(cands), -1))
+        at = ranges(scores)
         taken = set(base)
         for i in sorted(range(len(cands)), key=lambda i: (-scores[i], cands[i])):
             s, k, e = cands[i]
-            if cands[i] not in taken and scores[i] >= model.thresholds[k] and all(e <= x[0] or s >= x[2] for x in out):
+            if cands[i] not in taken and at[i] >= model.thresholds[k] and all(e <= x[0] or s >= x[2] for x in out):
                 out.append(cands[i])
     return sorted(out)
 
@@ -363,15 +367,55 @@ def _finish(model: Model):
     return run
 
 
+def _histogram(trees: Trees, drawn: dict[tuple[int, bool], int]):
+    """Labelled candidates kept out of the fit, counted by kind, range of
+    scores, label and whether they are a base span."""
+
+    def run(batches):
+        for b in batches:
+            own, cands, marks, oks = (b.column(i).to_pylist() for i in (0, 1, 2, 4))
+            x = b.column(3).flatten().to_numpy(zero_copy_only=False)
+            own = [{(c["s"], c["k"], c["e"]) for c in o} for o in own]
+            keys = [(c["k"], (c["s"], c["k"], c["e"]) in o, y, m) for o, cs, ms, ys in zip(own, cands, marks, oks) for c, m, y in zip(cs, ms, ys)]
+            if not keys:
+                continue
+            at = ranges(trees.score(x.reshape(len(keys), -1))).tolist()
+            n = Counter((k, r, y, base) for (k, base, y, m), r in zip(keys, at) if y is not None and m >= drawn.get((k, y), 0))
+            columns = list(zip(*[(*key, v) for key, v in n.items()])) or [[]] * 5
+            kinds = (pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["k", "at", "y", "base", "n"])
+
+    return run
+
+
 def _train(scanned: DataFrame) -> Model:
-    """Fit on at most MAX_TRAIN candidates, whatever the corpus holds."""
+    """Fit on about MAX_TRAIN candidates, whatever the corpus holds; thresholds
+    from all others. Half of the marks are never drawn for the fit."""
     width = len(features(0, "", 0, 0))
-    each = scanned.select(
-        F.xxhash64("doc_id", F.lit(SEED)).alias("h"), F.posexplode("valid").alias("at", "y"), "feats", "cands"
-    ).where("y IS NOT NULL").select(F.xxhash64("h", "at").alias("h"), "at", "y", F.slice("feats", F.col("at") * width + 1, F.lit(width)).alias("x"))
-    rows = each.orderBy("h", "at", "x").limit(MAX_TRAIN).toPandas()
+    mark = lambda i: F.pmod(F.xxhash64("doc_id", F.lit(SEED), i, F.slice("feats", i * width + 1, F.lit(width))), F.lit(2 * DRAWN))
+    marked = scanned.withColumn("marks", F.transform("valid", lambda _, i: mark(i)))
+    each = marked.select("doc_id", F.posexplode(F.arrays_zip("cands", "valid", "marks")).alias("at", "c"), "feats").select(
+        F.col("c.cands.k").alias("k"), F.col("c.valid").alias("y"), F.col("c.marks").alias("mark"), F.slice("feats", F.col("at") * width + 1, F.lit(width)).alias("x")
+    )
+    each = each.where(F.col("y").isNotNull() & (F.col("mark") < DRAWN))
+    counts = each.groupBy("k", "y").count().collect()
+    drawn = {(r["k"], r["y"]): min(DRAWN, DRAWN * MAX_TRAIN // (2 * len(KINDS) * r["count"])) for r in counts}
+    below = F.lit(False)
+    for (k, y), end in sorted(drawn.items()):
+        below = below | ((F.col("k") == k) & (F.col("y") == y) & (F.col("mark") < end))
+    rows = each.where(below).orderBy("mark", "k", "x").limit(2 * MAX_TRAIN).toPandas()
     x = np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), width)
-    return fit(x, rows["y"].to_numpy(dtype=float))
+    trees = Trees(x, rows["y"].to_numpy(dtype=float))
+    counted = marked.select("base", "cands", "marks", "feats", "valid").mapInArrow(_histogram(trees, drawn), "k int, at long, y boolean, base boolean, n long")
+    got = counted.groupBy("k", "at", "y", "base").agg(F.sum("n").alias("n")).toPandas()
+    thresholds = []
+    for k in range(len(KINDS)):
+        mine = got[got["k"] == k]
+        beyond = mine[~mine["base"].astype(bool)]
+        if beyond["n"][beyond["y"].astype(bool)].sum() >= MIN_POSITIVE:
+            mine = beyond
+        thresholds.append(calibrate(mine["at"].to_numpy(np.int64), mine["y"].to_numpy(float), mine["n"].to_numpy(float)))
+    return Model(trees, thresholds)
 
 
 def scan_and_fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Model]:

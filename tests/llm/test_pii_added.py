@@ -58,3 +58,30 @@ def test_labels_need_evidence():
     base = op07_pii.base_spans(text)
     found = op07_pii.candidates(text, base)
     assert len(found) == 2 and op07_pii.labels(text, base, found) == [True, None]
+
+
+def _iban(n):
+    bban = f"{n:018d}"
+    check = 98 - int(bban + "131400") % 97  # D = 13, E = 14
+    code = f"DE{check:02d}{bban}"
+    return " ".join(code[i : i + 4] for i in range(0, 22, 4))
+
+
+def test_a_rare_kind_keeps_its_threshold(spark, monkeypatch):
+    # one account in 200 candidates; the sample for the fit holds 480
+    monkeypatch.setattr(op07_pii, "MAX_TRAIN", 480)
+    rng = random.Random(6)
+    texts = [" ".join(f"mail u{i}x{j}@host.com" for j in range(100)) for i in range(200)]
+    texts += [f"iban {_iban(rng.randrange(10**17))} of the bank" for _ in range(100)]
+    docs = list(enumerate(texts))
+    added = _added(spark, docs)
+    assert all(len(added[i]) == 1 for i, t in docs if t.startswith("iban"))
+
+
+def test_counts_hold_all_candidates_out_of_the_fit():
+    import numpy as np
+
+    at, one = np.array([5, 4, 3, 2]), np.array([1.0, 1.0, 0.0, 1.0])
+    assert op07_pii.calibrate(at, one, np.array([10.0, 5000.0, 5.0, 1.0])) == 2
+    assert op07_pii.calibrate(at, one, np.array([10.0, 5000.0, 500.0, 1.0])) == 4
+    assert op07_pii.calibrate(at, one, np.array([10.0, 5.0, 0.0, 1.0])) == op07_pii.NEVER
