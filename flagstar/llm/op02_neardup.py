@@ -24,10 +24,13 @@ sets of both texts. Groups larger than that reach are connected through their
 chains.
 
 A region (tree and prefix) in which some node's reach ended before the region
-did is *dense*. Only dense regions are compared again: with the labels that the
-new links gave, and, where a round found none, with ``GROWTH`` times the reach,
-until no region is dense. So the reach only orders the work; it leaves no pair
-of a region out.
+did is *dense*. Dense regions are counted by label: one whose rows all have one
+label is done. The others are compared again with the labels that the new links
+gave, and, where a round found none or little is left, completely: the rows of a
+region's largest label and its others are cut into blocks of about ``BLOCK``,
+and every block of others meets every block of either in a task of its own. So
+the reach only orders the work; it leaves no pair of a region out, and no task
+holds more than two blocks of a region.
 """
 
 from __future__ import annotations
@@ -51,7 +54,9 @@ TREES, DEPTH, MIN_DEPTH = 24, 5, 2
 FIRST_TREES = 4
 REACH = 8
 SKETCH_LEAST = 27  # of 64
-GROWTH = 4
+BLOCK = 512  # rows of a region that meet those of another block at once
+SALTS = 64
+LITTLE = 8  # copies of a row that are fewer than another round costs
 SEED = 7
 FILTER_BITS = 1 << 23  # fixed size of the id filter sent to the text scan
 
@@ -301,7 +306,7 @@ def candidates(nodes: DataFrame, trees: int, reach: int, name: str, within: Data
     rows = _tree_rows(nodes, trees).select(F.col("tree").cast("int"), "key", "node", "label", "n", "sketch")
     region = F.substring("key", 1, 4 * MIN_DEPTH)
     if within is not None:
-        rows = rows.withColumn("region", region).join(within, ["tree", "region"], "left_semi").drop("region")
+        rows = _of_regions(rows, within).drop("region", *(c for c in within.columns if c not in ("tree", "region")))
     ordered = rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     found = Saved(spark, ordered.mapInArrow(_neighbours(reach), _FOUND), f"{name}-found").df
     # of each region, some rows per partition, however many rows a partition has
@@ -314,6 +319,67 @@ def candidates(nodes: DataFrame, trees: int, reach: int, name: str, within: Data
     return pairs, Saved(spark, dense.distinct(), f"{name}-dense").df
 
 
+def _of_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    """Rows of some regions, with the regions' columns; salted, as one region
+    may hold a large share of the rows."""
+    salted = regions.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    keyed = rows.withColumn("region", F.substring("key", 1, 4 * MIN_DEPTH)).withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    return keyed.join(salted, ["tree", "region", "_salt"]).drop("_salt")
+
+
+def unsettled(nodes: DataFrame, regions: DataFrame, name: str) -> DataFrame:
+    """The regions whose rows have several labels: tree, region, top (the label
+    of most rows), blocks of its rows and of all others, rows and copies."""
+    rows = _of_regions(_tree_rows(nodes, TREES).select(F.col("tree").cast("int"), "key", "node", "label"), regions.select("tree", "region"))
+    by_label = rows.groupBy("tree", "region", "label").agg(F.count("*").alias("n"))
+    found = by_label.groupBy("tree", "region").agg(F.sum("n").alias("rows"), F.max(F.struct("n", "label")).alias("m"))
+    cut = lambda n: F.ceil(n / BLOCK).cast("int")
+    most, others = F.col("m.n"), F.col("rows") - F.col("m.n")
+    found = found.where(others > 0).select("tree", "region", F.col("m.label").alias("top"), cut(most).alias("mine"), cut(others).alias("theirs"), "rows", most.alias("most"))
+    copies = F.col("most") * F.col("theirs") + (F.col("rows") - F.col("most")) * (F.col("mine") + F.col("theirs"))
+    return Saved(nodes.sparkSession, found.withColumn("copies", copies).drop("most"), name).df
+
+
+def _meet(pdf):
+    """Pairs (a < b, some twice) of two blocks' rows, or of one's own, that may
+    be similar."""
+    import pandas as pd
+
+    nibbles = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint8).reshape(len(pdf), -1)
+    nibbles = np.concatenate([nibbles >> 4, nibbles & 15], axis=1).astype(np.int64)
+    marks = np.zeros((len(pdf), nibbles.shape[1] * 16), dtype=np.float32)
+    marks[np.arange(len(pdf))[:, None], np.arange(nibbles.shape[1]) * 16 + nibbles] = 1
+    node, label, n = (pdf[c].to_numpy() for c in ("node", "label", "n"))
+    one = np.flatnonzero(pdf["second"].to_numpy() == 0)
+    two = one if pdf["i"].iloc[0] == pdf["j"].iloc[0] and pdf["kind"].iloc[0] == 1 else np.flatnonzero(pdf["second"].to_numpy() == 1)
+    low, high = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for at in range(0, len(one), BLOCK):
+        r = one[at : at + BLOCK]
+        lo, hi = np.minimum(n[r][:, None], n[two]), np.maximum(n[r][:, None], n[two])
+        near = (marks[r] @ marks[two].T >= SKETCH_LEAST - 0.5) & (label[r][:, None] != label[two]) & (lo * SIMILARITY[1] >= hi * SIMILARITY[0])
+        x, y = np.nonzero(near)
+        a, b = node[r][x], node[two][y]
+        low.append(np.minimum(a, b))
+        high.append(np.maximum(a, b))
+    return pd.DataFrame({"a": np.concatenate(low), "b": np.concatenate(high)})
+
+
+def all_pairs(nodes: DataFrame, regions: DataFrame, name: str) -> DataFrame:
+    """All candidate pairs across labels in ``regions`` (from ``unsettled``)."""
+    rows = _tree_rows(nodes, TREES).select(F.col("tree").cast("int"), "key", "node", "label", "n", "sketch")
+    rows = _of_regions(rows, regions.select("tree", "region", "top", "mine", "theirs")).withColumn("is_top", F.col("label") == F.col("top"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(SEED)), F.when(F.col("is_top"), F.col("mine")).otherwise(F.col("theirs"))).cast("int"))
+    cell = lambda kind, i, j, second: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), second.cast("int").alias("second"))
+    b, every = F.col("block"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    top = F.transform(every("theirs"), lambda c: cell(0, c, b, F.lit(1)))
+    met = F.transform(every("mine"), lambda c: cell(0, b, c, F.lit(0)))
+    other = F.transform(every("theirs"), lambda c: cell(1, F.least(b, c), F.greatest(b, c), b > c))
+    cells = rows.withColumn("c", F.explode(F.when(F.col("is_top"), top).otherwise(F.concat(met, other))))
+    cells = cells.select("tree", "region", "c.kind", "c.i", "c.j", "c.second", "node", "label", "n", "sketch")
+    found = cells.groupBy("tree", "region", "kind", "i", "j").applyInPandas(_meet, "a long, b long")
+    return Saved(nodes.sparkSession, found.distinct(), f"{name}-pairs").df
+
+
 # ------------------------------------------------------------- confirmation
 
 
@@ -407,12 +473,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tied = real.select(F.col("doc_id").alias("a"), "d1", "d2").join(groups.df, ["d1", "d2"]).select("a", F.col("node").alias("b")).where("a <> b")
     several = real.groupBy("doc_id").agg((F.min(F.struct("d1", "d2")) != F.max(F.struct("d1", "d2"))).alias("x")).where("x").select(F.col("doc_id").alias("a"))
     links = Saved(spark, tied.join(several, "a", "left_semi"), "op2-links").df
-    labels, tried, dense, reach, i = None, None, None, 1, 0
+    labels, tried, dense, i, last = None, None, None, 0, False
     while True:
         first = i == 0
         label = F.col("node") if first else F.coalesce("label", "node")
         marked = (nodes.df if first else nodes.df.join(labels, "node", "left")).withColumn("label", label)
-        pairs, more = candidates(marked, FIRST_TREES if first else TREES, reach, f"op2-{i}", dense)
+        if dense is not None:
+            dense = unsettled(marked, dense, f"op2-{i}-unsettled")
+            work = dense.agg(F.count("*").alias("n"), F.sum("rows").alias("rows"), F.sum("copies").alias("copies")).first()
+            if not work["n"]:
+                break
+            last = not linked or work["copies"] <= LITTLE * work["rows"]
+        if last:
+            pairs = all_pairs(marked, dense, f"op2-{i}")
+        else:
+            pairs, more = candidates(marked, FIRST_TREES if first else TREES, 1 if first else REACH, f"op2-{i}", dense)
         untried = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         confirmed = confirm(untried, texts, f"op2-{i}").df
         tried = pairs if tried is None else tried.unionByName(pairs)
@@ -420,13 +495,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if linked:
             links = links.unionByName(confirmed)
             labels = Saved(spark, components(spark, links), f"op2-labels-{i}").df
-        if first:
-            reach = REACH
-        else:
+        if last:
+            break
+        if not first:
             dense = more
-            if dense.isEmpty():
-                break
-            reach = reach if linked else reach * GROWTH
         i += 1
     found = groups.df.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("component_id"))
     out = signed.df.join(found, ["d1", "d2"], "left")
