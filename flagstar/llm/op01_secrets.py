@@ -1,9 +1,12 @@
 """Secret scans: fixed patterns plus a battery of randomness tests.
 
 Fixed patterns give the base spans. Beyond them, every run of 20 or more
-characters of the base64 alphabets is a candidate. Its encoding (hex, base32,
-base62, base64, base64url, letters) is inferred from the characters it uses,
-and three tests look at it:
+characters of the base64 alphabets is a candidate, and so are the runs of 20 or
+more inside it that hold to one alphabet (letters and digits; those and ``+/``;
+those and ``-_``), as a token may stand in a path or be joined to words. Of
+overlapping ones, the one with the least p-value is kept (ties: the longest,
+then the first), its p-value multiplied by the number of runs it stands for. The encoding (hex, base32, base62, base64, base64url, letters)
+is inferred from the characters it uses, and three tests look at it:
 
 * chi-squared: are the symbols spread evenly over the encoding's alphabet?
 * runs: does the string cross the middle of the alphabet as often as chance?
@@ -44,6 +47,8 @@ ACCESS_SCAN = r"AKIA[A-Z0-9]{%d,}+" % (ACCESS_MIN - 4)
 HEX_SCAN = r"(?<![0-9a-f])[0-9a-f]{%d,}+" % HEX_MIN
 CANDIDATE_MIN = 20
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,}+={0,2}" % CANDIDATE_MIN
+# maximal runs inside a candidate, each of which some entry of ENCODINGS fits
+PARTS = tuple(r"[A-Za-z0-9%s]{%d,}+" % (more, CANDIDATE_MIN) for more in ("", "+/", "_-"))
 KINDS = ("assign", "access", "hex", "random")
 
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -103,7 +108,7 @@ def _bound(expr: Column, values: dict[str, Column]) -> Column:
 
 
 def judge(candidates: Column) -> Column:
-    """Candidates (array of struct s, e, m) as array of struct s, e, band, step:
+    """Candidates (array of struct s, e, m, g) as array of struct s, e, g, band, step:
     length class and p-value class; step null where the string is not random.
 
     Each pass over the array gives names to values that the next one uses.
@@ -117,7 +122,7 @@ def judge(candidates: Column) -> Column:
 
     named = lambda values: F.create_map(*[F.lit(v) for kv in values for v in kv])
     alphabets, excesses = named([(e[0], e[2]) for e in ENCODINGS]), named([(e[0], e[3] or 0.0) for e in ENCODINGS])
-    keep = {"s": lambda x: x["s"], "e": lambda x: x["e"]}
+    keep = {"s": lambda x: x["s"], "e": lambda x: x["e"], "g": lambda x: x["g"]}
     step1 = _bound(candidates, keep | {"body": body})
     step2 = _bound(step1, keep | {"body": lambda x: x["body"], "enc": inferred})
     step3 = _bound(
@@ -191,6 +196,44 @@ def judge(candidates: Column) -> Column:
     return _bound(step6, keep | {"band": lambda x: x["band"], "step": lambda x: F.when(x["z"].isNotNull(), classed(x))})
 
 
+def with_parts(candidates: Column) -> Column:
+    """Candidates, each replaced by itself and its runs of one alphabet (array
+    of struct s, e, m, g; g: start of the whole candidate)."""
+
+    def inside(x: Column) -> Column:
+        own = F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), x["s"].alias("g")))
+        found = [match_spans(F.split(x["m"], p, -1), F.regexp_extract_all(x["m"], F.lit(p), F.lit(0))) for p in PARTS]
+        moved = F.transform(F.concat(*found), lambda y: F.struct((y["s"] + x["s"]).alias("s"), (y["e"] + x["s"]).alias("e"), y["m"].alias("m"), x["s"].alias("g")))
+        # a run that is the whole candidate but for its padding is no part
+        parts = F.filter(moved, lambda y: F.length(y["m"]) < F.length(F.rtrim(x["m"], F.lit("="))))
+        return F.concat(own, F.array_distinct(parts))
+
+    whole = lambda x: F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), x["s"].alias("g")))
+    mixed = lambda x: x["m"].rlike("[+/_-]")
+    return F.flatten(F.transform(candidates, lambda x: F.when(mixed(x), inside(x)).otherwise(whole(x))))
+
+
+def best_apart(judged: Column) -> Column:
+    """Of judged candidates that overlap, those of the highest step (untested
+    ones last; ties: the longest, then the first)."""
+    rank = lambda x: F.struct((-F.coalesce(x["step"], F.lit(-1))).alias("a"), (x["s"] - x["e"]).alias("b"), x["s"].alias("c"), x.alias("x"))
+    kind = "array<struct<s:bigint,e:bigint,band:int,step:int>>"
+
+    def take(acc: Column, r: Column) -> Column:
+        x = r["x"]
+        return F.when(F.exists(acc, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])), acc).otherwise(F.concat(acc, F.array(x)))
+
+    # the best of several is small by chance more often: p times their number
+    several = lambda x, group: F.greatest(F.lit(0), x["step"] - F.ceil(F.log10(F.size(group)) * STEPS_PER_DECADE).cast("int"))
+    priced = lambda x, group: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["band"].alias("band"), F.when(x["step"].isNotNull(), several(x, group)).alias("step"))
+    best = lambda group: F.transform(F.aggregate(F.array_sort(F.transform(group, rank)), F.array().cast(kind), take), lambda x: priced(x, group))
+    plain = lambda x: F.struct(*[x[c].alias(c) for c in ("s", "e", "band", "step")])
+    # whole candidates never overlap: their parts are looked at apart
+    starts = F.array_distinct(F.transform(judged, lambda x: x["g"]))
+    groups = F.transform(starts, lambda g: best(F.transform(F.filter(judged, lambda x: x["g"] == g), plain)))
+    return F.when(F.size(starts) == F.size(judged), F.transform(judged, plain)).otherwise(F.flatten(groups))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, base (array of struct s, e, k) and candidates (array of
     struct s, e, band, step), not yet thresholded."""
@@ -208,8 +251,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind = lambda c, i: F.transform(c, lambda x: F.struct(x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e")))
     base = F.array_sort(F.concat(kind(long_enough, 0), kind(F.col("access"), 1), kind(F.col("hex"), 2)))
     based = placed.select("doc_id", base.alias("base"), "random")
-    outside = F.filter("random", lambda c: ~F.exists("base", lambda b: (b["s"] <= c["s"]) & (b["e"] >= c["e"])))
-    return based.select("doc_id", "base", judge(outside).alias("candidates"))
+    outside = F.filter(with_parts(F.col("random")), lambda c: ~F.exists("base", lambda b: (b["s"] <= c["s"]) & (b["e"] >= c["e"])))
+    judged = based.select("doc_id", "base", judge(outside).alias("judged"))
+    return judged.select("doc_id", "base", best_apart(F.col("judged")).alias("candidates"))
 
 
 def thresholds(scanned: DataFrame, fdr: float = FDR) -> dict[int, int]:
