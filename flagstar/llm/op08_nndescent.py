@@ -19,8 +19,12 @@ angle; searches use the plain inner product.
   neighbours of the best ``BEAM`` it has seen, until no query's ``k`` best
   change. Queries of a block move together and share what they look at.
 
-The graph and the search compare vectors in half precision; the ``KEEP`` best of
-each query are scored again on the original vectors, in double precision. Every
+Vectors travel as a direction in single precision and a norm in double, and are
+compared in double precision; the graph's nearness is the (negative) distance
+with the added coordinate taken in by differences, so that one very long vector
+doesn't blur the others. The ``HUBS`` longest vectors are met by every query, as
+they are near in inner product but far in angle or distance. The ``KEEP`` best
+of each query are scored again on the original vectors. Every
 block, candidate list and vector goes through joins; the driver only sees the
 sample and counters. A block's candidates are at most BLOCK x SPREAD x 2 x SPREAD,
 whatever the number of rows.
@@ -45,6 +49,7 @@ TREE_SAMPLE = 20_000
 ROUNDS = 3
 BEAM = 48
 KEEP = 48
+HUBS = 64
 MAX_HOPS = 8
 SEED = 13
 
@@ -94,22 +99,31 @@ def _tree(sample: np.ndarray, depth: int, seed: int) -> tuple[np.ndarray, list[n
 
 
 def _augmented(x: np.ndarray, top: float) -> np.ndarray:
-    """Scaled to norms of at most 1, and a coordinate that makes them all 1."""
+    """Scaled to norms of at most 1, and a coordinate that makes them all 1,
+    less 1 (which moves all cuts alike and keeps what is far below 1)."""
     x = x / np.sqrt(top)
-    return np.concatenate([x, np.sqrt(np.maximum(1 - (x * x).sum(axis=1), 0))[:, None]], axis=1)
+    square = (x * x).sum(axis=1)
+    return np.concatenate([x, (-square / (1 + np.sqrt(np.maximum(1 - square, 0))))[:, None]], axis=1)
+
+
+def _packed(x: np.ndarray) -> list[bytes]:
+    """Norm (double), then direction (single)."""
+    norm = np.sqrt((x * x).sum(axis=1))
+    return [n.astype("<f8").tobytes() + r.tobytes() for n, r in zip(norm, (x / norm[:, None]).astype("<f4"))]
 
 
 def _leaves(trees: list, top: float, width: int):
     def run(pdfs):
         for pdf in pdfs:
-            x = _augmented(np.stack(pdf["x"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, width)), top)
+            plain = np.stack(pdf["x"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, width))
+            x = _augmented(plain, top)
             out = {"node": pdf["node"]}
             for name, (directions, cuts) in zip(("leaf", "leaf2"), trees):
                 codes = np.zeros(len(x), dtype=np.int64)
                 for level, cut in enumerate(cuts):
                     codes = codes * 2 + (x @ directions[level] > cut[codes])
                 out[name] = codes
-            yield pd.DataFrame(out | {"v": [r.astype("<f2").tobytes() for r in x]})
+            yield pd.DataFrame(out | {"v": _packed(plain / np.sqrt(top))})
 
     return run
 
@@ -117,9 +131,23 @@ def _leaves(trees: list, top: float, width: int):
 # -------------------------------------------------------------- block search
 
 
-def _matrix(raw: pd.Series, skip_last: bool = False) -> np.ndarray:
-    m = np.frombuffer(b"".join(raw), dtype="<f2").reshape(len(raw), -1) if len(raw) else np.zeros((0, 1), dtype="<f2")
-    return (m[:, :-1] if skip_last else m).astype("<f4")
+def _matrix(raw: pd.Series) -> np.ndarray:
+    if not len(raw):
+        return np.zeros((0, 1))
+    rows = np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(len(raw), -1)
+    norm = np.ascontiguousarray(rows[:, :8]).view("<f8")
+    return np.ascontiguousarray(rows[:, 8:]).view("<f4").astype(float) * norm
+
+
+def _nearness(mine: np.ndarray, theirs: np.ndarray, search: bool) -> np.ndarray:
+    """Inner products; for the graph, with the added coordinate and less 1."""
+    s = mine @ theirs.T
+    if search:
+        return s
+    a, b = (mine * mine).sum(axis=1)[:, None], (theirs * theirs).sum(axis=1)[None, :]
+    apart = np.sqrt(np.maximum(1 - a, 0)) + np.sqrt(np.maximum(1 - b, 0))
+    added = np.divide(a - b, apart, out=np.zeros_like(s), where=apart > 0)
+    return s - (a + b) / 2 - added * added / 2
 
 
 def _best(nodes: np.ndarray, mine: np.ndarray, others: np.ndarray, theirs: np.ndarray, k: int, itself: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +156,7 @@ def _best(nodes: np.ndarray, mine: np.ndarray, others: np.ndarray, theirs: np.nd
     if not len(others):
         return ids, scores
     for at in range(0, len(nodes), 128):
-        s = (mine[at : at + 128] @ theirs.T).astype(float)
+        s = _nearness(mine[at : at + 128], theirs, itself)
         if not itself:
             s[nodes[at : at + 128, None] == others[None, :]] = -np.inf
         n = min(k, s.shape[1])
@@ -166,7 +194,7 @@ def _merge(k: int, watch: int, search: bool):
             return _lists(np.zeros(0, np.int64), np.zeros((0, k), np.int64), np.zeros((0, k)), [])
         cands = cands.drop_duplicates("cand")
         nodes = members["node"].to_numpy()
-        ids, scores = _best(nodes, _matrix(members["v"], search), cands["cand"].to_numpy(), _matrix(cands["v"], search), k, itself=search)
+        ids, scores = _best(nodes, _matrix(members["v"]), cands["cand"].to_numpy(), _matrix(cands["v"]), k, itself=search)
         old_ids, old_scores = np.full_like(ids, -1), np.full_like(scores, -np.inf)
         for i, (a, s) in enumerate(zip(members["ids"], members["scores"])):
             a, s = a[:k], s[:k]
@@ -263,6 +291,10 @@ class Index:
         lists = members.select("node", empty[0].alias("ids"), empty[1].alias("scores"))
         seeds = self.graph.select("node", F.explode(F.concat(F.array("node"), "ids")).alias("lead"))
         leads = members.select("node", "block").join(seeds, "node").select("block", "lead")
+        square = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
+        hubs = [r["node"] for r in self.vectors.select("node", square.alias("s")).orderBy(F.desc("s"), "node").limit(HUBS).collect()]
+        met = members.select("block").distinct().select("block", F.explode(F.array(*[F.lit(h).cast("long") for h in hubs])).alias("lead"))
+        leads = leads.unionByName(met)
         for hop in range(MAX_HOPS):
             found = Saved(spark, _step(members, lists, self.nodes, leads, self.graph, keep, k + 1, True), f"op8-search-{hop}").df
             lists = found
