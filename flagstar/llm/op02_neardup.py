@@ -29,8 +29,9 @@ label is done. The others are compared again with the labels that the new links
 gave, and, where a round found none or little is left, completely: the rows of a
 region's largest label and its others are cut into blocks of about ``BLOCK``,
 and every block of others meets every block of either in a task of its own. So
-the reach only orders the work; it leaves no pair of a region out, and no task
-holds more than two blocks of a region.
+the reach only orders the work; it leaves no pair of a region out. The complete
+comparison holds two blocks of a region in a task; the rounds before it still
+bring up to 8 * REACH rows of each partition of a region together in one.
 """
 
 from __future__ import annotations
