@@ -11,28 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from flagstar.session import get_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
     session = get_session(master=os.environ.get("SPARK_MASTER", "local[*]"), shuffle_partitions=8, app_name="flagstar-tests")
     yield session
     session.stop()
-
-
-def rows(df, *cols):
-    """Collect ``cols`` (default all) as a list of tuples in a stable order."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
-
-
-def plan_text(df, mode: str = "formatted") -> str:
-    """The physical plan as printed by ``explain``."""
-    import contextlib
-    import io
-
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode)
-    return buf.getvalue()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import plan_text
+from helpers import plan_text
 from flagstar.operators.dedup import dedup_by_key, duplicate_count
 
 

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from flagstar.plans.driver_tables import QUERIES
-from conftest import SF_SMALL, plan_text
+from helpers import SF_SMALL, plan_text
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()

@@ -6,7 +6,7 @@ import contextlib
 
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from helpers import plan_text
 from flagstar.operators.dedup import dedup_by_key
 from flagstar.operators.integrity import orphan_count
 from flagstar.operators.quality import Rule, apply_rules, flag_audit

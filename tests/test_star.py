@@ -90,7 +90,7 @@ def test_star_view_renames_collisions_and_drops_orphans(spark):
 
 
 def test_star_view_broadcasts_only_under_the_row_cap(spark):
-    from conftest import plan_text
+    from helpers import plan_text
 
     fact = spark.range(2000).selectExpr("id", "id % 500 AS k")
     dim = spark.range(500).selectExpr("id AS k", "id * 2 AS v")
