@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flagstar.llm import op10_chat
+from flagstar.llm import op10_chat, op11_divergence, op12_fim
 from flagstar.llm.op01_secrets import op1_secrets
 from flagstar.llm.op02_neardup import op2_near_duplicates
 from flagstar.llm.op03_mixing import op3_mix_sources
@@ -13,6 +13,9 @@ from flagstar.llm.op07_pii import op7_pii
 from flagstar.llm.op08_nndescent import op8_nn_descent
 from flagstar.llm.op09_imatch import op9_imatch
 from flagstar.llm.op10_chat import op10_chat_format
+from flagstar.llm.op11_divergence import op11_source_divergence
+from flagstar.llm.op12_fim import op12_fill_in_middle
+from flagstar.llm.op13_bpe import op13_bpe_round_trip
 
 QUERIES = {
     f.__name__: f
@@ -27,7 +30,14 @@ QUERIES = {
         op8_nn_descent,
         op9_imatch,
         op10_chat_format,
+        op11_source_divergence,
+        op12_fill_in_middle,
+        op13_bpe_round_trip,
     )
 }
 
-SQL = {"op10_chat_format": op10_chat.ORACLE}
+SQL = {
+    "op10_chat_format": op10_chat.ORACLE,
+    "op11_source_divergence": op11_divergence.ORACLE,
+    "op12_fill_in_middle": op12_fim.ORACLE,
+}
