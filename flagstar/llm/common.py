@@ -75,5 +75,17 @@ class Saved:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bucketed(spark: SparkSession, df: DataFrame, name: str, column: str) -> DataFrame:
+    """An intermediate table in the shared checkpoint folder, in buckets by
+    ``column``: a join on it later moves the other side only. The catalog forgets
+    its name at once, the files stay."""
+    path, title = scratch_dir(spark, name), f"{re.sub(r'\W', '_', name)}_{uuid.uuid4().hex[:12]}"
+    buckets = min(shuffle_partitions(spark), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
+    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, column).saveAsTable(title)
+    out = spark.table(title)
+    spark.sql(f"DROP TABLE {title}")  # external: only the entry goes
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -7,14 +7,15 @@ Encoding
   behind each word.
 * A *block* is one Arrow batch of documents (64 MB by Spark's default). It is
   written as its distinct words and, per document, the positions of its words in
-  them; most frequent words first, so positions take little more than a byte.
+  them; most frequent words first, so positions take little more than a byte. The
+  table is bucketed by block, so its documents stay where they are from here on.
 * The distinct words of all blocks are hashed to tasks by word and sorted, so
   equal words meet and each distinct word is encoded once.
 * The ids go back to their blocks, and there, by position, into the documents.
 
-What travels twice is one row per block and distinct word, and the positions; a
-word that fills a third of all texts is one row per block, and copies of a text
-are spread over blocks as they lie. A block and its words must fit a task.
+What travels, there and back, is one row per block and distinct word: a word that
+fills a third of all texts is one row per block, and copies of a text are spread
+over blocks as they lie. A block and its words must fit a task.
 
 Texts with a special token's string, with ``SEP`` itself or with a character
 that the JVM's Unicode tables don't know are cut by the tokenizer's own splitter
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from flagstar.llm.common import Saved, ship, table
+from flagstar.llm.common import bucketed, ship, table
 
 ship(__name__)
 
@@ -47,7 +48,10 @@ SEP = "\0"
 SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"  # Unicode White_Space
 WORDS = rf"'(?:[stmd]|re|ve|ll)| ?(?:\p{{L}}++|\p{{N}}++|[^{SPACE}\p{{L}}\p{{N}}]++)|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]++"
 VOCABULARY_BOUND = 1 << 22
-DECODE_IDS = 1 << 22  # ids decoded at once, or one document
+CUT_ROWS = 512  # documents cut at once
+HELD_WORDS = 1 << 17  # encoded words packed at once
+JOINED_WORDS = 1 << 18  # words replaced by ids at once, or one document's
+DECODE_IDS = 1 << 18  # ids decoded at once, or one document's
 
 # ------------------------------------------------------------ the vocabulary
 
@@ -119,7 +123,7 @@ def _own_words(text: str, path: str, special: list[str]) -> list[str]:
 
 def _pack(positions: np.ndarray) -> bytes:
     """Positions as four planes of bytes, compressed: high ones are nearly all 0."""
-    return zstandard.compress(positions.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+    return zstandard.compress(positions.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
 
 
 def _unpack(raw: bytes) -> np.ndarray:
@@ -131,6 +135,23 @@ _BLOCK = pa.schema([("block", pa.int64()), ("word", pa.string()), ("at", pa.int3
 _BLOCK_SQL = "block long, word string, at int, doc_id array<long>, ends array<long>, positions binary"
 
 
+def _cut(marked: pa.Array, own: pa.Array, path: str, special: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Words of some documents in a row, and how many each has. Texts marked by
+    Spark end with an empty word."""
+    lists = pc.split_pattern(marked, SEP)
+    flat, sizes = lists.flatten(), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if own.null_count < len(own):
+        words, sizes, starts = [], sizes.copy(), np.cumsum(sizes) - sizes
+        for i, text in enumerate(own.to_pylist()):
+            if text is None:
+                words.append(flat.slice(starts[i], sizes[i]))
+            else:
+                words.append(pa.array(_own_words(text, path, special), pa.string()))
+                sizes[i] = len(words[-1])
+        flat = pa.concat_arrays(words)
+    return flat, sizes
+
+
 def _blocks(path: str, special: list[str]):
     """Per batch one row of its documents and one row per distinct word."""
 
@@ -139,50 +160,72 @@ def _blocks(path: str, special: list[str]):
 
         block = TaskContext.get().partitionId() << 32
         for b in batches:
-            marked, own = b.column(1), b.column(2)
-            lists = pc.split_pattern(marked.cast(pa.large_string()), SEP)  # each ends with an empty word
-            flat, sizes = lists.flatten(), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            if own.null_count < b.num_rows:
-                words, sizes, starts = [], sizes.copy(), np.cumsum(sizes) - sizes
-                for i in range(b.num_rows):
-                    if own[i].is_valid:
-                        words.append(pa.array(_own_words(own[i].as_py(), path, special), pa.large_string()))
-                        sizes[i] = len(words[-1])
-                    else:
-                        words.append(flat.slice(starts[i], sizes[i]))
-                flat = pa.concat_arrays(words)
-            coded = flat.dictionary_encode()
-            distinct, at = coded.dictionary, coded.indices.to_numpy()
+            doc_ids = b.column(0).to_pylist()
+            parts, sizes = [], []
+            for at in range(0, b.num_rows, CUT_ROWS):
+                marked, own = (b.column(k).slice(at, CUT_ROWS) for k in (1, 2))
+                words, size = _cut(marked, own, path, special)
+                parts.append(words.dictionary_encode())
+                sizes.append(size)
+            del b
+            # common numbers for the words of all parts, most frequent word first
+            coded = pa.chunked_array(parts).unify_dictionaries()
+            distinct, at = coded.chunk(0).dictionary, np.concatenate([c.indices.to_numpy() for c in coded.chunks])
+            del parts, coded
             order = np.argsort(-np.bincount(at, minlength=len(distinct)), kind="stable")
             place = np.empty(len(order), dtype=np.uint32)
             place[order] = np.arange(len(order))
-            docs = [pa.array([v], _BLOCK.field(k).type) for k, v in enumerate([block, None, None, b.column(0).to_pylist(), np.cumsum(sizes).tolist(), _pack(place[at])])]
-            yield pa.RecordBatch.from_arrays(docs, schema=_BLOCK)
-            sorted_words = distinct.take(pa.array(order)).cast(pa.string())
+            docs = [block, None, None, doc_ids, np.cumsum(np.concatenate(sizes)).tolist(), _pack(place[at])]
+            yield pa.RecordBatch.from_arrays([pa.array([v], _BLOCK.field(k).type) for k, v in enumerate(docs)], schema=_BLOCK)
             for k in range(0, len(order), 10_000):
-                some = sorted_words.slice(k, 10_000)
+                some = distinct.take(pa.array(order[k : k + 10_000]))
                 n = len(some)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), some, pa.array(np.arange(k, k + n, dtype=np.int32)), *(pa.nulls(n, _BLOCK.field(c).type) for c in (3, 4, 5))], schema=_BLOCK)
+            del distinct, at, docs
+            pa.default_memory_pool().release_unused()
             block += 1
 
     return run
 
 
-def _encode_words(path: str):
-    """Ids of words that come sorted: equal words stand together, each is encoded once."""
+_IDS = ["block", "at", "sizes", "ids"]
+_IDS_SQL = "block long, at binary, sizes binary, ids binary"
+
+
+def _packed(block: np.ndarray, at: np.ndarray, ids: list[bytes], width: str) -> pa.RecordBatch:
+    """One row per block: places of its words, number of ids of each, all ids."""
+    by = np.lexsort((at, block))
+    cuts = np.flatnonzero(np.diff(block[by], prepend=-1))
+    rows = []
+    for some in np.split(by, cuts[1:]):
+        own = [ids[k] for k in some.tolist()]
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // np.dtype(width).itemsize
+        rows.append((int(block[some[0]]), _pack(np.diff(at[some], prepend=0)), _pack(sizes), zstandard.compress(b"".join(own), 3)))
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=_IDS)
+
+
+def _encode_words(path: str, width: str):
+    """Ids of words that come sorted: equal words stand together, each is encoded
+    once. Packed by block, as many words at a time as HELD_WORDS."""
 
     def run(batches):
         tokenizer, last, last_ids = _tokenizer(path), None, b""
+        block, at, ids = [], [], []
         for b in batches:
             words = b.column(1).to_pylist()
             new = [w for k, w in enumerate(words) if w != (words[k - 1] if k else last)]
-            codes = (np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))
-            ids = []
+            codes = (np.array(e.ids, dtype=width).tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))
             for w in words:
                 if w != last:
                     last, last_ids = w, next(codes)
                 ids.append(last_ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(ids, pa.binary())], names=["block", "at", "ids"])
+            block.append(b.column(0).to_numpy())
+            at.append(b.column(2).to_numpy())
+            if len(ids) >= HELD_WORDS:
+                yield _packed(np.concatenate(block), np.concatenate(at), ids, width)
+                block, at, ids = [], [], []
+        if ids:
+            yield _packed(np.concatenate(block), np.concatenate(at), ids, width)
 
     return run
 
@@ -191,23 +234,40 @@ _ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 _ENCODED_SQL = "doc_id long, ids array<int>"
 
 
-def _join_back(docs: pa.Table, words: pa.Table) -> pa.Table:
-    """A block's documents as ids: its words' ids, by position."""
+def _id_width(path: str) -> str:
+    """Two bytes an id where the vocabulary allows it."""
+    return "<u2" if len(pieces(path)) <= 1 << 16 else "<u4"
+
+
+def _join_back(docs: pa.Table, words: pa.Table, width: str, of_id: pa.Array | None) -> pa.Table:
+    """A block's documents as ids: its words' ids, by position; with the pieces of
+    ids also as texts."""
     if not docs.num_rows:
         raise ValueError("words of a block without its documents")
-    order = np.argsort(words.column("at").to_numpy())
-    ids = words.column("ids").combine_chunks().cast(pa.large_binary()).take(pa.array(order))
-    widths = pc.binary_length(ids).to_numpy().astype(np.int64) // 4
-    flat = np.frombuffer(b"".join(ids.to_pylist()), dtype="<u4")
-    starts = np.cumsum(widths) - widths
+    unpacked = [[f(x.as_py()) for x in words.column(c)] for c, f in zip(_IDS[1:], (_unpack, _unpack, zstandard.decompress))]
+    at = np.concatenate([np.cumsum(x) for x in unpacked[0]])
+    sizes, flat = np.concatenate(unpacked[1]), np.frombuffer(b"".join(unpacked[2]), dtype=width)
+    if len(at) != int(at.max()) + 1:
+        raise ValueError("a block lacks words")
+    start, size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    start[at], size[at] = np.cumsum(sizes) - sizes, sizes
     positions = _unpack(docs.column("positions")[0].as_py())
-    each = widths[positions]
-    ends = np.cumsum(each)
-    gather = np.repeat(starts[positions] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
-    word_ends = np.array(docs.column("ends")[0].as_py(), dtype=np.int64)
-    offsets = np.concatenate(([0], np.concatenate(([0], ends))[word_ends])).astype(np.int32)
-    values = pa.array(flat[gather].astype(np.int32))
-    return pa.table([docs.column("doc_id")[0].values, pa.ListArray.from_arrays(pa.array(offsets), values)], schema=_ENCODED)
+    word_ends = docs.column("ends")[0].values.to_numpy()
+    schema = _ENCODED if of_id is None else _ENCODED.append(pa.field("text", pa.string()))
+    batches, done = [], 0
+    while done < len(word_ends):  # some documents at a time: the work arrays stay small
+        first = word_ends[done - 1] if done else 0
+        upto = max(done + 1, int(np.searchsorted(word_ends, first + JOINED_WORDS)))
+        some = positions[first : word_ends[upto - 1]]
+        each = size[some]
+        ends = np.concatenate(([0], np.cumsum(each)))
+        values = flat[np.repeat(start[some] - ends[:-1], each) + np.arange(ends[-1])].astype(np.int32)
+        offsets = np.concatenate(([0], ends[word_ends[done:upto] - first])).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        own = [docs.column("doc_id")[0].values.slice(done, upto - done), ids, *([] if of_id is None else [_texts(ids, of_id)])]
+        batches.append(pa.RecordBatch.from_arrays(own, schema=schema))
+        done = upto
+    return pa.Table.from_batches(batches, schema=schema)
 
 
 def cut_by_spark(text: Column, special: list[str]) -> tuple[Column, Column]:
@@ -217,48 +277,54 @@ def cut_by_spark(text: Column, special: list[str]) -> tuple[Column, Column]:
     return F.when(~odd, F.regexp_replace(text, f"({WORDS})", f"$1{SEP}")), F.when(odd, text)
 
 
-def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Per row: doc_id and its token ids (array<int>), as the tokenizer encodes
     the whole text without adding special tokens; strings of special tokens in
-    a text become these tokens, as with the library's defaults.
+    a text become these tokens, as with the library's defaults. ``with_text``
+    adds what :func:`decode` makes of the ids, without another pass.
 
     A null text counts as empty: no ids. Rows are kept one by one, so repeated
     rows and ids, also null ones, give as many rows. Extra columns are ignored;
     an empty table gives no rows. A text must fit a task, and its ids 2 GB.
     """
-    spark, special = docs.sparkSession, special_tokens(tokenizer_path)
+    spark, special, width = docs.sparkSession, special_tokens(tokenizer_path), _id_width(tokenizer_path)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     marked, own = cut_by_spark(text, special)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), marked.alias("marked"), own.alias("own"))
-    blocks = Saved(spark, rows.mapInArrow(_blocks(tokenizer_path, special), _BLOCK_SQL), "op13-blocks").df
+    blocks = bucketed(spark, rows.mapInArrow(_blocks(tokenizer_path, special), _BLOCK_SQL), "op13-blocks", "block")
     words = blocks.where("word IS NOT NULL").select("block", "word", "at")
-    words = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_words(tokenizer_path), "block long, at int, ids binary")
+    words = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_words(tokenizer_path, width), _IDS_SQL)
     docs_of = blocks.where("word IS NULL").select("block", "doc_id", "ends", "positions")
-    return docs_of.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_join_back, _ENCODED_SQL)
+    of_id, schema = (pieces(tokenizer_path), f"{_ENCODED_SQL}, text string") if with_text else (None, _ENCODED_SQL)
+    join_back = lambda docs, words: _join_back(docs, words, width, of_id)
+    return docs_of.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(join_back, schema)
 
 
 # ------------------------------------------------------------------ decoding
 
 
+def _texts(ids: pa.ListArray, of_id: pa.Array) -> pa.Array:
+    """Texts of some documents' ids: the ids joined with their pieces at once."""
+    sizes = pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = ids.flatten()
+    known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(of_id)))
+    joined = of_id.take(pc.if_else(known, flat, None)).fill_null(b"")
+    ends = np.frombuffer(joined.buffers()[1], dtype=np.int64)[joined.offset : joined.offset + len(joined) + 1]
+    data = memoryview(joined.buffers()[2] or b"")
+    cuts = ends[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+    return pa.array([str(data[x:y], "utf-8", "replace") if v else None for x, y, v in zip(cuts, cuts[1:], ids.is_valid().to_pylist())], pa.string())
+
+
 def _decode(of_id: pa.Array, names: list[str], ids_at: int):
     def run(batches):
         for b in batches:
-            at = 0
-            ids = b.column(ids_at)
-            sizes = pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            while at < b.num_rows:  # as many documents as hold DECODE_IDS ids
-                n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), DECODE_IDS)))
-                part, size = b.slice(at, n), sizes[at : at + n]
-                flat = part.column(ids_at).flatten()
-                known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(of_id)))
-                joined = of_id.take(pc.if_else(known, flat, None)).fill_null(b"")
-                ends = np.frombuffer(joined.buffers()[1], dtype=np.int64)[joined.offset : joined.offset + len(joined) + 1]
-                data = joined.buffers()[2].to_pybytes() if joined.buffers()[2] is not None else b""
-                cuts = ends[np.concatenate(([0], np.cumsum(size)))]
-                valid = part.column(ids_at).is_valid().to_pylist()
-                texts = [data[x:y].decode("utf-8", "replace") if v else None for x, y, v in zip(cuts[:-1], cuts[1:], valid)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, "text"])
-                at += n
+            sizes = pc.list_value_length(b.column(ids_at)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            filled, at = np.cumsum(sizes), 0
+            while at < b.num_rows:  # as many documents as hold DECODE_IDS ids, one at least
+                upto = max(at + 1, int(np.searchsorted(filled, filled[at] - sizes[at] + DECODE_IDS, side="right")))
+                part = b.slice(at, upto - at)
+                yield pa.RecordBatch.from_arrays([*part.columns, _texts(part.column(ids_at), of_id)], names=[*names, "text"])
+                at = upto
 
     return run
 
@@ -267,17 +333,17 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> Dat
     """``encoded`` with a column text: what the ids stand for, special tokens
     included. Bytes that are no UTF-8 become U+FFFD; ids without a piece are
     skipped; null ids give null. A column of that name is replaced."""
-    kept = encoded.drop("text")
-    schema = StructType([*kept.schema.fields, StructField("text", StringType())])
-    return kept.mapInArrow(_decode(pieces(tokenizer_path), kept.columns, kept.columns.index(ids_col)), schema)
+    given = encoded.drop("text")
+    schema = StructType([*given.schema.fields, StructField("text", StringType())])
+    return given.mapInArrow(_decode(pieces(tokenizer_path), given.columns, given.columns.index(ids_col)), schema)
 
 
 def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of ``documents`` encoded and decoded again."""
+    """All of ``documents`` encoded, and the ids decoded where they arise."""
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    both = encode(table(spark, sf_dir, "documents"), path, with_text=True)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

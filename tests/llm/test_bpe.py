@@ -45,8 +45,8 @@ def test_each_distinct_word_is_encoded_once(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(10)
     seen = spark.sparkContext.accumulator(0)
 
-    def counted(path):
-        inner = real(path)
+    def counted(*args):
+        inner = real(*args)
 
         def run(batches):
             def watch(items):
