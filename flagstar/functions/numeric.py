@@ -10,17 +10,28 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def money_sum(col, precision: int = 38, scale: int = 6) -> Column:
+HUGE = 1e24  # from here on a double's own steps are far beyond any money
+
+
+def money_sum(col, scale: int = 6) -> Column:
     """Sum of a money column that does not depend on row order.
 
-    Values are added exactly as ``decimal(precision, scale)``; the total is
-    returned as double. Where a value or the total does not fit that type, the
-    plain double sum is returned instead. An empty input gives 0.
+    Each value below 1e24 is cut in two: its multiple of ``10 ** -scale``, and
+    what that leaves, to 32 decimals. Both are added as decimals, so neither
+    small fractions nor cents beside large amounts are lost. Larger values are
+    added as doubles, beside the others. The total is returned as double; where
+    a decimal total overflows, all are added as doubles. An empty input gives 0.
     """
-    value = _c(col)
-    exact = value.try_cast(f"decimal({precision},{scale})")
-    total = F.when(F.count(exact) == F.count(value), F.try_sum(exact).cast("double"))
-    return F.coalesce(total, F.sum(value.cast("double")), F.lit(0.0))
+    value = _c(col).cast("double")
+    small = F.abs(value) < HUGE
+    main = F.when(small, value.cast(f"decimal(38,{scale})"))
+    rest = F.when(small, (value - main.cast("double")).cast("decimal(38,32)"))
+    cents, fractions = F.try_sum(main), F.try_sum(rest)
+    huge = F.sum(F.when(small, F.lit(0.0)).otherwise(value))
+    exact = cents.cast("double") + fractions.cast("double")
+    together = F.coalesce(F.try_add(cents.cast(f"decimal(38,{2 * scale})"), fractions.cast(f"decimal(38,{2 * scale})")).cast("double"), exact)
+    total = F.when(fractions == 0, cents.cast("double")).otherwise(together)
+    return F.coalesce(total + huge, F.sum(value), F.lit(0.0))
 
 
 def percent_of(part: Column, whole: Column) -> Column:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +36,14 @@ def _resolve(pred: PredicateLike) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """Raise ``flag`` on rows where ``predicate`` is TRUE (NULL = not raised)."""
+    """Raise ``flag`` on rows where ``predicate`` is TRUE (NULL = not raised).
+
+    ``columns``: what the rule judges; by default, the columns its predicate reads.
+    """
 
     flag: str
     predicate: PredicateLike
+    columns: tuple[str, ...] | None = None
 
 
 @dataclass(frozen=True)
@@ -162,6 +167,19 @@ def dirty_rows(df: DataFrame, flag_col: str = FLAG_COL) -> DataFrame:
     return df.filter(F.size(F.col(flag_col)) > 0)
 
 
+def rule_columns(df: DataFrame, rule: Rule) -> set[str]:
+    """The columns of ``df`` that a rule judges, from its resolved expression."""
+    if rule.columns is not None:
+        return set(rule.columns)
+    plan = df.select(_resolve(rule.predicate).alias("rule"))._jdf.queryExecution().analyzed()
+    found, each = set(), plan.expressions().iterator()
+    while each.hasNext():
+        references = each.next().references().iterator()
+        while references.hasNext():
+            found.add(references.next().name())
+    return found
+
+
 UNPARSED_PREFIX = "valor_no_interpretable_"
 _RAW = "__flagstar_raw_"
 
@@ -170,8 +188,8 @@ def refine(df: DataFrame, spec: TableSpec, flag_col: str = FLAG_COL) -> DataFram
     """Bronze -> Silver for one table: types, deterministic dedup, rules, repairs.
 
     A text value that does not parse becomes NULL and its row carries a flag:
-    that of a rule which objects to the row, or else
-    ``valor_no_interpretable_<column>``. A key that does not parse stays the
+    that of a rule on this very column which objects to the row, or else
+    ``valor_no_interpretable_<column>``; flags of other columns don't stand for it. A key that does not parse stays the
     key: such rows are told apart by their raw text, never merged as one NULL.
     """
     texts = {name for name, kind in df.dtypes if kind == "string"}
@@ -183,6 +201,10 @@ def refine(df: DataFrame, spec: TableSpec, flag_col: str = FLAG_COL) -> DataFram
         out = out.withColumns({f"{_RAW}{c}": F.when(p, F.col(f"{_RAW}{c}")) for c, p in failed.items()})
     keys = [*spec.key, *[f"{_RAW}{c}" for c in spec.key if c in watched]]
     out = dedup_by_key(out, keys, list(spec.order_by) or None)
-    unflagged = F.size(flag_array(spec.rules)) == 0
-    unparsed = [Rule(f"{UNPARSED_PREFIX}{c}", F.col(f"{_RAW}{c}").isNotNull() & unflagged) for c in watched]
+    judged = [(_resolve(r.predicate), rule_columns(out, r)) for r in spec.rules] if watched else []
+    unparsed = []
+    for c in watched:
+        objections = [F.coalesce(p, F.lit(False)) for p, columns in judged if c in columns]
+        lost = F.col(f"{_RAW}{c}").isNotNull()
+        unparsed.append(Rule(f"{UNPARSED_PREFIX}{c}", reduce(lambda x, p: x & ~p, objections, lost)))
     return apply_rules(out, [*spec.rules, *unparsed], spec.repairs, flag_col).drop(*[f"{_RAW}{c}" for c in watched])

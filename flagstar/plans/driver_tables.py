@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flagstar.functions.dates import age_years
+from flagstar.functions.numeric import money_sum
 from flagstar.functions.rules import contains_email, is_missing, outside_dates, outside_range, regex_mismatch
 from flagstar.operators import checks as V
 from flagstar.operators.dedup import dedup_by_key, duplicate_count
@@ -394,10 +395,8 @@ def q_check_silver(spark, sf_dir):
     raw, _ = materialize(appointments(spark, sf_dir), scratch_dir(spark, "appointments"))
     silver, _ = materialize(refine(raw, appointment_spec()), scratch_dir(spark, "silver-citas"))
     return V.run_checks([
-        V.pk_unique(silver, APPT_KEY),
         V.column_present(silver, FLAG_COL),
-        V.null_date_flagged(silver, "fecha_hora", H.FLAG_MISSING_DATE),
-        V.no_row_loss(raw, silver, APPT_KEY),
+        V.silver_contract(raw, silver, APPT_KEY, "fecha_hora", H.FLAG_MISSING_DATE),
     ])
 
 
@@ -453,6 +452,57 @@ def q_silver_pacientes(spark, sf_dir):
     return silver.select("nombre", "id_paciente", "fecha_nacimiento", _flags_text())
 
 
+def _text(column: str) -> F.Column:
+    return F.col(column).cast("string")
+
+
+def q_silver_doctores(spark, sf_dir):
+    """Suppliers as doctors in text, some ids and years of experience not numbers."""
+    nation = F.col("s_nationkey")
+    doctors = _t(spark, sf_dir, "supplier").select(
+        F.when(F.col("s_acctbal") < 0, F.concat(F.lit("D"), _text("s_suppkey"))).otherwise(_text("s_suppkey")).alias("id_doctor"),
+        F.col("s_name").alias("nombre"),
+        _text("s_nationkey").alias("especialidad"),
+        F.when(nation < 3, F.lit("diez")).when(nation > 20, (nation * 3).cast("string")).otherwise(_text("s_nationkey")).alias("anios_experiencia"),
+        F.lpad(_text("s_suppkey"), 8, "0").alias("cedula_profesional"),
+    )
+    return refine(doctors, H.table_specs(AS_OF)["doctores"]).select("nombre", "id_doctor", "anios_experiencia", "cedula_profesional", _flags_text())
+
+
+def q_silver_citas(spark, sf_dir):
+    """Q4-Q6 Q12: orders as appointments in text: dates missing or not dates, waits
+    negative or not numbers, costs not numbers; several of them in one row."""
+    status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
+    citas = _t(spark, sf_dir, "orders").select(
+        _text("o_orderkey").alias("id_cita"),
+        _text("o_custkey").alias("id_paciente"),
+        F.lit("1").alias("id_doctor"),
+        F.when(priority.startswith("1"), F.lit("pronto")).when(~priority.startswith("2"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("fecha_hora"),
+        F.lit("30").alias("duracion_minutos"),
+        F.when(status == "P", F.lit("-5")).when(price < 100_000, F.lit("poco")).otherwise(F.lit("7")).alias("tiempo_espera_minutos"),
+        F.col("o_orderpriority").alias("motivo"),
+        F.when(price > 400_000, F.concat(F.lit("$"), _text("o_totalprice"))).otherwise(_text("o_totalprice")).alias("costo"),
+        F.col("o_orderstatus").alias("estado"),
+    )
+    return refine(citas, H.table_specs(AS_OF)["citas"]).select(
+        "id_cita", "id_paciente", "fecha_hora", "tiempo_espera_minutos", "costo", _flags_text()
+    )
+
+
+def q_silver_lab(spark, sf_dir):
+    """Q7 Q12: events as lab results in text: results negative, missing or not numbers."""
+    kind = F.col("event_type")
+    lab = _t(spark, sf_dir, "events").select(
+        _text("event_id").alias("id_resultado"),
+        F.when(kind == "view", F.lit("sin cita")).otherwise(_text("user_id")).alias("id_cita"),
+        kind.alias("tipo_examen"),
+        F.when(kind == "error", F.lit("positivo")).when(kind == "click", F.concat(F.lit("-"), _text("value"))).when(kind != "signup", _text("value")).alias("resultado"),
+        F.lit("").alias("valor_referencia"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("fecha_resultado"),
+    )
+    return refine(lab, H.table_specs(AS_OF)["resultados_lab"]).select("id_resultado", "id_cita", "resultado", _flags_text())
+
+
 def q_dim_paciente_edad(spark, sf_dir):
     """G1: the patient dimension with its age and without contact data."""
     silver = refine(patients_as_text(spark, sf_dir), H.table_specs(AS_OF)["pacientes"])
@@ -480,6 +530,20 @@ def q_csv_landing(spark, sf_dir):
     return read_latest(spark, f"{root}/bronze/customer")
 
 
+def q_csv_headers(spark, sf_dir):
+    """S1 without a schema: a folder of files with different headers (another
+    order, a column more) and lines with a cell too many; read back whole."""
+    root = scratch_dir(spark, "csv-headers")
+    customer = _t(spark, sf_dir, "customer").select(_text("c_custkey").alias("id"), F.col("c_name").alias("nombre"), _text("c_nationkey").alias("pais"))
+    plain = lambda df, name: df.write.option("header", True).csv(f"{root}/source/{name}")
+    plain(customer, "a")
+    plain(customer.select("pais", "nombre", F.col("id"), F.lit("si").alias("turno")), "b")
+    lines = customer.select(F.concat_ws(",", "id", "nombre", F.lit("sobra")).alias("id,nombre"))
+    lines.write.option("header", True).option("sep", "|").csv(f"{root}/source/c")  # three cells under two names
+    land_csv(spark, "clientes", f"{root}/source/*", f"{root}/bronze", AS_OF)
+    return read_latest(spark, f"{root}/bronze/clientes")
+
+
 def q_landing_status(spark, sf_dir):
     """A source that is there, one that is missing, and the total."""
     root = scratch_dir(spark, "landing-status")
@@ -496,7 +560,7 @@ def q_check_lake(spark, sf_dir):
     """Existence of a written table and of one that is not there."""
     root = scratch_dir(spark, "check-lake")
     write_table(_t(spark, sf_dir, "customer"), f"{root}/customer")
-    return V.run_checks([V.table_exists(spark, root, "customer"), V.table_exists(spark, root, "ausente")])
+    return V.run_checks([V.table_exists(spark, root, "customer", min_rows=1), V.table_exists(spark, root, "ausente")])
 
 
 def q_latest_partition(spark, sf_dir):
@@ -543,6 +607,46 @@ def q_medallion_monthly(spark, sf_dir):
     return monthly(s)
 
 
+def q_layers_recovery(spark, sf_dir):
+    """What readers see of Silver and Gold after a first load, after
+    a second one that breaks off in Silver, after its repetition under the same run
+    id, and after a third one that the foreign-key gate stops."""
+    root = scratch_dir(spark, "recovery")
+    customer, orders = _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    clients = TableSpec("clientes", ("c_custkey",), (Rule(FLAG_ACCTBAL, lambda: outside_range("c_acctbal", ACCTBAL_MIN, ACCTBAL_MAX)),))
+    broken = Rule("averia", lambda: F.raise_error(F.lit("averia")).cast("boolean"))
+
+    def domain_of(*rules):
+        return Domain(
+            specs={"clientes": clients, "pedidos": TableSpec("pedidos", ("o_orderkey",), rules)},
+            build_gold=lambda s: {
+                "dim_cliente": project_dim(s["clientes"], ["c_custkey", "c_acctbal"]),
+                "fact_pedidos": s["pedidos"].select("o_orderkey", "o_custkey", "o_totalprice"),
+            },
+            foreign_keys=lambda g: ("fact_pedidos", [ForeignKey("cliente", "o_custkey", g["dim_cliente"], "c_custkey")]),
+        )
+
+    richer = customer.withColumn("c_acctbal", F.col("c_acctbal") + 1000)
+    strangers = orders.withColumn("o_custkey", -1 - F.col("o_custkey"))
+    day = lambda n: AS_OF + _dt.timedelta(days=n)
+    runs = [
+        ("1 first", domain_of(), {"clientes": customer, "pedidos": orders}, day(0), "r1"),
+        ("2 broken", domain_of(broken), {"clientes": richer, "pedidos": orders}, day(1), "r2"),
+        ("3 repeated", domain_of(), {"clientes": richer, "pedidos": orders}, day(1), "r2"),
+        ("4 orphans", domain_of(), {"clientes": customer, "pedidos": strangers}, day(2), "r3"),
+    ]
+    seen = []
+    for step, dom, frames, date, run in runs:
+        statuses = run_layers(spark, root, dom, frames=frames, load_date=date, strict=True, on_orphan="fail", run=run)
+        silver = read_table(spark, f"{root}/silver/clientes").agg(F.count("*").alias("n"), F.count_if(F.size(FLAG_COL) > 0).alias("f")).first()
+        gold = read_table(spark, f"{root}/gold/dim_cliente").agg(F.count("*").alias("n"), money_sum("c_acctbal").alias("s")).first()
+        known = read_table(spark, f"{root}/gold/fact_pedidos").agg(F.count_if(F.col("o_custkey") >= 0).alias("n")).first()
+        told = ",".join(f"{s.stage}:{'ok' if s.ok else 'failed'}" for s in statuses)
+        seen.append((step, told, silver["n"], silver["f"], gold["n"], gold["s"], known["n"]))
+    schema = "step string, stages string, silver_rows bigint, silver_flagged bigint, gold_rows bigint, gold_sum double, gold_orders bigint"
+    return spark.createDataFrame(seen, schema)
+
+
 def q_stream_silver(spark, sf_dir):
     """Silver as a stream: events landed one load date per day, refined
     incrementally (Q7 rule, dedup per event and date), read back."""
@@ -608,4 +712,9 @@ QUERIES = {
     "top_doctors_id": q_top_doctors_id,
     "landing_status": q_landing_status,
     "check_lake": q_check_lake,
+    "silver_doctores": q_silver_doctores,
+    "silver_citas": q_silver_citas,
+    "silver_lab": q_silver_lab,
+    "csv_headers": q_csv_headers,
+    "layers_recovery": q_layers_recovery,
 }

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from flagstar.operators.integrity import ForeignKey, enforce, orphan_report
 from flagstar.operators.quality import FLAG_COL, TableSpec, refine
-from flagstar.sources.landing import CORRUPT_COL, LandingResult, land_csv, read_latest, write_partition
-from flagstar.sources.layers import materialize, publish, read_table, staging_path, write_table
+from flagstar.sources import versions
+from flagstar.sources.landing import CORRUPT_COL, LandingResult, land_csv, landed_run, read_latest, write_partition
+from flagstar.sources.layers import read_table
 
 
 @dataclass
@@ -53,53 +54,76 @@ def _timed(stage: str, fn: Callable[[], dict]) -> StageStatus:
         return StageStatus(stage, False, time.time() - start, {"error": repr(exc), "trace": traceback.format_exc()})
 
 
-def land_frames(frames: Mapping[str, DataFrame], bronze_root: str, load_date) -> list[LandingResult]:
+def land_frames(frames: Mapping[str, DataFrame], bronze_root: str, load_date, run: str | None = None) -> list[LandingResult]:
     """Land already-read frames (e.g. a Parquet export) as dated partitions."""
     out = []
     for name, df in frames.items():
         start = time.time()
-        rows = write_partition(df, f"{bronze_root}/{name}", load_date)
+        rows = write_partition(df, f"{bronze_root}/{name}", load_date, run=run)
         out.append(LandingResult(name, rows, time.time() - start, f"{bronze_root}/{name}", "OK" if rows else "EMPTY"))
     return out
 
 
-def silver_stage(spark: SparkSession, domain: Domain, bronze_root: str, silver_root: str) -> dict:
-    """Newest Bronze partition -> types, dedup, rules -> Silver, with a summary."""
-    detail = {}
-    for name, spec in domain.specs.items():
-        bronze = read_latest(spark, f"{bronze_root}/{name}").drop(CORRUPT_COL)  # raw lines stay in Bronze
-        landed = bronze.count()  # Parquet row count: answered from file metadata
-        # Q10 rides on the write: one pass instead of write + two recounts.
-        _, m = materialize(refine(bronze, spec), f"{silver_root}/{name}",
-                           {"flagged": F.count_if(F.size(F.col(FLAG_COL)) > 0)})
-        rows, flagged = int(m["rows"]), int(m["flagged"] or 0)
-        detail[name] = {
-            "rows": rows,
-            "duplicates_removed": landed - rows,  # D2
-            "flagged": flagged,
-            "pct_flagged": 100.0 * flagged / rows if rows else 0.0,
-        }
+def silver_stage(spark: SparkSession, domain: Domain, bronze_root: str, silver_root: str, run: str | None = None) -> dict:
+    """Newest Bronze partition -> types, dedup, rules -> Silver, with a summary.
+
+    All tables are staged first and published as one version: after a failure in
+    any of them, Silver is as it was.
+    """
+    detail, staged = {}, {}
+    try:
+        for name, spec in domain.specs.items():
+            bronze = read_latest(spark, f"{bronze_root}/{name}").drop(CORRUPT_COL)  # raw lines stay in Bronze
+            landed = bronze.count()  # Parquet row count: answered from file metadata
+            # Q10 rides on the write: one pass instead of write + two recounts.
+            flagged_rows = {"flagged": F.count_if(F.size(F.col(FLAG_COL)) > 0)}
+            staged[name] = versions.stage(refine(bronze, spec), silver_root, name, flagged_rows)
+            rows, flagged = staged[name].rows, int(staged[name].metrics["flagged"] or 0)
+            detail[name] = {
+                "rows": rows,
+                "duplicates_removed": landed - rows,  # D2
+                "flagged": flagged,
+                "pct_flagged": 100.0 * flagged / rows if rows else 0.0,
+            }
+    except Exception:
+        versions.discard(spark, silver_root, staged)
+        raise
+    versions.publish(spark, silver_root, staged, run, detail)
     return detail
 
 
-def gold_stage(spark: SparkSession, domain: Domain, silver_root: str, gold_root: str, on_orphan: str) -> dict:
-    """Silver -> dims, calendar, fact; orphan report; write Gold."""
-    silver = {name: read_table(spark, f"{silver_root}/{name}") for name in domain.specs}
-    gold = domain.build_gold(silver)
-    # written beside Gold first; published only once the gate has passed
-    staged = {name: staging_path(f"{gold_root}/{name}") for name in gold}
-    detail = {name: {"rows": write_table(df, staged[name])} for name, df in gold.items()}
-    written = {name: read_table(spark, path) for name, path in staged.items()}
-    fact_name, keys = domain.foreign_keys(written)
-    report = orphan_report(written[fact_name], keys)
-    for child, fk in domain.silver_foreign_keys(silver) if domain.silver_foreign_keys else []:
-        report = report.unionByName(orphan_report(silver[child], [fk]))
-    detail["orphans"] = enforce(report, on_orphan)
-    for name, path in staged.items():
-        publish(spark, path, f"{gold_root}/{name}")
+def gold_stage(spark: SparkSession, domain: Domain, silver_root: str, gold_root: str, on_orphan: str, run: str | None = None) -> dict:
+    """Silver -> dims, calendar, fact; orphan report; write Gold.
+
+    Reads one version of Silver. The Gold tables are staged, and published as one
+    version only when the key gate has passed.
+    """
+    now = versions.snapshot(spark, silver_root)
+    silver = {name: now.read(spark, name) if now else read_table(spark, f"{silver_root}/{name}") for name in domain.specs}
+    staged: dict[str, versions.Staged] = {}
+    try:
+        for name, df in domain.build_gold(silver).items():
+            staged[name] = versions.stage(df, gold_root, name)
+        detail: dict = {name: {"rows": s.rows} for name, s in staged.items()}
+        written = {name: versions.read_staged(spark, gold_root, s) for name, s in staged.items()}
+        fact_name, keys = domain.foreign_keys(written)
+        report = orphan_report(written[fact_name], keys)
+        for child, fk in domain.silver_foreign_keys(silver) if domain.silver_foreign_keys else []:
+            report = report.unionByName(orphan_report(silver[child], [fk]))
+        detail["orphans"] = enforce(report, on_orphan)
+    except Exception:
+        versions.discard(spark, gold_root, staged)
+        raise
+    versions.publish(spark, gold_root, staged, run, detail)
     return detail
 
 
+def _resumed(spark: SparkSession, root: str, run: str | None) -> dict | None:
+    """What a layer's newest version says, if this very run made it."""
+    made = versions.snapshot(spark, root) if run else None
+    return {**made.detail, "resumed": True} if made and made.run == run else None
+
+
 def run_layers(
     spark: SparkSession,
     root: str,
@@ -109,12 +133,17 @@ def run_layers(
     load_date: _dt.date | str | None = None,
     strict: bool = False,
     on_orphan: str = "warn",
+    run: str | None = None,
 ) -> list[StageStatus]:
     """Run Bronze, Silver and Gold under ``root``; stop at the first failure.
 
     Sources are CSV paths (``sources``) or frames (``frames``). With
     ``strict=True`` a missing or empty source fails the Bronze stage instead of
     letting Silver fall back to an older partition.
+
+    Bronze dates, Silver and Gold each change as a whole or not at all. With an
+    id in ``run``, a repetition under the same id goes on where the run ended:
+    tables landed and layers published under it are not made again.
     """
     load_date = load_date or _dt.date.today().isoformat()
     bronze, silver, gold = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
@@ -122,11 +151,18 @@ def run_layers(
 
     def bronze_fn() -> dict:
         results: list[LandingResult] = []
+        done = {}
+        for name in [*(sources or {}), *(frames or {})] if run else []:
+            told = landed_run(spark, f"{bronze}/{name}", load_date)
+            if told and told.get("run") == run:
+                done[name] = LandingResult(name, told["rows"], 0.0, f"{bronze}/{name}", "OK" if told["rows"] else "EMPTY")
         for name, path in (sources or {}).items():
-            results.append(
-                land_csv(spark, name, path, bronze, load_date, schema=domain.bronze_schemas.get(name))
-            )
-        results.extend(land_frames(frames or {}, bronze, load_date))
+            if name not in done:
+                results.append(
+                    land_csv(spark, name, path, bronze, load_date, schema=domain.bronze_schemas.get(name), run=run)
+                )
+        results.extend(land_frames({n: f for n, f in (frames or {}).items() if n not in done}, bronze, load_date, run))
+        results.extend(done.values())
         bad = [r for r in results if r.status != "OK"]
         if strict and bad:
             raise RuntimeError(f"sources not landed: {[(r.table, r.status) for r in bad]}")
@@ -134,8 +170,8 @@ def run_layers(
 
     stages = [
         ("bronze", bronze_fn),
-        ("silver", lambda: silver_stage(spark, domain, bronze, silver)),
-        ("gold", lambda: gold_stage(spark, domain, silver, gold, on_orphan)),
+        ("silver", lambda: _resumed(spark, silver, run) or silver_stage(spark, domain, bronze, silver, run)),
+        ("gold", lambda: _resumed(spark, gold, run) or gold_stage(spark, domain, silver, gold, on_orphan, run)),
     ]
     for name, fn in stages:
         status = _timed(name, fn)

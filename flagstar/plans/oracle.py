@@ -290,10 +290,48 @@ SELECT nombre, email, concat_ws(',', CASE WHEN bad_email THEN 'email_invalido' E
     "silver_pacientes": _PATIENTS + """
 SELECT nombre, id_paciente, fecha_nacimiento,
        concat_ws(',', CASE WHEN bad_email THEN 'email_invalido' END,
-                 CASE WHEN id_paciente IS NULL AND NOT bad_email THEN 'valor_no_interpretable_id_paciente' END,
-                 CASE WHEN fecha_nacimiento IS NULL AND NOT bad_email
-                      THEN 'valor_no_interpretable_fecha_nacimiento' END) AS flags
+                 CASE WHEN id_paciente IS NULL THEN 'valor_no_interpretable_id_paciente' END,
+                 CASE WHEN fecha_nacimiento IS NULL THEN 'valor_no_interpretable_fecha_nacimiento' END) AS flags
 FROM p""",
+    "silver_doctores": """
+SELECT s_name AS nombre, CASE WHEN s_acctbal >= 0 THEN s_suppkey END AS id_doctor,
+       CASE WHEN s_nationkey >= 3 THEN CASE WHEN s_nationkey > 20 THEN s_nationkey * 3 ELSE s_nationkey END END::INTEGER AS anios_experiencia,
+       lpad(CAST(s_suppkey AS VARCHAR), 8, '0') AS cedula_profesional,
+       concat_ws(',', CASE WHEN s_nationkey > 20 THEN 'experiencia_fuera_de_rango' END,
+                 CASE WHEN s_acctbal < 0 THEN 'valor_no_interpretable_id_doctor' END,
+                 CASE WHEN s_nationkey < 3 THEN 'valor_no_interpretable_anios_experiencia' END) AS flags
+FROM supplier""",
+    "silver_citas": """
+SELECT o_orderkey AS id_cita, o_custkey AS id_paciente,
+       CASE WHEN o_orderpriority[1] NOT IN ('1', '2') THEN o_orderdate END AS fecha_hora,
+       CASE WHEN o_orderstatus = 'P' THEN 0 WHEN o_totalprice >= 100000 THEN 7 END::INTEGER AS tiempo_espera_minutos,
+       CASE WHEN o_totalprice <= 400000 THEN o_totalprice END AS costo,
+       concat_ws(',', CASE WHEN o_orderpriority[1] IN ('1', '2') THEN 'missing_fecha_hora' END,
+                 CASE WHEN o_orderstatus = 'P' THEN 'tiempo_espera_corregido' END,
+                 CASE WHEN o_orderstatus <> 'P' AND o_totalprice < 100000 THEN 'valor_no_interpretable_tiempo_espera_minutos' END,
+                 CASE WHEN o_totalprice > 400000 THEN 'valor_no_interpretable_costo' END) AS flags
+FROM orders""",
+    "silver_lab": """
+SELECT event_id AS id_resultado, CASE WHEN event_type <> 'view' THEN user_id END AS id_cita,
+       CASE WHEN event_type = 'click' THEN -value WHEN event_type NOT IN ('error', 'signup') THEN value END AS resultado,
+       concat_ws(',', CASE WHEN event_type IN ('error', 'signup') OR (event_type = 'click' AND value > 0) OR value < 0 THEN 'resultado_fuera_de_rango' END,
+                 CASE WHEN event_type = 'view' THEN 'valor_no_interpretable_id_cita' END) AS flags
+FROM events""",
+    "csv_headers": """
+WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS nombre, CAST(c_nationkey AS VARCHAR) AS pais FROM customer)
+SELECT id, nombre, pais, NULL::VARCHAR AS turno, NULL::VARCHAR AS _corrupt_record FROM c
+UNION ALL SELECT id, nombre, pais, 'si', NULL FROM c
+UNION ALL SELECT id, nombre, NULL, NULL, id || ',' || nombre || ',sobra' FROM c""",
+    "layers_recovery": """
+WITH c AS (
+  SELECT count(*) AS n, count(*) FILTER (c_acctbal NOT BETWEEN 0 AND 9000) AS f, sum(CAST(c_acctbal AS DECIMAL(38,6)))::DOUBLE AS s,
+         count(*) FILTER (c_acctbal + 1000 NOT BETWEEN 0 AND 9000) AS f2, sum(CAST(c_acctbal + 1000 AS DECIMAL(38,6)))::DOUBLE AS s2
+  FROM customer
+), o AS (SELECT count(*) AS n FROM orders)
+SELECT '1 first' AS step, 'bronze:ok,silver:ok,gold:ok' AS stages, c.n AS silver_rows, f AS silver_flagged, c.n AS gold_rows, s AS gold_sum, o.n AS gold_orders FROM c, o
+UNION ALL SELECT '2 broken', 'bronze:ok,silver:failed', c.n, f, c.n, s, o.n FROM c, o
+UNION ALL SELECT '3 repeated', 'bronze:ok,silver:ok,gold:ok', c.n, f2, c.n, s2, o.n FROM c, o
+UNION ALL SELECT '4 orphans', 'bronze:ok,silver:ok,gold:failed', c.n, f, c.n, s2, o.n FROM c, o""",
     "dim_paciente_edad": _PATIENTS + """
 SELECT id_paciente, nombre,
        CAST(floor(date_diff('day', fecha_nacimiento, DATE '2024-01-02') / 365.25) AS INTEGER) AS edad,

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from flagstar.sources import versions
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     """Overwrite ``path`` with ``df`` and return the rows written.
@@ -64,17 +68,35 @@ def materialize(
     Cuts the lineage (later plans start from files in shared storage, so
     nothing upstream is recomputed, not even after a lost executor) and
     computes ``metrics`` (name -> aggregate Column) as an ``Observation`` on
-    the same pass; ``rows`` is always included.
+    the same pass; ``rows`` is always included. A failed job leaves the table
+    that was at ``path``.
     """
     obs = Observation(f"mat_{uuid.uuid4().hex[:8]}")
     exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in (metrics or {}).items()]
-    df.observe(obs, *exprs).write.mode("overwrite").parquet(path)
+    df.observe(obs, *exprs).write.parquet(staged := staging_path(path))
+    publish(df.sparkSession, staged, path)
     return df.sparkSession.read.parquet(path), dict(obs.get)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Silver/Gold table."""
-    return spark.read.parquet(path)
+    """Read a Silver/Gold table: its newest published version where the folder
+    above is a layer (:mod:`flagstar.sources.versions`) that has it."""
+    root, _, table = path.rstrip("/").rpartition("/")
+    layer = versions.snapshot(spark, root)
+    return layer.read(spark, table) if layer and table in layer.tables else spark.read.parquet(path)
+
+
+def table_rows(spark: SparkSession, path: str) -> int | None:
+    """Rows of a readable table, from its files' footers; None if it is missing,
+    a file is torn, or it has not the rows that were published."""
+    root, _, table = path.rstrip("/").rpartition("/")
+    layer = versions.snapshot(spark, root)
+    try:
+        rows = read_table(spark, path).count()  # answered by the footers of all files
+    except (PySparkException, Py4JError):
+        return None
+    told = layer.tables[table]["rows"] if layer and table in layer.tables else rows
+    return rows if rows == told else None
 
 
 def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ from flagstar.operators.quality import FLAG_COL
 from flagstar.plans import hospital as H
 from flagstar.plans.medallion import run_layers
 from flagstar.sources.landing import land_csv, load_report, read_latest, table_counts, tables_ready
+from flagstar.sources.layers import read_table
 
 AS_OF = dt.date(2024, 1, 2)
 
@@ -95,7 +96,7 @@ def test_hospital_layers_end_to_end(spark, tmp_path):
     statuses = run_layers(spark, root, H.domain(AS_OF), sources=_sources(tmp_path), load_date=AS_OF)
     assert [(s.stage, s.ok) for s in statuses] == [("bronze", True), ("silver", True), ("gold", True)], statuses
 
-    silver = {t: spark.read.parquet(f"{root}/silver/{t}") for t in ("pacientes", "doctores", "citas", "resultados_lab")}
+    silver = {t: read_table(spark, f"{root}/silver/{t}") for t in ("pacientes", "doctores", "citas", "resultados_lab")}
     doc = {r["id_doctor"]: list(r[FLAG_COL]) for r in silver["doctores"].collect()}
     assert doc == {1: [], 2: ["experiencia_fuera_de_rango"], 3: ["experiencia_fuera_de_rango"]}
     pac = {r["id_paciente"]: list(r[FLAG_COL]) for r in silver["pacientes"].collect()}
@@ -104,13 +105,13 @@ def test_hospital_layers_end_to_end(spark, tmp_path):
     assert citas == {
         1: (0, 250.5, ["tiempo_espera_corregido"]),
         2: (10, 300.0, ["missing_fecha_hora"]),
-        3: (0, None, ["missing_fecha_hora"]),
+        3: (0, None, ["missing_fecha_hora", "valor_no_interpretable_costo"]),
         4: (None, 1000.25, []),
     }
     lab = {r["id_resultado"]: list(r[FLAG_COL]) for r in silver["resultados_lab"].collect()}
     assert lab == {1: [], 2: ["resultado_fuera_de_rango"], 3: ["resultado_fuera_de_rango"], 4: []}
 
-    gold = {t: spark.read.parquet(f"{root}/gold/{t}") for t in ("dim_paciente", "dim_doctor", "dim_tiempo", "fact_citas")}
+    gold = {t: read_table(spark, f"{root}/gold/{t}") for t in ("dim_paciente", "dim_doctor", "dim_tiempo", "fact_citas")}
     assert not {"email", "telefono"} & set(gold["dim_paciente"].columns)
     assert {r["id_paciente"]: r["edad"] for r in gold["dim_paciente"].collect()} == {1: 33, 2: 124, 3: None}
     fact = {r["id_cita"]: (r["id_tiempo"], r["tiene_flag_calidad"]) for r in gold["fact_citas"].collect()}
