@@ -59,6 +59,13 @@ def orphan_count(
     return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
 
 
+def _constant(kind: str):
+    """Some value of a key's type that is not NULL."""
+    if kind == "date" or kind.startswith("timestamp"):
+        return F.lit("1970-01-01").cast(kind)
+    return F.lit(False) if kind == "boolean" else F.lit("0").cast(kind)
+
+
 def orphan_report(
     fact: DataFrame,
     keys: Sequence[ForeignKey],
@@ -67,20 +74,32 @@ def orphan_report(
 
     The fact is read once whatever the number of keys: its rows per (key,
     value) are counted, combined before the one shuffle, and held against the
-    dimensions' values. A dimension's key is compared in the fact's key type.
+    dimensions' values. Keys keep their types; a dimension's key of another type
+    is compared in the fact's.
     """
     if not keys:
         raise ValueError("orphan_report needs at least one foreign key")
     kinds = dict(fact.dtypes)
-    pair = lambda i, value: F.struct(F.lit(i).alias("__k"), value.cast("string").alias("__v"))
-    values = F.explode(F.array(*[pair(i, F.col(k.fact_key)) for i, k in enumerate(keys)]))
-    counted = fact.select(values.alias("__x")).groupBy("__x.__k", "__x.__v").agg(F.count(F.lit(1)).alias("__n"))
+    used = list(dict.fromkeys(kinds[k.fact_key] for k in keys))
+
+    def cell(i: int, kind: str, value):
+        """Key number and value, each type in a column of its own: no key is cast.
+        Columns of other types hold one constant on both sides, so only the own
+        one decides; a NULL there meets nothing."""
+        values = [(value if t == kind else _constant(t)).alias(f"__v{j}") for j, t in enumerate(used)]
+        return F.struct(F.lit(i).alias("__k"), *values)
+
+    own = lambda i, k: cell(i, kinds[k.fact_key], F.col(k.fact_key))
+    values = F.explode(F.array(*[own(i, k) for i, k in enumerate(keys)]))
+    exploded = fact.select(values.alias("__x")).select("__x.*")
+    counted = exploded.groupBy(*exploded.columns).agg(F.count(F.lit(1)).alias("__n"))
     known = None
     for i, k in enumerate(keys):
-        value = pair(i, F.col(k.dim_key).try_cast(kinds[k.fact_key]))
-        part = k.dim.select(value.alias("__x")).select("__x.*")
+        kind = kinds[k.fact_key]
+        value = F.col(k.dim_key) if dict(k.dim.dtypes)[k.dim_key] == kind else F.col(k.dim_key).try_cast(kind)
+        part = k.dim.select(cell(i, kind, value).alias("__x")).select("__x.*")
         known = part if known is None else known.unionByName(part)
-    missing = counted.join(known, ["__k", "__v"], "left_anti")
+    missing = counted.join(known, exploded.columns, "left_anti")
     sums = [F.coalesce(F.sum(F.when(F.col("__k") == i, F.col("__n"))), F.lit(0)).cast("bigint") for i in range(len(keys))]
     totals = missing.agg(*[s.alias(f"__n{i}") for i, s in enumerate(sums)])
     rows = [

@@ -485,7 +485,7 @@ def q_silver_citas(spark, sf_dir):
         F.col("o_orderstatus").alias("estado"),
     )
     return refine(citas, H.table_specs(AS_OF)["citas"]).select(
-        "id_cita", "id_paciente", "fecha_hora", "tiempo_espera_minutos", "costo", _flags_text()
+        "id_cita", "id_paciente", F.date_format("fecha_hora", "yyyy-MM-dd HH:mm:ss").alias("fecha_hora"), "tiempo_espera_minutos", "costo", _flags_text()
     )
 
 

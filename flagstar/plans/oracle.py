@@ -303,7 +303,7 @@ SELECT s_name AS nombre, CASE WHEN s_acctbal >= 0 THEN s_suppkey END AS id_docto
 FROM supplier""",
     "silver_citas": """
 SELECT o_orderkey AS id_cita, o_custkey AS id_paciente,
-       CASE WHEN o_orderpriority[1] NOT IN ('1', '2') THEN o_orderdate END AS fecha_hora,
+       CASE WHEN o_orderpriority[1] NOT IN ('1', '2') THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS fecha_hora,
        CASE WHEN o_orderstatus = 'P' THEN 0 WHEN o_totalprice >= 100000 THEN 7 END::INTEGER AS tiempo_espera_minutos,
        CASE WHEN o_totalprice <= 400000 THEN o_totalprice END AS costo,
        concat_ws(',', CASE WHEN o_orderpriority[1] IN ('1', '2') THEN 'missing_fecha_hora' END,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 
 from flagstar.operators.integrity import ForeignKey, OrphanError, enforce, orphan_count, orphan_report, orphans
 from flagstar.operators.marts import count_by, domain, kpis, mean_by, monthly, select_rows, top_k
+from helpers import plan_text
 
 
 def test_orphans_count_null_keys(spark):
@@ -78,3 +81,13 @@ def test_top_k_breaks_ties_by_name(spark):
 
 def test_domain_sorted_distinct_not_null(spark):
     assert [r[0] for r in domain(_star(spark), "especialidad").collect()] == ["Cardio", "Neuro"]
+
+
+def test_orphan_report_keeps_key_types(spark):
+    rows_of = lambda cols, *r: spark.createDataFrame(list(r), cols)
+    fact = rows_of("a long, b string, c date, d int, e long", (1, "x", dt.date(2024, 1, 1), 0, 0), (2, "0", None, 7, None), (0, None, dt.date(1970, 1, 1), 7, 9))
+    dims = {"a": rows_of("a long", (1,), (0,)), "b": rows_of("b string", ("x",)), "c": rows_of("c date", (dt.date(2024, 1, 1),)), "d": rows_of("d string", ("7",), ("no",)), "e": rows_of("e int", (0,), (None,))}
+    rep = orphan_report(fact, [ForeignKey(k.upper(), k, d, k) for k, d in dims.items()])
+    assert {r["fk_name"]: r["orphan_rows"] for r in rep.collect()} == {"A": 1, "B": 2, "C": 2, "D": 1, "E": 2}
+    plain = orphan_report(fact, [ForeignKey("A", "a", dims["a"], "a"), ForeignKey("B", "b", dims["b"], "b")])
+    assert "as string" not in plan_text(plain, "simple")
