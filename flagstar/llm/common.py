@@ -27,6 +27,15 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def worker_cache(name: str) -> dict:
+    """A dictionary that a Python worker keeps from task to task. Functions sent
+    by value bring their own globals with every task, so it hangs on a module."""
+    import types
+
+    held = sys.modules.setdefault("_flagstar_worker_cache", types.ModuleType("_flagstar_worker_cache"))
+    return held.__dict__.setdefault(name, {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, by a path only Spark needs to understand."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

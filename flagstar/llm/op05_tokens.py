@@ -25,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flagstar.llm.common import Saved, ship, table
+from flagstar.llm.common import Saved, ship, table, worker_cache
 from flagstar.session import scratch_dir
 
 ship(__name__)
@@ -69,36 +70,73 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 # ------------------------------------------------------------ tokenization
 
 
-class WordEncoder:
-    """Token ids of whole texts, one library call per word not seen lately.
+SEP = "\0"
+SPECIAL = ("<|startoftext|>", "<|endoftext|>")
+# The pieces that the tokenizer never merges across, found in the raw text. Upper
+# and lower case are cut alike, as the tokenizer lower-cases first.
+PIECES = r"\s*+('(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|\p{L}++|\p{N}|[^\s\p{L}\p{N}]++)"
+# Characters that neither normalisation nor lower-casing joins, splits or turns
+# into another class: a text with any other one is cut at blanks only.
+PLAIN = (
+    r"\x01-\x7F\u00A1-\u012F\u0131-\u017F\u0400-\u0481\u048A-\u04FF\u2010-\u2027\u2030-\u205E\u20AC"
+    r"\u3001-\u3020\u3041-\u3096\u30A1-\u30FA\u30FC-\u30FE\u4E00-\u9FA5\uAC00-\uD7A3\uFF01-\uFF5E"
+)
 
-    Words are remembered in two generations of at most about ``limit`` words;
-    when the younger is full, the older is forgotten, but for what was met since.
 
-    Sound for tokenizers that drop white space and never join characters
-    across a space or newline (``word_bpe_49k`` is one): the ids of a text are
-    then those of its parts between spaces and newlines, in order.
+class PieceEncoder:
+    """Token ids of pieces, one library call per piece not seen lately.
+
+    Pieces are remembered in two generations of at most about ``limit``; when
+    the younger is full, the older is forgotten, but for what was met since. One
+    encoder serves all tasks of a Python worker.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.known, self.older = {"": b""}, {}
+        self.known, self.older = {}, {}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
+    def ids(self, pieces: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
-            self.known, self.older = {"": b""}, self.known
+            self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        lacking = set().union(*parts).difference(known)
-        known.update((w, older[w]) for w in lacking if w in older)
-        new = [w for w in lacking if w not in older]
+        lacking = [p for p in pieces if p not in known]
+        known.update((p, older[p]) for p in lacking if p in older)
+        new = [p for p in lacking if p not in older]
         for at in range(0, len(new), 20_000):
             some = new[at : at + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, p)), dtype="<u4") for p in parts]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[p] = np.array(e.ids, dtype="<u4").tobytes()
+        return [known[p] for p in pieces]
+
+
+def cut_by_spark(text: Column) -> tuple[Column, Column]:
+    """(marked, own): a plain text's pieces, each with SEP behind it, or the text
+    itself. Sound for tokenizers that drop white space, lower-case and cut as
+    PIECES does (``word_bpe_49k`` is one)."""
+    odd = text.rlike("|".join([f"[^{PLAIN}]", *(rf"\Q{t}\E" for t in SPECIAL)]))
+    return F.when(~odd, F.regexp_replace(text, PIECES, f"$1{SEP}")), F.when(odd, text)
+
+
+def _pieces(marked: pa.Array, own: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of some documents in a row, and how many each has. Texts cut here
+    are cut at spaces and newlines, across which the tokenizer never joins."""
+    lists = pc.split_pattern(marked, SEP)
+    flat, sizes = lists.flatten(), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if own.null_count < len(own):
+        parts, sizes, starts = [], sizes.copy(), np.cumsum(sizes) - sizes
+        for i, text in enumerate(own.to_pylist()):
+            if text is None:
+                parts.append(flat.slice(starts[i], sizes[i]))
+            else:
+                parts.append(pa.array(text.replace("\n", " ").split(" "), pa.string()))
+                sizes[i] = len(parts[-1])
+        flat = pa.concat_arrays(parts)
+    return flat, sizes
 
 
 def _small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -111,11 +149,21 @@ def _tokenize(path: str, end_id: int):
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):
-        encoder = WordEncoder(path)
+        held = worker_cache("op5-encoders")
+        encoder = held.get(path) or held.setdefault(path, PieceEncoder(path))
         tail = np.array([end_id], dtype="<u4").tobytes()
         for b in _small_batches(batches):
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            ids = [e.tobytes() + tail for e in encoder.encode(texts)]
+            flat, sizes = _pieces(b.column(1), b.column(2))
+            coded = flat.dictionary_encode()  # each distinct piece of these documents is looked up once
+            known = encoder.ids(coded.dictionary.to_pylist())
+            width = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            every = np.frombuffer(b"".join(known), dtype="<u4")
+            at = coded.indices.to_numpy()
+            each = width[at]
+            ends = np.concatenate(([0], np.cumsum(each)))
+            raw = every[np.repeat((np.cumsum(width) - width)[at] - ends[:-1], each) + np.arange(ends[-1])].tobytes()
+            cuts = (4 * ends[np.concatenate(([0], np.cumsum(sizes)))]).tolist()
+            ids = [raw[x:y] + tail for x, y in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], schema=schema)
 
     return run
@@ -181,7 +229,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
     table writes files without rows. Extra columns are ignored.
     """
     spark = docs.sparkSession
-    tokens = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    marked, own = cut_by_spark(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    tokens = docs.select(F.col(id_col).cast("long").alias("doc_id"), marked.alias("marked"), own.alias("own"))
     ids = Saved(spark, tokens.mapInArrow(_tokenize(tokenizer_path, end_id), "doc_id long, ids binary"), "op5-ids")
     counts = ids.df.select("ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     order = W.orderBy(F.col("n").desc(), "id")  # one row per id of the vocabulary
@@ -202,9 +251,10 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.schema("doc_id long, n_tokens long, control binary, data binary").parquet(f"{folder}/ids")
     named = rows.select("doc_id", "n_tokens", "control", "data", F.col("_metadata.file_name").alias("file"))
     decoded = Saved(spark, named.mapInArrow(_decode(id_of), "doc_id long, n_tokens long, file string, ids_crc32 long"), "op5-decoded").df
-    # a file's name carries its place in the order; one row per file
-    files = decoded.groupBy("file").agg(F.sum("n_tokens").alias("_sum"))
-    before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    # a file's place is that of its first row (names sort otherwise: part-100000 before part-99999)
+    place = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "n_tokens", "ids_crc32")
+    files = decoded.groupBy("file").agg(F.sum("n_tokens").alias("_sum"), F.min(place).alias("_first"))
+    before = W.orderBy("_first").rowsBetween(W.unboundedPreceding, -1)
     offsets = files.select("file", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
     inside = W.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids_crc32").rowsBetween(W.unboundedPreceding, -1)
     return (
