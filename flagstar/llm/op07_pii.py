@@ -40,10 +40,10 @@ ship(__name__)
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE_KINDS = 4
 MAX_TRAIN = 12_000
-PRECISION, MIN_POSITIVE = 0.99, 20
+PRECISION, PRIOR = 0.99, 1.0  # of a threshold; weight of the prior that it has just that, in candidates
 NEVER = 1 << 30  # a threshold that no score reaches
 DRAWN = 1 << 30  # marks of candidates for the fit's sample are below
-TREES, DEPTH, RATE, BINS, MIN_LEAF = 30, 3, 0.3, 16, 20
+TREES, DEPTH, RATE, BINS, MIN_LEAF = 30, 3, 0.3, 16, 5
 SEED = 5
 CONTEXT = 32  # characters looked at on either side
 
@@ -282,13 +282,14 @@ def ranges(scores: np.ndarray) -> np.ndarray:
 
 
 def calibrate(at: np.ndarray, labels: np.ndarray, n: np.ndarray) -> int:
-    """Lowest range of scores from which the share of positives stays at
-    PRECISION; NEVER where too few positives show it. ``n`` candidates each."""
-    if (labels * n).sum() < MIN_POSITIVE:
+    """Lowest range of scores from which the expected share of positives stays at
+    PRECISION, with a prior of PRIOR candidates that have it: any number of
+    positives counts, however small the corpus. NEVER if no range has it."""
+    if not (labels * n).sum():
         return NEVER
     found, which = np.unique(at, return_inverse=True)
     good, every = np.bincount(which, labels * n)[::-1].cumsum(), np.bincount(which, n)[::-1].cumsum()
-    enough = np.flatnonzero(good >= PRECISION * every)
+    enough = np.flatnonzero((good > 0) & (good + PRIOR * PRECISION >= PRECISION * (every + PRIOR)))
     return int(found[::-1][enough[-1]]) if len(enough) else NEVER
 
 
@@ -412,7 +413,7 @@ def _train(scanned: DataFrame) -> Model:
     for k in range(len(KINDS)):
         mine = got[got["k"] == k]
         beyond = mine[~mine["base"].astype(bool)]
-        if beyond["n"][beyond["y"].astype(bool)].sum() >= MIN_POSITIVE:
+        if len(beyond):  # labelled candidates that the base patterns don't decide
             mine = beyond
         thresholds.append(calibrate(mine["at"].to_numpy(np.int64), mine["y"].to_numpy(float), mine["n"].to_numpy(float)))
     return Model(trees, thresholds)

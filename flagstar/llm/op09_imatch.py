@@ -36,6 +36,7 @@ LEXICON_BUCKETS = 1 << 15
 LEXICON_BOUND = 250_000
 MAX_SLICES = 4096  # doc_id ranges for finding the next document
 EMPTY = "-"  # in a fingerprint: a subset in which the text has no term
+WHOLE = 4  # families of all terms, behind those of the lexicon
 
 
 def term_hashes(text: Column) -> Column:
@@ -87,9 +88,11 @@ class Fingerprints:
 
         return F.array_sort(F.filter(term_hashes(text), known))
 
-    def of(self, terms: Column) -> Column:
+    def of(self, terms: Column, every: Column) -> Column:
         """Subset hashes, joined: 16 hex digits each, or EMPTY; families one
-        after the other, rates 1, 1/2, ... in each."""
+        after the other, rates 1, 1/2, ... in each. The last WHOLE families are
+        those of ``every`` term, in band or not, so that texts without in-band
+        terms can be compared as well."""
         state = lambda left, out: F.struct(left.alias("left"), out.alias("out"))
 
         def halve(acc: Column, r: Column) -> Column:
@@ -99,13 +102,14 @@ class Fingerprints:
             return state(kept, F.concat(acc["out"], F.array(digest)))
 
         def family(f: int) -> Column:
-            start = state(F.transform(terms, lambda t: F.xxhash64(t, F.lit(f))), F.array().cast("array<string>"))
+            some = terms if f < self.families else every
+            start = state(F.transform(some, lambda t: F.xxhash64(t, F.lit(f))), F.array().cast("array<string>"))
             bits = F.array(*[F.lit(1 << r).cast("bigint") for r in range(RATES)])
             return F.array_join(F.aggregate(bits, start, halve, lambda acc: acc["out"]), ".")
 
         # one expression a family: `terms`, used more than once, stays a column
         # of its own and is not computed again inside each
-        return F.concat_ws(".", *[family(f) for f in range(self.families)])
+        return F.concat_ws(".", *[family(f) for f in range(self.families + WHOLE)])
 
 
 def own_terms(text: Column) -> Column:
@@ -114,10 +118,17 @@ def own_terms(text: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal subset hashes, 0 to 1, among subsets where either has a
-    term. A subset counts by the inverse of its rate, as one that keeps few
-    terms is changed by few edits. Equal fingerprints: 1; one null: null."""
-    pairs = F.zip_with(F.split(a, r"\."), F.split(b, r"\."), lambda x, y: F.when((x != EMPTY) | (y != EMPTY), (x == y).cast("int")))
+    """Share of equal subset hashes of two fingerprints, 0 to 1, among subsets
+    where either has a term: of the lexicon's families if both have in-band terms,
+    else of the last families, of all terms. A subset counts by the inverse of its
+    rate, as one that keeps few terms is changed by few edits. Equal
+    fingerprints: 1; one null: null."""
+    one, two = F.split(a, r"\."), F.split(b, r"\.")
+    band = lambda x: F.slice(x, 1, F.size(x) - WHOLE * RATES)
+    known = lambda x: F.exists(band(x), lambda h: h != EMPTY)
+    both = known(one) & known(two)
+    part = lambda x: F.when(both, band(x)).otherwise(F.slice(x, -WHOLE * RATES, WHOLE * RATES))
+    pairs = F.zip_with(part(one), part(two), lambda x, y: F.when((x != EMPTY) | (y != EMPTY), (x == y).cast("int")))
     weight = lambda i: F.pow(F.lit(2.0), F.pmod(i, F.lit(RATES)))
     used = F.transform(pairs, lambda same, i: F.struct((F.coalesce(same, F.lit(0)) * weight(i)).alias("same"), F.when(same.isNull(), 0.0).otherwise(weight(i)).alias("all")))
     sums = F.aggregate(used, F.struct(F.lit(0.0).alias("same"), F.lit(0.0).alias("all")), lambda t, x: F.struct((t["same"] + x["same"]).alias("same"), (t["all"] + x["all"]).alias("all")))
@@ -174,31 +185,23 @@ def with_next(docs: DataFrame, id_col: str, tie_col: str, columns: list[str]) ->
 def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all ``documents`` and of their edited texts.
 
-    Null texts count as empty; a text without in-band terms has a fingerprint
-    of all its terms, one without words has empty subsets only. Documents that share an id follow each other by a hash
-    of their text; null ids come last. A single document is its own next one.
+    Null texts count as empty. Likeness is that of the returned fingerprints.
+    A text without words has empty subsets only. Documents that share an id
+    follow each other by a hash of their text; null ids come last. A single
+    document is its own next one. Extra columns are ignored; an empty table
+    gives no rows.
     """
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     prints = Fingerprints(lexicon(docs))
-    own = lambda terms: F.size(terms) == 0
-    used = lambda terms, text: F.when(own(terms), own_terms(text)).otherwise(terms)
-    marked = docs.withColumn("_band", prints.terms(F.col("text")))
-    marked = marked.select("doc_id", "text", own(F.col("_band")).alias("own"), used(F.col("_band"), F.col("text")).alias("terms"))
-    marked = marked.select("doc_id", "text", "own", prints.of(F.col("terms")).alias("fingerprint"), F.xxhash64("text").alias("_tie"))
-    led = with_next(marked, "doc_id", "_tie", ["text", "own", "fingerprint"])
+    marked = docs.select("doc_id", "text", prints.terms(F.col("text")).alias("terms"), own_terms(F.col("text")).alias("every"))
+    marked = marked.select("doc_id", "text", prints.of(F.col("terms"), F.col("every")).alias("fingerprint"), F.xxhash64("text").alias("_tie"))
+    led = with_next(marked, "doc_id", "_tie", ["text", "fingerprint"])
     n, cut = F.length("text"), F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut))
-
-    def near(other: str) -> Column:
-        # one of the two has no in-band terms: all terms of both
-        whole = lambda text: prints.of(own_terms(F.col(text)))
-        mixed = F.col("own") != F.col(f"{other}_own")
-        return F.when(mixed, likeness(whole("text"), whole(f"{other}_text"))).otherwise(likeness(F.col("fingerprint"), F.col(f"{other}_fingerprint")))
-
     out = led.withColumn("n_chars", n.cast("long")).withColumn("edited_text", edited)
-    out = out.withColumn("_band", prints.terms(F.col("edited_text")))
-    out = out.withColumn("edited_own", own(F.col("_band"))).withColumn("_terms", used(F.col("_band"), F.col("edited_text")))
-    out = out.withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256)).withColumn("edited_fingerprint", prints.of(F.col("_terms")))
+    out = out.withColumn("_terms", prints.terms(F.col("edited_text"))).withColumn("_every", own_terms(F.col("edited_text")))
+    out = out.withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256)).withColumn("edited_fingerprint", prints.of(F.col("_terms"), F.col("_every")))
+    near = lambda other: likeness(F.col("fingerprint"), F.col(f"{other}_fingerprint"))
     return out.select(
         "doc_id",
         "n_chars",

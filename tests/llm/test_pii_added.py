@@ -84,4 +84,15 @@ def test_counts_hold_all_candidates_out_of_the_fit():
     at, one = np.array([5, 4, 3, 2]), np.array([1.0, 1.0, 0.0, 1.0])
     assert op07_pii.calibrate(at, one, np.array([10.0, 5000.0, 5.0, 1.0])) == 2
     assert op07_pii.calibrate(at, one, np.array([10.0, 5000.0, 500.0, 1.0])) == 4
-    assert op07_pii.calibrate(at, one, np.array([10.0, 5.0, 0.0, 1.0])) == op07_pii.NEVER
+    assert op07_pii.calibrate(at, one, np.array([10.0, 5.0, 0.0, 1.0])) == 2  # few positives count as many do
+    assert op07_pii.calibrate(at, 0 * one, np.array([10.0, 5.0, 0.0, 1.0])) == op07_pii.NEVER
+
+
+@pytest.mark.parametrize("n", [5, 19])
+def test_few_obfuscated_addresses_are_added(spark, n):
+    rng = random.Random(6)
+    texts = [t for i in range(150) for t in _plain(rng, i)]
+    texts += [f"write to name{i} (at) host{i} (dot) com today" for i in range(n)]
+    added = _added(spark, list(enumerate(texts)))
+    assert all(len(added[len(texts) - 1 - i]) == 1 for i in range(n))
+    assert not any(added[i] for i in range(len(texts) - n) if texts[i].startswith(("order", "code")))
