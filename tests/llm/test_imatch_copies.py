@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import functions as F
-
 from flagstar.llm import op09_imatch
 
 
@@ -39,18 +37,3 @@ def test_no_band_terms_beside_an_edit_that_has_some(spark, tmp_path):
     texts = [f"aa{i // 4} bb{i // 4} " * 12 for i in range(40)] + [" ".join(f"own{i}" for i in range(60))]
     got = _run(spark, tmp_path, texts)
     assert 0 < got[40].near_edited < 1
-
-
-def test_mixed_case_with_a_lexicon_and_likeness_of_returned_fingerprints(spark, tmp_path):
-    # the last text has no in-band term, its edit takes band terms from the next one
-    rng = random.Random(8)
-    words = [f"w{i}" for i in range(100)]
-    texts = [" ".join(rng.sample(words, 9)) for _ in range(120)] + [" ".join(f"own{i}" for i in range(60))]
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    lexicon = {r.term for r in op09_imatch.lexicon(docs).collect()}
-    own = docs.select(op09_imatch.term_hashes(docs.text).alias("t")).collect()
-    assert lexicon and not set(own[120].t) & lexicon and set(own[119].t) & lexicon
-    got = _run(spark, tmp_path, texts)
-    assert 0 < got[120].near_edited < 1
-    back = spark.createDataFrame(list(got.values())).select("doc_id", "near_edited", op09_imatch.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("x"))
-    assert all(r.near_edited == r.x for r in back.collect())
