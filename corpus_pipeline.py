@@ -4,7 +4,8 @@ Each stage is a function (spark, docs, sf_dir) -> DataFrame on all that its
 predecessor kept. ``run`` writes each result as Parquet to the shared checkpoint
 folder and rereads it, so a lost executor costs at most one stage's tasks.
 SQL can't express the stages (a fitted classifier, MinHash candidates, boosted
-trees, a knapsack, bin packing); tests hold them against brute-force versions.
+trees, a knapsack, bin packing). Tests hold the near-duplicate groups and base
+spans against brute force, the others against properties of their results only.
 """
 
 from __future__ import annotations
