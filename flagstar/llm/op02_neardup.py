@@ -18,7 +18,7 @@ Round 1 links each node with its next neighbour in ``FIRST_TREES`` trees, which
 joins dense groups into few components without comparing all their pairs.
 Round 2 takes all trees and only pairs across components: up to ``REACH``
 neighbours on, counting nodes of other components only, so a large group never
-hides an outsider from it. Candidates whose 64-value sketches say that they
+hides an outsider from it. Candidates whose 120-value sketches say that they
 can't be similar are left out; every other one is confirmed on the full shingle
 sets of both texts. Groups larger than that reach are connected through their
 chains.
@@ -26,12 +26,17 @@ chains.
 A region (tree and prefix) in which some node's reach ended before the region
 did is *dense*. Dense regions are counted by label: one whose rows all have one
 label is done. The others are compared again with the labels that the new links
-gave, and, where a round found none or little is left, completely: the rows of a
-region's largest label and its others are cut into blocks of about ``BLOCK``,
-and every block of others meets every block of either in a task of its own. So
-the reach only orders the work; it leaves no pair of a region out. The complete
-comparison holds two blocks of a region in a task; the rounds before it still
-bring up to 8 * REACH rows of each partition of a region together in one.
+gave; once a round found none, or little is left, completely: the rows of a
+region meet in one task, or, in a region of more than ``BLOCK`` rows, those of
+its largest label and its others are cut into blocks of about that many, and
+every block of others meets every block of either in a task of its own. So the
+reach only orders the work; it leaves no pair of a region out. Blocks are first
+compared by sketches, which names the rows that may have a link across labels;
+then those rows' full shingle sets meet, once a row and block, and only links
+that join labels leave a task: fewer than its rows, however many pairs are
+similar. The complete comparison holds two blocks of a region in a task; the
+rounds before it still bring up to 8 * REACH rows of each partition of a region
+together in one.
 """
 
 from __future__ import annotations
@@ -54,8 +59,10 @@ SIMILARITY = (75, 100)  # 100 * intersection >= 75 * union
 TREES, DEPTH, MIN_DEPTH = 24, 5, 2
 FIRST_TREES = 4
 REACH = 8
-SKETCH_LEAST = 27  # of 64
-BLOCK = 512  # rows of a region that meet those of another block at once
+SKETCH_LEAST = 60  # of TREES * DEPTH
+BLOCK = 2048  # rows of a region that meet those of another block at once
+SLICE = 512  # rows or shingles of a block held as a dense matrix at once
+RARE = 16  # shingles of at most this many rows of a block are counted by pairs
 SALTS = 64
 LITTLE = 8  # copies of a row that are fewer than another round costs
 SEED = 7
@@ -136,19 +143,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(values: np.ndarray) -> bytes:
-    """Four bits of each of the first 64 signature values."""
-    bits = (values[:64].astype(np.uint32) >> np.uint32(8)).astype(np.uint8) & np.uint8(15)
+    """Four bits of each signature value."""
+    bits = (values.astype(np.uint32) >> np.uint32(8)).astype(np.uint8) & np.uint8(15)
     return (bits[0::2] << np.uint8(4) | bits[1::2]).tobytes()
 
 
-_LOW = int("1" * 64, 16)
+_LOW = int("1" * TREES * DEPTH, 16)
 
 
 def agreement(a: int, b: int) -> int:
-    """Equal values in two sketches. At similarity 0.75 it is 49 of 64 in the
-    mean (deviation 3.4); below SKETCH_LEAST lies one such pair in 10 ** 9."""
+    """Equal values in two sketches. At similarity 0.75 it is 92 of 120 in the
+    mean (deviation 4.6); below SKETCH_LEAST lies one such pair in 10 ** 10."""
     x = a ^ b
-    return 64 - ((x | x >> 1 | x >> 2 | x >> 3) & _LOW).bit_count()
+    return TREES * DEPTH - ((x | x >> 1 | x >> 2 | x >> 3) & _LOW).bit_count()
 
 
 _SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, sig binary, sketch binary"
@@ -337,64 +344,145 @@ def unsettled(nodes: DataFrame, regions: DataFrame, name: str) -> DataFrame:
     cut = lambda n: F.ceil(n / BLOCK).cast("int")
     most, others = F.col("m.n"), F.col("rows") - F.col("m.n")
     found = found.where(others > 0).select("tree", "region", F.col("m.label").alias("top"), cut(most).alias("mine"), cut(others).alias("theirs"), "rows", most.alias("most"))
-    copies = F.col("most") * F.col("theirs") + (F.col("rows") - F.col("most")) * (F.col("mine") + F.col("theirs"))
+    copies = F.when(F.col("rows") > BLOCK, F.col("most") * F.col("theirs") + (F.col("rows") - F.col("most")) * (F.col("mine") + F.col("theirs"))).otherwise(F.col("rows"))
     return Saved(nodes.sparkSession, found.withColumn("copies", copies).drop("most"), name).df
 
 
-def _meet(pdf):
-    """Pairs (a < b, some twice) of two blocks' rows, or of one's own, that may
-    be similar."""
-    import pandas as pd
+_CELL = ["tree", "region", "kind", "i", "j"]
+WHOLE, TOP, OTHERS = 2, 0, 1  # kinds of cells: a whole region, others with the largest label's rows, others with others
+
+
+def _cells(nodes: DataFrame, regions: DataFrame) -> DataFrame:
+    """The rows of ``regions`` (from ``unsettled``), once for each cell, that is
+    pair of blocks, in which they meet others. ``second``: the block's side."""
+    rows = _tree_rows(nodes, TREES).select(F.col("tree").cast("int"), "key", "node", "label", "n", "sketch")
+    rows = _of_regions(rows, regions.select("tree", "region", "top", "mine", "theirs", "rows")).withColumn("is_top", F.col("label") == F.col("top"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(SEED)), F.when(F.col("is_top"), F.col("mine")).otherwise(F.col("theirs"))).cast("int"))
+    cell = lambda kind, i, j, second: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), second.cast("int").alias("second"))
+    b, every = F.col("block"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    whole = F.array(cell(WHOLE, F.lit(0), F.lit(0), F.col("is_top")))
+    top = F.transform(every("theirs"), lambda c: cell(TOP, c, b, F.lit(1)))
+    met = F.transform(every("mine"), lambda c: cell(TOP, b, c, F.lit(0)))
+    other = F.transform(every("theirs"), lambda c: cell(OTHERS, F.least(b, c), F.greatest(b, c), b > c))
+    each = F.when(F.col("rows") <= BLOCK, whole).when(F.col("is_top"), top).otherwise(F.concat(met, other))
+    cells = rows.withColumn("c", F.explode(each))
+    return cells.select("tree", "region", "c.kind", "c.i", "c.j", "c.second", "node", "label", "n", "sketch")
+
+
+def _sides(pdf) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of a cell's rows that meet and are met."""
+    kind, second = pdf["kind"].iloc[0], pdf["second"].to_numpy()
+    one = np.flatnonzero(second == 0)
+    if kind == WHOLE:
+        return one, np.arange(len(pdf))
+    return one, one if kind == OTHERS and pdf["i"].iloc[0] == pdf["j"].iloc[0] else np.flatnonzero(second == 1)
+
 
+def _meet(pdf):
+    """The rows of a cell that may be similar to one of another label."""
     nibbles = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint8).reshape(len(pdf), -1)
     nibbles = np.concatenate([nibbles >> 4, nibbles & 15], axis=1).astype(np.int64)
     marks = np.zeros((len(pdf), nibbles.shape[1] * 16), dtype=np.float32)
     marks[np.arange(len(pdf))[:, None], np.arange(nibbles.shape[1]) * 16 + nibbles] = 1
-    node, label, n = (pdf[c].to_numpy() for c in ("node", "label", "n"))
-    one = np.flatnonzero(pdf["second"].to_numpy() == 0)
-    two = one if pdf["i"].iloc[0] == pdf["j"].iloc[0] and pdf["kind"].iloc[0] == 1 else np.flatnonzero(pdf["second"].to_numpy() == 1)
-    low, high = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    for at in range(0, len(one), BLOCK):
-        r = one[at : at + BLOCK]
+    label, n = pdf["label"].to_numpy(), pdf["n"].to_numpy()
+    one, two = _sides(pdf)
+    near = np.zeros(len(pdf), dtype=bool)
+    for at in range(0, len(one), SLICE):
+        r = one[at : at + SLICE]
         lo, hi = np.minimum(n[r][:, None], n[two]), np.maximum(n[r][:, None], n[two])
-        near = (marks[r] @ marks[two].T >= SKETCH_LEAST - 0.5) & (label[r][:, None] != label[two]) & (lo * SIMILARITY[1] >= hi * SIMILARITY[0])
-        x, y = np.nonzero(near)
-        a, b = node[r][x], node[two][y]
-        low.append(np.minimum(a, b))
-        high.append(np.maximum(a, b))
-    return pd.DataFrame({"a": np.concatenate(low), "b": np.concatenate(high)})
-
+        found = (marks[r] @ marks[two].T >= SKETCH_LEAST - 0.5) & (label[r][:, None] != label[two]) & (lo * SIMILARITY[1] >= hi * SIMILARITY[0])
+        near[r] |= found.any(axis=1)
+        near[two] |= found.any(axis=0)
+    return pdf.loc[near, [*_CELL, "second", "node", "label"]]
+
+
+def _overlaps(sets: list[np.ndarray], one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets ``one`` with sets ``two``."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    held = np.diff(np.append(starts, len(values)))
+    out = np.zeros(len(sets) * len(sets), dtype=np.int32)
+    for rows in range(2, RARE + 1):  # pairs of the rows that hold a rare shingle
+        at = starts[held == rows]
+        step = (1 << 20) // rows**2
+        for some in range(0, len(at), step):
+            r = owner[at[some : some + step, None] + np.arange(rows)]
+            np.add.at(out, (r[:, :, None] * len(sets) + r[:, None, :]).ravel(), 1)
+    out = out.reshape(len(sets), len(sets))[np.ix_(one, two)].astype(np.float32)
+    many = np.flatnonzero(held > RARE)
+    for some in range(0, len(many), SLICE):
+        c = many[some : some + SLICE]
+        dense = np.zeros((len(sets), len(c)), dtype=np.float32)
+        column = np.repeat(np.arange(len(c)), held[c])
+        within = np.arange(len(column)) - np.repeat(np.cumsum(held[c]) - held[c], held[c])
+        dense[owner[np.repeat(starts[c], held[c]) + within], column] = 1
+        out += dense[one] @ dense[two].T
+    return out
+
+
+def _link(pdf):
+    """Links (a < b) between rows of a cell that join its labels: a spanning
+    forest of the similar pairs, counted on full sets."""
+    import pandas as pd
 
-def all_pairs(nodes: DataFrame, regions: DataFrame, name: str) -> DataFrame:
-    """All candidate pairs across labels in ``regions`` (from ``unsettled``)."""
-    rows = _tree_rows(nodes, TREES).select(F.col("tree").cast("int"), "key", "node", "label", "n", "sketch")
-    rows = _of_regions(rows, regions.select("tree", "region", "top", "mine", "theirs")).withColumn("is_top", F.col("label") == F.col("top"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(SEED)), F.when(F.col("is_top"), F.col("mine")).otherwise(F.col("theirs"))).cast("int"))
-    cell = lambda kind, i, j, second: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), second.cast("int").alias("second"))
-    b, every = F.col("block"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    top = F.transform(every("theirs"), lambda c: cell(0, c, b, F.lit(1)))
-    met = F.transform(every("mine"), lambda c: cell(0, b, c, F.lit(0)))
-    other = F.transform(every("theirs"), lambda c: cell(1, F.least(b, c), F.greatest(b, c), b > c))
-    cells = rows.withColumn("c", F.explode(F.when(F.col("is_top"), top).otherwise(F.concat(met, other))))
-    cells = cells.select("tree", "region", "c.kind", "c.i", "c.j", "c.second", "node", "label", "n", "sketch")
-    found = cells.groupBy("tree", "region", "kind", "i", "j").applyInPandas(_meet, "a long, b long")
-    return Saved(nodes.sparkSession, found.distinct(), f"{name}-pairs").df
+    one, two = _sides(pdf)
+    found = []
+    if len(one) and len(two):
+        sets = [np.frombuffer(s, dtype=np.uint64) for s in pdf["shingles"]]
+        n, node = np.array([len(s) for s in sets]), pdf["node"].to_numpy()
+        labels, mark = np.unique(pdf["label"].to_numpy(), return_inverse=True)
+        parent = list(range(len(labels)))
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        both = _overlaps(sets, one, two)
+        for k, x in enumerate(one):
+            near = two[both[k].astype(np.int64) * (SIMILARITY[0] + SIMILARITY[1]) >= SIMILARITY[0] * (n[x] + n[two])]
+            for other, first in zip(*np.unique(mark[near], return_index=True)):
+                a, b = root(mark[x]), root(other)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    found.append(sorted((int(node[x]), int(node[near[first]]))))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def joined(nodes: DataFrame, regions: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """Links (a, b) that join all labels in ``regions`` (from ``unsettled``)
+    between which there is any similar pair."""
+    spark = nodes.sparkSession
+    shape = "tree int, region binary, kind int, i int, j int, second int, node long, label long"
+    near = Saved(spark, _cells(nodes, regions).groupBy(*_CELL).applyInPandas(_meet, shape), f"{name}-near").df
+    sets = shingles_of(near.select(F.col("node").alias("a"), F.col("node").alias("b")), texts, f"{name}-sets")
+    met = near.join(sets.df.withColumnRenamed("doc_id", "node"), "node")
+    found = Saved(spark, met.groupBy(*_CELL).applyInPandas(_link, "a long, b long").distinct(), f"{name}-links").df
+    sets.drop()
+    return found
 
 
 # ------------------------------------------------------------- confirmation
 
 
-def _only(bitmap: np.ndarray):
-    """Rows whose id may be in the filter (false positives pass)."""
+def _sets(bitmap: np.ndarray):
+    """Shingle sets of the rows whose id may be in the filter (false positives
+    pass)."""
 
     def run(batches):
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             if b.column(0).null_count:
                 ids = np.nan_to_num(ids, nan=-1)
-            keep = bitmap[_finish(ids.astype(np.int64).view(np.uint64)) % np.uint64(len(bitmap))]
-            if keep.any():
-                yield b.filter(pa.array(keep))
+            keep = np.flatnonzero(bitmap[_finish(ids.astype(np.int64).view(np.uint64)) % np.uint64(len(bitmap))])
+            for at in range(0, len(keep), 256):
+                some = b.take(pa.array(keep[at : at + 256]))
+                sets = [shingle_set(t.as_py()).tobytes() for t in some.column(1)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 
     return run
 
@@ -417,31 +505,33 @@ def _id_filter(pairs: DataFrame) -> np.ndarray:
     return np.unpackbits(merged.reshape(-1)).astype(bool)
 
 
+def shingles_of(pairs: DataFrame, texts: DataFrame, name: str) -> Saved:
+    """(doc_id, shingles): the sets of all texts that ``pairs`` (a, b) name, and
+    few others. The scan drops others by a filter of fixed size."""
+    return Saved(pairs.sparkSession, texts.mapInArrow(_sets(_id_filter(pairs)), "doc_id long, shingles binary").distinct(), name)
+
+
 def _confirm(batches):
     for b in batches:
-        ids = (b.column(0).to_pylist(), b.column(1).to_pylist())
-        last, sets, keep = None, None, []
-        for i in range(b.num_rows):
-            if ids[0][i] != last:
-                last, sets = ids[0][i], shingle_set(b.column(2)[i].as_py())
-            other = shingle_set(b.column(3)[i].as_py())
-            both = len(np.intersect1d(sets, other, assume_unique=True))
-            keep.append(both > 0 and both * SIMILARITY[1] >= SIMILARITY[0] * (len(sets) + len(other) - both))
+        keep = []
+        for one, two in zip(b.column(2), b.column(3)):
+            one, two = (np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in (one, two))
+            both = len(np.intersect1d(one, two, assume_unique=True))
+            keep.append(both > 0 and both * SIMILARITY[1] >= SIMILARITY[0] * (len(one) + len(two) - both))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, name: str) -> Saved:
     """The pairs whose texts' full shingle sets overlap enough.
 
-    ``texts``: (doc_id, text). Only texts that a pair names travel: the scan
-    drops others by a filter of fixed size, then the joins are exact.
+    ``texts``: (doc_id, text). Each named text is cut into shingles once, and
+    only the sets travel.
     """
-    spark = pairs.sparkSession
-    named = Saved(spark, texts.mapInArrow(_only(_id_filter(pairs)), "doc_id long, text string"), f"{name}-texts")
-    one = pairs.join(named.df.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    two = one.join(named.df.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    checked = Saved(spark, two.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long").distinct(), f"{name}-links")
-    named.drop()
+    sets = shingles_of(pairs, texts, f"{name}-sets")
+    one = pairs.join(sets.df.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+    two = one.join(sets.df.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
+    checked = Saved(pairs.sparkSession, two.select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long").distinct(), f"{name}-links")
+    sets.drop()
     return checked
 
 
@@ -486,12 +576,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 break
             last = not linked or work["copies"] <= LITTLE * work["rows"]
         if last:
-            pairs = all_pairs(marked, dense, f"op2-{i}")
+            confirmed = joined(marked, dense, texts, f"op2-{i}")
         else:
             pairs, more = candidates(marked, FIRST_TREES if first else TREES, 1 if first else REACH, f"op2-{i}", dense)
-        untried = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        confirmed = confirm(untried, texts, f"op2-{i}").df
-        tried = pairs if tried is None else tried.unionByName(pairs)
+            untried = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+            confirmed = confirm(untried, texts, f"op2-{i}").df
+            tried = pairs if tried is None else tried.unionByName(pairs)
         linked = first or not confirmed.isEmpty()
         if linked:
             links = links.unionByName(confirmed)
