@@ -10,6 +10,7 @@ import re
 import string
 import sys
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,6 +85,18 @@ class Saved:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows in the jobs run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bucketed(spark: SparkSession, df: DataFrame, name: str, column: str) -> DataFrame:
     """An intermediate table in the shared checkpoint folder, in buckets by
     ``column``: a join on it later moves the other side only. The catalog forgets

@@ -18,13 +18,14 @@ Round 1 links each node with its next neighbour in ``FIRST_TREES`` trees, which
 joins dense groups into few components without comparing all their pairs.
 Round 2 takes all trees and only pairs across components: up to ``REACH``
 neighbours on, counting nodes of other components only, so a large group never
-hides an outsider from it. Candidates whose 120-value sketches say that they
+hides an outsider from it; of several of one component only the one whose sketch
+agrees best is a candidate. Candidates whose 120-value sketches say that they
 can't be similar are left out; every other one is confirmed on the full shingle
 sets of both texts. Groups larger than that reach are connected through their
 chains.
 
 A region (tree and prefix) in which some node's reach ended before the region
-did is *dense*. Dense regions are counted by label: one whose rows all have one
+did, or in which it had several candidates of one component, is *dense*. Dense regions are counted by label: one whose rows all have one
 label is done. The others are compared again with the labels that the new links
 gave; once a round found none, or little is left, completely: the rows of a
 region meet in one task, or, in a region of more than ``BLOCK`` rows, those of
@@ -49,7 +50,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flagstar.llm.common import Saved, fresh, ship, table
+from flagstar.llm.common import Saved, arrow_rows, fresh, ship, table
 from flagstar.llm.components import components
 
 ship(__name__)
@@ -65,6 +66,7 @@ SLICE = 512  # rows or shingles of a block held as a dense matrix at once
 RARE = 16  # shingles of at most this many rows of a block are counted by pairs
 SALTS = 64
 LITTLE = 8  # copies of a row that are fewer than another round costs
+BATCH = 2000
 SEED = 7
 FILTER_BITS = 1 << 23  # fixed size of the id filter sent to the text scan
 
@@ -202,16 +204,17 @@ class _Window:
 
     def pairs(self, tree, key, node, label, n, small):
         """Pairs of this row with up to ``reach`` rows before it, in its region,
-        of other labels, and whether the reach ended the search. Per label only
-        the latest ``reach`` rows are kept; whoever looks past them has met
-        ``reach`` rows."""
+        of other labels, and whether more pairs may be there: of each label only
+        the row whose sketch agrees best makes a pair, and the reach may end the
+        search. Per label only the latest ``reach`` rows are kept; whoever looks
+        past them has met ``reach`` rows."""
         region = (tree, key[: 4 * MIN_DEPTH])
         if region != self.region:
             self.region = region
             self.order.clear()
             self.rows.clear()
             self.forgotten.clear()
-        out, seen, dense, small = [], 0, False, int.from_bytes(small, "big")
+        best, seen, dense, small = {}, 0, False, int.from_bytes(small, "big")
         for other, mark, size, theirs in reversed(self.order):
             if mark == label:
                 continue
@@ -219,8 +222,9 @@ class _Window:
                 dense = True
                 break
             lo, hi = (n, size) if n < size else (size, n)
-            if lo * SIMILARITY[1] >= hi * SIMILARITY[0] and agreement(small, theirs) >= SKETCH_LEAST:
-                out.append((other, node) if other < node else (node, other))
+            if lo * SIMILARITY[1] >= hi * SIMILARITY[0] and (same := agreement(small, theirs)) >= SKETCH_LEAST:
+                dense = dense or mark in best
+                best[mark] = max(best.get(mark, (0, 0)), (same, other))
             seen += 1
         # kept rows can't show whether one was forgotten
         dense = dense or (seen >= self.reach and len(self.forgotten - {label}) > 0)
@@ -233,7 +237,7 @@ class _Window:
                     break
             self.rows[label] -= 1
             self.forgotten.add(label)
-        return out, dense
+        return [(other, node) if other < node else (node, other) for _, other in best.values()], dense
 
 
 _FOUND = "a long, b long, part int, side int, tree int, key binary, node long, label long, n long, sketch binary, place long"
@@ -453,13 +457,13 @@ def _link(pdf):
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def joined(nodes: DataFrame, regions: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+def joined(nodes: DataFrame, regions: DataFrame, texts: DataFrame, name: str, repeats: bool = True) -> DataFrame:
     """Links (a, b) that join all labels in ``regions`` (from ``unsettled``)
     between which there is any similar pair."""
     spark = nodes.sparkSession
     shape = "tree int, region binary, kind int, i int, j int, second int, node long, label long"
     near = Saved(spark, _cells(nodes, regions).groupBy(*_CELL).applyInPandas(_meet, shape), f"{name}-near").df
-    sets = shingles_of(near.select(F.col("node").alias("a"), F.col("node").alias("b")), texts, f"{name}-sets")
+    sets = shingles_of(near.select(F.col("node").alias("a"), F.col("node").alias("b")), texts, f"{name}-sets", repeats)
     met = near.join(sets.df.withColumnRenamed("doc_id", "node"), "node")
     found = Saved(spark, met.groupBy(*_CELL).applyInPandas(_link, "a long, b long").distinct(), f"{name}-links").df
     sets.drop()
@@ -478,7 +482,8 @@ def _sets(bitmap: np.ndarray):
             ids = b.column(0).to_numpy(zero_copy_only=False)
             if b.column(0).null_count:
                 ids = np.nan_to_num(ids, nan=-1)
-            keep = np.flatnonzero(bitmap[_finish(ids.astype(np.int64).view(np.uint64)) % np.uint64(len(bitmap))])
+            bit = (_finish(ids.astype(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+            keep = np.flatnonzero(bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & np.uint8(1))
             for at in range(0, len(keep), 256):
                 some = b.take(pa.array(keep[at : at + 256]))
                 sets = [shingle_set(t.as_py()).tobytes() for t in some.column(1)]
@@ -498,17 +503,19 @@ def _mark(batches):
 
 
 def _id_filter(pairs: DataFrame) -> np.ndarray:
-    """FILTER_BITS flags of the ids in ``pairs``: one megabyte at any size."""
+    """FILTER_BITS flags of the ids in ``pairs``, as bits: one megabyte at any size."""
     merged = np.zeros((FILTER_BITS // 8 // 1024, 1024), dtype=np.uint8)
     for row in pairs.mapInArrow(_mark, "at int, bits binary").toLocalIterator():
         merged[row["at"]] |= np.frombuffer(row["bits"], dtype=np.uint8)
-    return np.unpackbits(merged.reshape(-1)).astype(bool)
+    return merged.reshape(-1)
 
 
-def shingles_of(pairs: DataFrame, texts: DataFrame, name: str) -> Saved:
+def shingles_of(pairs: DataFrame, texts: DataFrame, name: str, repeats: bool = True) -> Saved:
     """(doc_id, shingles): the sets of all texts that ``pairs`` (a, b) name, and
-    few others. The scan drops others by a filter of fixed size."""
-    return Saved(pairs.sparkSession, texts.mapInArrow(_sets(_id_filter(pairs)), "doc_id long, shingles binary").distinct(), name)
+    few others. The scan drops others by a filter of fixed size. ``repeats``:
+    ids may repeat, so that equal rows must be made one."""
+    sets = texts.mapInArrow(_sets(_id_filter(pairs)), "doc_id long, shingles binary")
+    return Saved(pairs.sparkSession, sets.distinct() if repeats else sets, name)
 
 
 def _confirm(batches):
@@ -521,13 +528,13 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, name: str) -> Saved:
+def confirm(pairs: DataFrame, texts: DataFrame, name: str, repeats: bool = True) -> Saved:
     """The pairs whose texts' full shingle sets overlap enough.
 
     ``texts``: (doc_id, text). Each named text is cut into shingles once, and
     only the sets travel.
     """
-    sets = shingles_of(pairs, texts, f"{name}-sets")
+    sets = shingles_of(pairs, texts, f"{name}-sets", repeats)
     one = pairs.join(sets.df.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
     two = one.join(sets.df.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
     checked = Saved(pairs.sparkSession, two.select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long").distinct(), f"{name}-links")
@@ -546,13 +553,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     node, linked with all that any of them is linked with, and if their texts
     differ a link confirmed for either holds. Rows without an id are linked
     with nothing (component_id null, kept). Empty tables give no rows; extra
-    columns are ignored.
+    columns are ignored. Runs in Arrow batches of ``BATCH`` rows at most: texts
+    and sets may be long, and an executor holds several batches at once.
     """
+    with arrow_rows(docs.sparkSession, BATCH):
+        return _components(docs, id_col, text_col)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = Saved(spark, texts.mapInArrow(_sign, _SIGNED), "op2-signed")
     real = signed.df.where("doc_id IS NOT NULL AND n_shingles > 0")
     groups = Saved(spark, real.groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "op2-groups")
+    repeats = not real.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
     # one row per node; a repeated id keeps each of its different sets
     key = ["d1", "d2", "node"]
     nodes = Saved(
@@ -576,11 +590,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 break
             last = not linked or work["copies"] <= LITTLE * work["rows"]
         if last:
-            confirmed = joined(marked, dense, texts, f"op2-{i}")
+            confirmed = joined(marked, dense, texts, f"op2-{i}", repeats)
         else:
             pairs, more = candidates(marked, FIRST_TREES if first else TREES, 1 if first else REACH, f"op2-{i}", dense)
             untried = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-            confirmed = confirm(untried, texts, f"op2-{i}").df
+            confirmed = confirm(untried, texts, f"op2-{i}", repeats).df
             tried = pairs if tried is None else tried.unionByName(pairs)
         linked = first or not confirmed.isEmpty()
         if linked:
