@@ -593,7 +593,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             confirmed = joined(marked, dense, texts, f"op2-{i}", repeats)
         else:
             pairs, more = candidates(marked, FIRST_TREES if first else TREES, 1 if first else REACH, f"op2-{i}", dense)
-            untried = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+            untried = pairs if tried is None else Saved(spark, pairs.join(tried, ["a", "b"], "left_anti"), f"op2-{i}-untried").df
             confirmed = confirm(untried, texts, f"op2-{i}", repeats).df
             tried = pairs if tried is None else tried.unionByName(pairs)
         linked = first or not confirmed.isEmpty()
