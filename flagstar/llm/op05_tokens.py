@@ -16,196 +16,328 @@ apart from its data bytes. A folder holds
 
 Decoding looks every control byte up in a 256-row table of lengths, gets all
 offsets from one cumulative sum and gathers the bytes with numpy.
+
+Texts are cut at blanks, across which the tokenizer never joins. A *block* is one
+Arrow batch of documents (64 MB by Spark's default), written as its distinct words
+with their counts and, per document, positions in them. The distinct words of all
+blocks meet by hash, each is encoded once, and the ids go back to their blocks. The
+counts give the ranks before any document is put together, so documents are written
+as coded ranks at once. What travels is one row per block and distinct word, however
+often a word occurs. A block with its words must fit a task.
 """
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+import zstandard
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flagstar.llm.common import Saved, ship, table, worker_cache
+from flagstar.llm.common import Saved, bucketed, ship, table, worker_cache
+from flagstar.llm.op13_bpe import _pack, _unpack
 from flagstar.session import scratch_dir
 
 ship(__name__)
 
 END_ID = 1
-CACHE_WORDS = 300_000  # a Python worker remembers twice as many distinct words at most
+CACHE_WORDS = 20_000  # a Python worker remembers twice as many pieces at most
 VOCABULARY_BOUND = 1 << 22  # largest vocabulary whose rank table is broadcast
+CUT_ROWS = 512  # documents cut at once
+HELD_WORDS = 1 << 17  # encoded words packed at once
+JOINED_WORDS = 1 << 18  # words replaced by ids at once, or one document's
 
 # ---------------------------------------------------------------- the code
 
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.int64)
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of unsigned 32-bit values."""
-    ranks = ranks.astype(np.uint32, copy=False)
-    n = len(ranks)
-    lengths = 1 + (ranks >= 1 << 8).astype(np.int64) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    codes = np.zeros(-(-n // 4) * 4, dtype=np.uint8)
-    codes[:n] = lengths - 1
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+def _padded_places(n: np.ndarray) -> np.ndarray:
+    """Where values stand when each of several lists, of ``n`` values, is filled
+    up to whole groups of four."""
+    return np.repeat(4 * _starts(-(-n // 4)) - _starts(n), n) + np.arange(n.sum())
+
+
+def encode_lists(ranks: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes and data bytes of several lists of unsigned 32-bit values that
+    stand behind each other, and the number of data bytes of every list."""
+    ranks = ranks.astype("<u4", copy=False)
+    lengths = 1 + (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
+    codes = np.zeros(4 * int((-(-n // 4)).sum()), dtype=np.uint8)
+    codes[_padded_places(n)] = lengths - 1
     control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1).astype(np.uint8)
-    raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), raw[np.arange(4) < lengths[:, None]].tobytes()
+    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    ends = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+    return control, data, np.diff(ends[np.concatenate(([0], np.cumsum(n)))])
 
 
-def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` values of :func:`encode_ranks`."""
-    lengths = _LENGTHS[np.frombuffer(control, dtype=np.uint8)].reshape(-1)[:n]
-    starts = np.cumsum(lengths) - lengths
-    raw = np.frombuffer(data + b"\0\0\0", dtype=np.uint8)
+def decode_lists(control: bytes, data: bytes, n: np.ndarray) -> np.ndarray:
+    """The values of :func:`encode_lists`, behind each other."""
+    lengths = _LENGTHS[np.frombuffer(control, dtype=np.uint8)].reshape(-1)[_padded_places(n)]
+    starts = _starts(lengths)
+    raw = np.frombuffer(data, dtype=np.uint8)
     out = raw[starts].astype(np.uint32)
     for k in (1, 2, 3):
-        out |= np.where(lengths > k, raw[starts + k], 0).astype(np.uint32) << np.uint32(8 * k)
+        longer = np.flatnonzero(lengths > k)
+        out[longer] |= raw[starts[longer] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 
+def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """Control bytes and data bytes of unsigned 32-bit values."""
+    control, data, _ = encode_lists(ranks, np.array([len(ranks)]))
+    return control.tobytes(), data.tobytes()
+
+
+def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
+    """The ``n`` values of :func:`encode_ranks`."""
+    return decode_lists(control, data, np.array([n]))
+
+
 # ------------------------------------------------------------ tokenization
 
+# The tokenizer's own cut (fixed value), and what it comes to within ASCII
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
 
-SEP = "\0"
-SPECIAL = ("<|startoftext|>", "<|endoftext|>")
-# The pieces that the tokenizer never merges across, found in the raw text. Upper
-# and lower case are cut alike, as the tokenizer lower-cases first.
-PIECES = r"\s*+('(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|\p{L}++|\p{N}|[^\s\p{L}\p{N}]++)"
-# Characters that neither normalisation nor lower-casing joins, splits or turns
-# into another class: a text with any other one is cut at blanks only.
-PLAIN = (
-    r"\x01-\x7F\u00A1-\u012F\u0131-\u017F\u0400-\u0481\u048A-\u04FF\u2010-\u2027\u2030-\u205E\u20AC"
-    r"\u3001-\u3020\u3041-\u3096\u30A1-\u30FA\u30FC-\u30FE\u4E00-\u9FA5\uAC00-\uD7A3\uFF01-\uFF5E"
-)
+def _described(path: str) -> dict:
+    """The tokenizer's description, if it drops white space and cuts as CUT does
+    after lower-casing; only then may texts be cut at blanks first."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    steps = [x["type"] for x in (told["normalizer"] or {}).get("normalizers", [])]
+    cuts = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+    by_cut = len(cuts) == 2 and cuts[0].get("pattern") == {"Regex": CUT} and cuts[0].get("invert") and cuts[1]["type"] == "ByteLevel"
+    if steps != ["NFC", "Replace", "Lowercase"] or not by_cut or cuts[1].get("add_prefix_space") or told["model"]["type"] != "BPE":
+        raise ValueError(f"{path} is no lower-casing BPE that drops white space")
+    return told
 
 
 class PieceEncoder:
-    """Token ids of pieces, one library call per piece not seen lately.
+    """Token ids of words without blanks.
 
-    Pieces are remembered in two generations of at most about ``limit``; when
-    the younger is full, the older is forgotten, but for what was met since. One
+    Words of printable ASCII characters are lower-cased and cut here and their
+    pieces given to the tokenizer's model (no other step changes them); all other
+    words, and those with a special token's string, go to the library whole.
+    Pieces are remembered in two generations of at most about ``limit``; when the
+    younger is full, the older is forgotten, but for what was met since. One
     encoder serves all tasks of a Python worker.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
         from tokenizers import Tokenizer
 
+        self.special = [t["content"].lower() for t in _described(path)["added_tokens"]]
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.known, self.older = {}, {}
 
-    def ids(self, pieces: list[str]) -> list[bytes]:
-        if len(self.known) > self.limit:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        lacking = [p for p in pieces if p not in known]
-        known.update((p, older[p]) for p in lacking if p in older)
-        new = [p for p in lacking if p not in older]
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return [known[p] for p in pieces]
-
-
-def cut_by_spark(text: Column) -> tuple[Column, Column]:
-    """(marked, own): a plain text's pieces, each with SEP behind it, or the text
-    itself. Sound for tokenizers that drop white space, lower-case and cut as
-    PIECES does (``word_bpe_49k`` is one)."""
-    odd = text.rlike("|".join([f"[^{PLAIN}]", *(rf"\Q{t}\E" for t in SPECIAL)]))
-    return F.when(~odd, F.regexp_replace(text, PIECES, f"$1{SEP}")), F.when(odd, text)
-
-
-def _pieces(marked: pa.Array, own: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Pieces of some documents in a row, and how many each has. Texts cut here
-    are cut at spaces and newlines, across which the tokenizer never joins."""
-    lists = pc.split_pattern(marked, SEP)
-    flat, sizes = lists.flatten(), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    if own.null_count < len(own):
-        parts, sizes, starts = [], sizes.copy(), np.cumsum(sizes) - sizes
-        for i, text in enumerate(own.to_pylist()):
-            if text is None:
-                parts.append(flat.slice(starts[i], sizes[i]))
+    def _piece(self, piece: str) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.older.get(piece)
+            if ids is None:
+                ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+            if len(self.known) >= self.limit:
+                self.known, self.older = {}, self.known
+            self.known[piece] = ids
+        return ids
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        out, other, piece = [], [], self._piece
+        for word in words:
+            low = word.lower()
+            if word.isascii() and word.isprintable() and not any(t in low for t in self.special):
+                out.append(b"".join(map(piece, ASCII_PIECES.findall(low))))
             else:
-                parts.append(pa.array(text.replace("\n", " ").split(" "), pa.string()))
-                sizes[i] = len(parts[-1])
-        flat = pa.concat_arrays(parts)
-    return flat, sizes
+                other.append(len(out))
+                out.append(word)
+        for at in range(0, len(other), 20_000):
+            some = other[at : at + 20_000]
+            for k, e in zip(some, self.tokenizer.encode_batch_fast([out[k] for k in some], add_special_tokens=False)):
+                out[k] = array("I", e.ids).tobytes()
+        return out
 
 
-def _small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+_BLOCK_SQL = "block long, word string, at int, n long, doc_id array<long>, ends array<long>, positions binary"
+_BLOCK = pa.schema([("block", pa.int64()), ("word", pa.string()), ("at", pa.int32()), ("n", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("positions", pa.binary())])
 
 
-def _tokenize(path: str, end_id: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+def _blocks(batches: Iterator[pa.RecordBatch]):
+    """Per batch one row of its documents and one row per distinct word."""
+    from pyspark import TaskContext
+
+    block = TaskContext.get().partitionId() << 32
+    for b in batches:
+        if not b.num_rows:
+            continue
+        doc_ids = b.column(0).to_pylist()
+        parts, sizes = [], []
+        for at in range(0, b.num_rows, CUT_ROWS):
+            texts = pc.replace_substring(pc.replace_substring(b.column(1).slice(at, CUT_ROWS), "\n", " "), "\t", " ")
+            lists = pc.split_pattern(texts, " ")
+            sizes.append(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+            parts.append(lists.flatten().dictionary_encode())
+        del b, texts, lists
+        # common numbers for the words of all parts, most frequent word first
+        coded = pa.chunked_array(parts).unify_dictionaries()
+        distinct, at = coded.chunk(0).dictionary, np.concatenate([c.indices.to_numpy() for c in coded.chunks])
+        del parts, coded
+        count = np.bincount(at, minlength=len(distinct))
+        order = np.argsort(-count, kind="stable")
+        place = np.empty(len(order), dtype=np.uint32)
+        place[order] = np.arange(len(order))
+        docs = [block, None, None, None, doc_ids, np.cumsum(np.concatenate(sizes)).tolist(), _pack(place[at])]
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(docs, _BLOCK)], schema=_BLOCK)
+        for k in range(0, len(order), 10_000):
+            some = order[k : k + 10_000]
+            columns = [pa.array(np.full(len(some), block)), distinct.take(pa.array(some)), pa.array(np.arange(k, k + len(some), dtype=np.int32)), pa.array(count[some])]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(some), f.type) for f in list(_BLOCK)[4:])], schema=_BLOCK)
+        del distinct, at, docs
+        pa.default_memory_pool().release_unused()
+        block += 1
+
+
+_IDS = ["at", "sizes", "counts", "ids"]
+_IDS_SQL = "block long, at binary, sizes binary, counts binary, ids binary"
+
+
+def _packed(held: list[tuple]) -> pa.RecordBatch:
+    """One row per block: places of its words, ids of each, occurrences of each, all ids."""
+    block, at, count, size = (np.concatenate([h[k] for h in held]) for k in range(4))
+    every, start = np.concatenate([h[4] for h in held]), _starts(size)
+    by, rows = np.lexsort((at, block)), []
+    for some in np.split(by, np.flatnonzero(np.diff(block[by])) + 1):
+        each = size[some]
+        ids = every[np.repeat(start[some] - _starts(each), each) + np.arange(each.sum())]
+        rows.append((int(block[some[0]]), _pack(np.diff(at[some], prepend=0)), _pack(each), _pack(count[some]), zstandard.compress(ids.tobytes(), 3)))
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int64()) for k, c in enumerate(zip(*rows))], names=["block", *_IDS])
+
+
+def _encode_words(path: str):
+    """Ids of words that come sorted: each distinct word is encoded once (again, if
+    it stands across the edge of a batch). Packed by block, HELD_WORDS at a time."""
 
     def run(batches):
-        held = worker_cache("op5-encoders")
-        encoder = held.get(path) or held.setdefault(path, PieceEncoder(path))
-        tail = np.array([end_id], dtype="<u4").tobytes()
-        for b in _small_batches(batches):
-            flat, sizes = _pieces(b.column(1), b.column(2))
-            coded = flat.dictionary_encode()  # each distinct piece of these documents is looked up once
-            known = encoder.ids(coded.dictionary.to_pylist())
-            width = np.fromiter(map(len, known), np.int64, len(known)) // 4
-            every = np.frombuffer(b"".join(known), dtype="<u4")
-            at = coded.indices.to_numpy()
+        encoders = worker_cache("op5-encoders")
+        if path not in encoders:
+            encoders[path] = PieceEncoder(path)
+        held, n = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            coded = b.column(1).dictionary_encode()
+            ids = encoders[path].ids(coded.dictionary.to_pylist())
+            width = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            flat, at = np.frombuffer(b"".join(ids), dtype="<u4"), coded.indices.to_numpy()
             each = width[at]
-            ends = np.concatenate(([0], np.cumsum(each)))
-            raw = every[np.repeat((np.cumsum(width) - width)[at] - ends[:-1], each) + np.arange(ends[-1])].tobytes()
-            cuts = (4 * ends[np.concatenate(([0], np.cumsum(sizes)))]).tolist()
-            ids = [raw[x:y] + tail for x, y in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], schema=schema)
+            every = flat[np.repeat(_starts(width)[at] - _starts(each), each) + np.arange(each.sum())]
+            held.append((b.column(0).to_numpy(), b.column(2).to_numpy(), b.column(3).to_numpy(), each, every))
+            n += len(at)
+            if n >= HELD_WORDS:
+                yield _packed(held)
+                held, n = [], 0
+        if held:
+            yield _packed(held)
 
     return run
 
 
+def _unpacked(words: pa.RecordBatch | pa.Table, names: list[str]) -> Iterator[np.ndarray]:
+    for name in names:
+        rows = words.column(name).to_pylist()
+        raw = [np.frombuffer(zstandard.decompress(x), dtype="<u4") if name == "ids" else _unpack(x) for x in rows]
+        yield np.concatenate([np.cumsum(x) for x in raw] if name == "at" else raw)
+
+
 def _count_ids(batches):
+    """(id, n) for the ids of all words, as often as the words occur."""
     total = np.zeros(0, dtype=np.int64)
-    for b in _small_batches(batches):
-        ids = np.frombuffer(b"".join(b.column(0).to_pylist()), dtype="<u4")
-        if len(ids):
-            part = np.bincount(ids, minlength=len(total))
+    for b in batches:
+        for at in range(b.num_rows):
+            sizes, counts, ids = _unpacked(b.slice(at, 1), ["sizes", "counts", "ids"])
+            # sums below 2^53 are exact in double precision
+            part = np.bincount(ids, weights=np.repeat(counts, sizes), minlength=len(total)).astype(np.int64)
             part[: len(total)] += total
             total = part
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
 
-def _encode(rank_of: np.ndarray):
-    def run(batches):
-        for b in _small_batches(batches):
-            control, data, n, ties = [], [], [], []
-            for raw in b.column(1).to_pylist():
-                ids = np.frombuffer(raw, dtype="<u4")
-                c, d = encode_ranks(rank_of[ids])
-                control.append(c)
-                data.append(d)
-                n.append(len(ids))
-                ties.append(zlib.crc32(raw))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(ties, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-                names=["doc_id", "n_tokens", "tie", "control", "data"],
-            )
+_CODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("tie", pa.int64()), ("control", pa.binary()), ("data", pa.binary())])
+_CODED_SQL = "doc_id long, n_tokens long, tie long, control binary, data binary"
+
+
+def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _checksums(ids: np.ndarray, n: np.ndarray) -> list[int]:
+    raw, cuts = memoryview(ids.astype("<u4", copy=False)).cast("B"), (4 * np.concatenate(([0], np.cumsum(n)))).tolist()
+    return [zlib.crc32(raw[x:y]) for x, y in zip(cuts, cuts[1:])]
+
+
+def _join_back(rank_of: np.ndarray, end_id: int):
+    """A block's documents as coded ranks of their words' ids."""
+
+    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+        if docs.num_rows != 1:
+            raise ValueError("words of a block without its documents")
+        at, sizes, flat = _unpacked(words, ["at", "sizes", "ids"])
+        if len(at) != int(at.max()) + 1:
+            raise ValueError("a block lacks words")
+        start, size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        start[at], size[at] = _starts(sizes.astype(np.int64)), sizes
+        positions = _unpack(docs.column("positions")[0].as_py())
+        word_ends = docs.column("ends")[0].values.to_numpy()
+        doc_ids, batches, done = docs.column("doc_id")[0].values, [], 0
+        while done < len(word_ends):  # some documents at a time: the work arrays stay small
+            first = word_ends[done - 1] if done else 0
+            upto = max(done + 1, int(np.searchsorted(word_ends, first + JOINED_WORDS)))
+            some = positions[first : word_ends[upto - 1]]
+            each = size[some]
+            ends = np.concatenate(([0], np.cumsum(each)))
+            n = np.diff(ends[word_ends[done:upto] - first], prepend=0) + 1  # with the end id
+            ids = np.full(int(n.sum()), end_id, dtype="<u4")
+            own = np.ones(len(ids), dtype=bool)
+            own[np.cumsum(n) - 1] = False
+            ids[own] = flat[np.repeat(start[some] - ends[:-1], each) + np.arange(ends[-1])]
+            control, data, bytes_of = encode_lists(rank_of[ids], n)
+            columns = [doc_ids.slice(done, upto - done), pa.array(n), pa.array(_checksums(ids, n), pa.int64()), _binary(control, -(-n // 4)), _binary(data, bytes_of)]
+            batches.append(pa.RecordBatch.from_arrays(columns, schema=_CODED))
+            done = upto
+        return pa.Table.from_batches(batches, schema=_CODED)
 
     return run
 
 
 def _decode(id_of: np.ndarray):
     def run(batches):
-        for b in _small_batches(batches):
-            _, n, control, data = (b.column(k).to_pylist() for k in range(4))
-            sums = [zlib.crc32(id_of[decode_ranks(*x)].astype("<u4").tobytes()) for x in zip(control, data, n)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(4), pa.array(sums, pa.int64())], names=["doc_id", "n_tokens", "file", "ids_crc32"])
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                some = b.slice(at, 256)
+                n = some.column(1).to_numpy().astype(np.int64)
+                control, data = (b"".join(some.column(k).to_pylist()) for k in (2, 3))
+                sums = _checksums(id_of[decode_lists(control, data, n)], n)
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(4), pa.array(sums, pa.int64())], names=["doc_id", "n_tokens", "file", "ids_crc32"])
 
     return run
 
@@ -228,19 +360,25 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
     Null ids come first; rows that share an id follow each other. An empty
     table writes files without rows. Extra columns are ignored.
     """
-    spark = docs.sparkSession
-    marked, own = cut_by_spark(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    tokens = docs.select(F.col(id_col).cast("long").alias("doc_id"), marked.alias("marked"), own.alias("own"))
-    ids = Saved(spark, tokens.mapInArrow(_tokenize(tokenizer_path, end_id), "doc_id long, ids binary"), "op5-ids")
-    counts = ids.df.select("ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    spark, text = docs.sparkSession, F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    blocks = bucketed(spark, rows.mapInArrow(_blocks, _BLOCK_SQL), "op5-blocks", "block")
+    words = blocks.where("word IS NOT NULL").select("block", "word", "at", "n")
+    words = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_words(tokenizer_path), _IDS_SQL)
+    encoded = Saved(spark, words, "op5-words")
+    counts = encoded.df.select("sizes", "counts", "ids").mapInArrow(_count_ids, "id long, n long")
+    docs_of = blocks.where("word IS NULL").select("block", "doc_id", "ends", "positions")
+    ends = docs_of.agg(F.lit(end_id).cast("long").alias("id"), F.sum(F.size("doc_id")).alias("n")).where("n > 0")
+    counts = counts.union(ends).groupBy("id").agg(F.sum("n").alias("n"))
     order = W.orderBy(F.col("n").desc(), "id")  # one row per id of the vocabulary
     ranked = counts.select("id", (F.row_number().over(order) - 1).cast("long").alias("rank"), "n")
     ranked.coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of, _ = _rank_arrays(spark.read.parquet(f"{folder}/ranks"))
-    # written before the sort, whose sampling would else encode all a second time
-    coded = Saved(spark, ids.df.mapInArrow(_encode(rank_of), "doc_id long, n_tokens long, tie long, control binary, data binary"), "op5-coded")
+    joined = docs_of.groupBy("block").cogroup(encoded.df.select("block", "at", "sizes", "ids").groupBy("block")).applyInArrow(_join_back(rank_of, end_id), _CODED_SQL)
+    # written before the sort, whose sampling would else join all a second time
+    coded = Saved(spark, joined, "op5-coded")
+    encoded.drop()
     coded.df.orderBy("doc_id", "n_tokens", "tie").drop("tie").write.option("compression", "uncompressed").parquet(f"{folder}/ids")
-    ids.drop()
     coded.drop()
 
 

@@ -35,11 +35,8 @@ def test_hard_texts(spark, tmp_path):
     ], str(tmp_path / "f"))
 
 
-def test_every_plain_character_beside_others(spark, tmp_path):
-    import re
-
-    plain = re.compile(f"[{op.PLAIN}]")
-    chars = [chr(c) for c in range(1, 0xFFFF) if not 0xD800 <= c < 0xE000 and plain.match(chr(c))]
+def test_every_character_beside_others(spark, tmp_path):
+    chars = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000]
     texts = ["".join(f"{c}a{c}{d}B'{c} 1{c}!" for c, d in zip(chars[k : k + 400], chars[k + 1 : k + 401])) for k in range(0, len(chars), 400)]
     texts += ["".join(chars[k::97]) for k in range(97)]
     check(spark, texts, str(tmp_path / "f"))
@@ -56,3 +53,36 @@ def test_start_follows_rows_not_file_names(spark, tmp_path):
         part.rename(folder / "ids" / f"part-{99_998 + k}-{part.name}")
     assert sorted(tuple(r) for r in op.read_token_files(spark, str(folder)).collect()) == want
     assert [s for _, s, _, _ in want] == [sum(n for _, _, n, _ in want[:k]) for k in range(len(want))]
+
+
+def test_empty_table_repeated_rows_and_null_ids(spark, tmp_path):
+    op.write_token_files(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "none"), PATH)
+    assert op.read_token_files(spark, str(tmp_path / "none")).count() == 0
+    given = [(3, "the cat"), (3, "the cat"), (None, "x " * 400_000), (1, None), (3, "the"), (None, "")]
+    df = spark.createDataFrame([(i, t, 7) for i, t in given], "doc_id long, text string, ids_crc32 int").repartition(3)
+    op.write_token_files(df, str(tmp_path / "f"), PATH)
+    got = sorted(op.read_token_files(spark, str(tmp_path / "f")).collect(), key=lambda r: r.start)
+    n = {t: len(LIB.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in given}
+    want = sorted(((i is not None, i or 0, n[t], crc(t)) for i, t in given))
+    assert [(r.doc_id is not None, r.doc_id or 0, r.n_tokens, r.ids_crc32) for r in got] == want
+    assert [r.start for r in got] == [sum(w[2] for w in want[:k]) for k in range(len(want))]
+
+
+def test_hot_word_and_many_blocks(spark, tmp_path):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        check(spark, [f"hot{'!' * (k % 3)} Hot w{k} it's hot {'HOT ' * (k % 50)}" for k in range(300)], str(tmp_path / "f"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_lists_of_codes_round_trip():
+    rng = np.random.default_rng(5)
+    n = rng.integers(0, 9, 200)
+    values = (2.0 ** rng.uniform(0, 32, n.sum())).astype(np.uint32)
+    control, data, sizes = op.encode_lists(values, n)
+    assert (op.decode_lists(control.tobytes(), data.tobytes(), n) == values).all()
+    one = [op.encode_ranks(v) for v in np.split(values, np.cumsum(n)[:-1])]
+    assert b"".join(c for c, _ in one) == control.tobytes() and b"".join(d for _, d in one) == data.tobytes()
+    assert [len(d) for _, d in one] == sizes.tolist()
