@@ -17,13 +17,10 @@ apart from its data bytes. A folder holds
 Decoding looks every control byte up in a 256-row table of lengths, gets all
 offsets from one cumulative sum and gathers the bytes with numpy.
 
-Texts are cut at blanks, across which the tokenizer never joins. A *block* is one
-Arrow batch of documents (64 MB by Spark's default), written as its distinct words
-with their counts and, per document, positions in them. The distinct words of all
-blocks meet by hash, each is encoded once, and the ids go back to their blocks. The
-counts give the ranks before any document is put together, so documents are written
-as coded ranks at once. What travels is one row per block and distinct word, however
-often a word occurs. A block with its words must fit a task.
+Texts are cut at blanks, across which the tokenizer never joins. Each distinct word
+of an Arrow batch of documents (64 MB by Spark's default) is looked up once, in what
+its Python worker remembers of earlier batches, and encoded if it isn't there. The
+batch's ids are counted where they arise.
 """
 
 from __future__ import annotations
@@ -38,23 +35,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flagstar.llm.common import Saved, bucketed, ship, table, worker_cache
-from flagstar.llm.op13_bpe import _pack, _unpack
+from flagstar.llm.common import Saved, ship, table, worker_cache
 from flagstar.session import scratch_dir
 
 ship(__name__)
 
 END_ID = 1
-CACHE_WORDS = 20_000  # a Python worker remembers twice as many pieces at most
+CACHE_WORDS = 300_000  # a Python worker remembers twice as many distinct words at most
 VOCABULARY_BOUND = 1 << 22  # largest vocabulary whose rank table is broadcast
 CUT_ROWS = 512  # documents cut at once
-HELD_WORDS = 1 << 17  # encoded words packed at once
-JOINED_WORDS = 1 << 18  # words replaced by ids at once, or one document's
 
 # ---------------------------------------------------------------- the code
 
@@ -133,7 +126,7 @@ class PieceEncoder:
     Words of printable ASCII characters are lower-cased and cut here and their
     pieces given to the tokenizer's model (no other step changes them); all other
     words, and those with a special token's string, go to the library whole.
-    Pieces are remembered in two generations of at most about ``limit``; when the
+    Words are remembered in two generations of at most about ``limit``; when the
     younger is full, the older is forgotten, but for what was met since. One
     encoder serves all tasks of a Python worker.
     """
@@ -149,140 +142,86 @@ class PieceEncoder:
         self.model = self.tokenizer.model
         self.known, self.older = {}, {}
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = self.older.get(piece)
-            if ids is None:
-                ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-            if len(self.known) >= self.limit:
-                self.known, self.older = {}, self.known
-            self.known[piece] = ids
-        return ids
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        out, other, piece = [], [], self._piece
+    def _encode(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        other, tokenize = [], self.model.tokenize
         for word in words:
             low = word.lower()
             if word.isascii() and word.isprintable() and not any(t in low for t in self.special):
-                out.append(b"".join(map(piece, ASCII_PIECES.findall(low))))
+                yield word, array("I", [t.id for piece in ASCII_PIECES.findall(low) for t in tokenize(piece)]).tobytes()
             else:
-                other.append(len(out))
-                out.append(word)
-        for at in range(0, len(other), 20_000):
-            some = other[at : at + 20_000]
-            for k, e in zip(some, self.tokenizer.encode_batch_fast([out[k] for k in some], add_special_tokens=False)):
-                out[k] = array("I", e.ids).tobytes()
-        return out
-
-
-_BLOCK_SQL = "block long, word string, at int, n long, doc_id array<long>, ends array<long>, positions binary"
-_BLOCK = pa.schema([("block", pa.int64()), ("word", pa.string()), ("at", pa.int32()), ("n", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("positions", pa.binary())])
+                other.append(word)
+        for word, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            yield word, array("I", e.ids).tobytes()
 
-
-def _blocks(batches: Iterator[pa.RecordBatch]):
-    """Per batch one row of its documents and one row per distinct word."""
-    from pyspark import TaskContext
-
-    block = TaskContext.get().partitionId() << 32
-    for b in batches:
-        if not b.num_rows:
-            continue
-        doc_ids = b.column(0).to_pylist()
-        parts, sizes = [], []
-        for at in range(0, b.num_rows, CUT_ROWS):
-            texts = pc.replace_substring(pc.replace_substring(b.column(1).slice(at, CUT_ROWS), "\n", " "), "\t", " ")
-            lists = pc.split_pattern(texts, " ")
-            sizes.append(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
-            parts.append(lists.flatten().dictionary_encode())
-        del b, texts, lists
-        # common numbers for the words of all parts, most frequent word first
-        coded = pa.chunked_array(parts).unify_dictionaries()
-        distinct, at = coded.chunk(0).dictionary, np.concatenate([c.indices.to_numpy() for c in coded.chunks])
-        del parts, coded
-        count = np.bincount(at, minlength=len(distinct))
-        order = np.argsort(-count, kind="stable")
-        place = np.empty(len(order), dtype=np.uint32)
-        place[order] = np.arange(len(order))
-        docs = [block, None, None, None, doc_ids, np.cumsum(np.concatenate(sizes)).tolist(), _pack(place[at])]
-        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(docs, _BLOCK)], schema=_BLOCK)
-        for k in range(0, len(order), 10_000):
-            some = order[k : k + 10_000]
-            columns = [pa.array(np.full(len(some), block)), distinct.take(pa.array(some)), pa.array(np.arange(k, k + len(some), dtype=np.int32)), pa.array(count[some])]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(some), f.type) for f in list(_BLOCK)[4:])], schema=_BLOCK)
-        del distinct, at, docs
-        pa.default_memory_pool().release_unused()
-        block += 1
-
-
-_IDS = ["at", "sizes", "counts", "ids"]
-_IDS_SQL = "block long, at binary, sizes binary, counts binary, ids binary"
-
-
-def _packed(held: list[tuple]) -> pa.RecordBatch:
-    """One row per block: places of its words, ids of each, occurrences of each, all ids."""
-    block, at, count, size = (np.concatenate([h[k] for h in held]) for k in range(4))
-    every, start = np.concatenate([h[4] for h in held]), _starts(size)
-    by, rows = np.lexsort((at, block)), []
-    for some in np.split(by, np.flatnonzero(np.diff(block[by])) + 1):
-        each = size[some]
-        ids = every[np.repeat(start[some] - _starts(each), each) + np.arange(each.sum())]
-        rows.append((int(block[some[0]]), _pack(np.diff(at[some], prepend=0)), _pack(each), _pack(count[some]), zstandard.compress(ids.tobytes(), 3)))
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int64()) for k, c in enumerate(zip(*rows))], names=["block", *_IDS])
-
-
-def _encode_words(path: str):
-    """Ids of words that come sorted: each distinct word is encoded once (again, if
-    it stands across the edge of a batch). Packed by block, HELD_WORDS at a time."""
+    def ids(self, words: list[str]) -> list[bytes]:
+        if len(self.known) > self.limit:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        lacking = [w for w in words if w not in known]
+        known.update((w, older[w]) for w in lacking if w in older)
+        new = [w for w in lacking if w not in older]
+        for at in range(0, len(new), 20_000):
+            known.update(self._encode(new[at : at + 20_000]))
+        return [known[w] for w in words]
+
+
+def _words(texts: pa.Array) -> tuple[list[pa.Array], list[np.ndarray], pa.Array]:
+    """Texts as positions in their distinct words (some texts at a time), the
+    number of words of each text, and the distinct words."""
+    parts, sizes = [], []
+    for at in range(0, len(texts), CUT_ROWS):
+        some = pc.replace_substring(pc.replace_substring(texts.slice(at, CUT_ROWS), "\n", " "), "\t", " ")
+        lists = pc.split_pattern(some, " ")
+        sizes.append(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+        parts.append(lists.flatten().dictionary_encode())
+    coded = pa.chunked_array(parts).unify_dictionaries()
+    return [c.indices for c in coded.chunks], sizes, coded.chunk(0).dictionary
+
+
+def _tokenize(path: str, end_id: int):
+    """Rows (doc_id, ids, null) of documents, and per batch a row (null, null, counts)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 
     def run(batches):
         encoders = worker_cache("op5-encoders")
         if path not in encoders:
             encoders[path] = PieceEncoder(path)
-        held, n = [], 0
         for b in batches:
             if not b.num_rows:
                 continue
-            coded = b.column(1).dictionary_encode()
-            ids = encoders[path].ids(coded.dictionary.to_pylist())
-            width = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            flat, at = np.frombuffer(b"".join(ids), dtype="<u4"), coded.indices.to_numpy()
-            each = width[at]
-            every = flat[np.repeat(_starts(width)[at] - _starts(each), each) + np.arange(each.sum())]
-            held.append((b.column(0).to_numpy(), b.column(2).to_numpy(), b.column(3).to_numpy(), each, every))
-            n += len(at)
-            if n >= HELD_WORDS:
-                yield _packed(held)
-                held, n = [], 0
-        if held:
-            yield _packed(held)
+            doc_ids, total = b.column(0), np.zeros(0, dtype=np.int64)
+            parts, sizes, distinct = _words(b.column(1))
+            known = encoders[path].ids(distinct.to_pylist())
+            del b, distinct
+            width = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            flat, start, done = np.frombuffer(b"".join(known), dtype="<u4"), _starts(width), 0
+            del known
+            for part, size in zip(parts, sizes):  # some documents at a time: the work arrays stay small
+                some = part.to_numpy()
+                each = width[some]
+                ends = np.concatenate(([0], np.cumsum(each)))
+                n = np.diff(ends[np.concatenate(([0], np.cumsum(size)))]) + 1  # with the end id
+                ids = np.full(int(n.sum()), end_id, dtype="<u4")
+                own = np.ones(len(ids), dtype=bool)
+                own[np.cumsum(n) - 1] = False
+                ids[own] = flat[np.repeat(start[some] - ends[:-1], each) + np.arange(ends[-1])]
+                count = np.bincount(ids, minlength=len(total))
+                count[: len(total)] += total
+                total = count
+                yield pa.RecordBatch.from_arrays([doc_ids.slice(done, len(n)), _binary(ids.view(np.uint8), 4 * n), pa.nulls(len(n), pa.binary())], schema=schema)
+                done += len(n)
+            seen = np.flatnonzero(total)
+            told = np.stack((seen, total[seen])).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([told], pa.binary())], schema=schema)
 
     return run
 
 
-def _unpacked(words: pa.RecordBatch | pa.Table, names: list[str]) -> Iterator[np.ndarray]:
-    for name in names:
-        rows = words.column(name).to_pylist()
-        raw = [np.frombuffer(zstandard.decompress(x), dtype="<u4") if name == "ids" else _unpack(x) for x in rows]
-        yield np.concatenate([np.cumsum(x) for x in raw] if name == "at" else raw)
-
-
 def _count_ids(batches):
-    """(id, n) for the ids of all words, as often as the words occur."""
-    total = np.zeros(0, dtype=np.int64)
     for b in batches:
-        for at in range(b.num_rows):
-            sizes, counts, ids = _unpacked(b.slice(at, 1), ["sizes", "counts", "ids"])
-            # sums below 2^53 are exact in double precision
-            part = np.bincount(ids, weights=np.repeat(counts, sizes), minlength=len(total)).astype(np.int64)
-            part[: len(total)] += total
-            total = part
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
-
-
-_CODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("tie", pa.int64()), ("control", pa.binary()), ("data", pa.binary())])
-_CODED_SQL = "doc_id long, n_tokens long, tie long, control binary, data binary"
+        for told in b.column(0).to_pylist():
+            seen, n = np.frombuffer(told, dtype="<i8").reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n)], names=["id", "n"])
 
 
 def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -295,36 +234,16 @@ def _checksums(ids: np.ndarray, n: np.ndarray) -> list[int]:
     return [zlib.crc32(raw[x:y]) for x, y in zip(cuts, cuts[1:])]
 
 
-def _join_back(rank_of: np.ndarray, end_id: int):
-    """A block's documents as coded ranks of their words' ids."""
-
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        if docs.num_rows != 1:
-            raise ValueError("words of a block without its documents")
-        at, sizes, flat = _unpacked(words, ["at", "sizes", "ids"])
-        if len(at) != int(at.max()) + 1:
-            raise ValueError("a block lacks words")
-        start, size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
-        start[at], size[at] = _starts(sizes.astype(np.int64)), sizes
-        positions = _unpack(docs.column("positions")[0].as_py())
-        word_ends = docs.column("ends")[0].values.to_numpy()
-        doc_ids, batches, done = docs.column("doc_id")[0].values, [], 0
-        while done < len(word_ends):  # some documents at a time: the work arrays stay small
-            first = word_ends[done - 1] if done else 0
-            upto = max(done + 1, int(np.searchsorted(word_ends, first + JOINED_WORDS)))
-            some = positions[first : word_ends[upto - 1]]
-            each = size[some]
-            ends = np.concatenate(([0], np.cumsum(each)))
-            n = np.diff(ends[word_ends[done:upto] - first], prepend=0) + 1  # with the end id
-            ids = np.full(int(n.sum()), end_id, dtype="<u4")
-            own = np.ones(len(ids), dtype=bool)
-            own[np.cumsum(n) - 1] = False
-            ids[own] = flat[np.repeat(start[some] - ends[:-1], each) + np.arange(ends[-1])]
-            control, data, bytes_of = encode_lists(rank_of[ids], n)
-            columns = [doc_ids.slice(done, upto - done), pa.array(n), pa.array(_checksums(ids, n), pa.int64()), _binary(control, -(-n // 4)), _binary(data, bytes_of)]
-            batches.append(pa.RecordBatch.from_arrays(columns, schema=_CODED))
-            done = upto
-        return pa.Table.from_batches(batches, schema=_CODED)
+def _encode(rank_of: np.ndarray):
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                some = b.slice(at, 256)
+                n = pc.binary_length(some.column(1)).to_numpy().astype(np.int64) // 4
+                ids = np.frombuffer(b"".join(some.column(1).to_pylist()), dtype="<u4")
+                control, data, bytes_of = encode_lists(rank_of[ids], n)
+                columns = [some.column(0), pa.array(n), pa.array(_checksums(ids, n), pa.int64()), _binary(control, -(-n // 4)), _binary(data, bytes_of)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "tie", "control", "data"])
 
     return run
 
@@ -362,22 +281,16 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
     """
     spark, text = docs.sparkSession, F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    blocks = bucketed(spark, rows.mapInArrow(_blocks, _BLOCK_SQL), "op5-blocks", "block")
-    words = blocks.where("word IS NOT NULL").select("block", "word", "at", "n")
-    words = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_words(tokenizer_path), _IDS_SQL)
-    encoded = Saved(spark, words, "op5-words")
-    counts = encoded.df.select("sizes", "counts", "ids").mapInArrow(_count_ids, "id long, n long")
-    docs_of = blocks.where("word IS NULL").select("block", "doc_id", "ends", "positions")
-    ends = docs_of.agg(F.lit(end_id).cast("long").alias("id"), F.sum(F.size("doc_id")).alias("n")).where("n > 0")
-    counts = counts.union(ends).groupBy("id").agg(F.sum("n").alias("n"))
+    ids = Saved(spark, rows.mapInArrow(_tokenize(tokenizer_path, end_id), "doc_id long, ids binary, counts binary"), "op5-ids")
+    counts = ids.df.select("counts").where("counts IS NOT NULL").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     order = W.orderBy(F.col("n").desc(), "id")  # one row per id of the vocabulary
     ranked = counts.select("id", (F.row_number().over(order) - 1).cast("long").alias("rank"), "n")
     ranked.coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of, _ = _rank_arrays(spark.read.parquet(f"{folder}/ranks"))
-    joined = docs_of.groupBy("block").cogroup(encoded.df.select("block", "at", "sizes", "ids").groupBy("block")).applyInArrow(_join_back(rank_of, end_id), _CODED_SQL)
-    # written before the sort, whose sampling would else join all a second time
-    coded = Saved(spark, joined, "op5-coded")
-    encoded.drop()
+    documents = ids.df.where("ids IS NOT NULL").select("doc_id", "ids")
+    # written before the sort, whose sampling would else encode all a second time
+    coded = Saved(spark, documents.mapInArrow(_encode(rank_of), "doc_id long, n_tokens long, tie long, control binary, data binary"), "op5-coded")
+    ids.drop()
     coded.df.orderBy("doc_id", "n_tokens", "tie").drop("tie").write.option("compression", "uncompressed").parquet(f"{folder}/ids")
     coded.drop()
 
