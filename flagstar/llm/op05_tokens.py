@@ -143,11 +143,13 @@ class PieceEncoder:
         self.known, self.older = {}, {}
 
     def _encode(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        other, tokenize = [], self.model.tokenize
+        other, tokenize, every = [], self.model.tokenize, " ".join(words).lower()
+        special = [t for t in self.special if t in every]
         for word in words:
             low = word.lower()
-            if word.isascii() and word.isprintable() and not any(t in low for t in self.special):
-                yield word, array("I", [t.id for piece in ASCII_PIECES.findall(low) for t in tokenize(piece)]).tobytes()
+            if word.isascii() and word.isprintable() and not (special and any(t in low for t in special)):
+                pieces = (low,) if low.isalpha() else ASCII_PIECES.findall(low)
+                yield word, array("I", [t.id for piece in pieces for t in tokenize(piece)]).tobytes()
             else:
                 other.append(word)
         for word, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
