@@ -199,18 +199,26 @@ def star_view(fact: DataFrame, dims: Sequence[DimRef]) -> DataFrame:
     Colliding attribute names must be renamed through ``DimRef.rename``; the
     join keys appear once. Each dimension is broadcast only when its row
     count is under ``broadcast_max_rows``; otherwise the planner shuffles
-    (and AQE splits skewed fact keys).
+    (and AQE splits skewed fact keys). Dimensions that may be shuffled are
+    joined first, so that a shuffle moves the fact without the attributes of
+    those that are broadcast for certain; the columns keep the order of ``dims``.
     """
-    out = fact
+    out, columns, joins = fact, list(fact.columns), []
     for ref in dims:
         dim = ref.df.withColumnsRenamed(dict(ref.rename)) if ref.rename else ref.df
-        clash = (set(dim.columns) - {ref.key}) & set(out.columns)
-        if clash:
+        added = [c for c in dim.columns if c != ref.key]
+        if clash := set(added) & set(columns):
             raise ValueError(f"columns {sorted(clash)} exist on both sides; rename them")
-        dim = bounded_broadcast(dim, ref.broadcast_max_rows, ref.known_rows)
         fk = ref.fact_key or ref.key
-        if fk == ref.key:
-            out = out.join(dim, on=ref.key, how="inner")
+        # as a join on a common column returns them: that column first
+        columns = [fk, *[c for c in columns if c != fk], *added] if fk == ref.key else [*columns, *added]
+        hinted = bounded_broadcast(dim, ref.broadcast_max_rows, ref.known_rows)
+        joins.append((hinted is not dim, hinted, fk, ref.key))
+    if all(fk in fact.columns for _, _, fk, _ in joins):  # none hangs on another's attribute
+        joins.sort(key=lambda j: j[0])
+    for _, dim, fk, key in joins:
+        if fk == key:
+            out = out.join(dim, on=key, how="inner")
         else:
-            out = out.join(dim, out[fk] == dim[ref.key], "inner").drop(dim[ref.key])
-    return out
+            out = out.join(dim, out[fk] == dim[key], "inner").drop(dim[key])
+    return out if out.columns == columns else out.select(*columns)

@@ -39,6 +39,7 @@ from flagstar.operators.star import (
     calendar_from_bounds,
     calendar_size,
     date_bound_metrics,
+    date_bounds,
     fact_build,
     project_dim,
     star_view,
@@ -86,18 +87,22 @@ def _flags_text(col: str = FLAG_COL) -> F.Column:
 
 
 # --------------------------------------------------------------------- roles
+def _appointment_time() -> F.Column:
+    """A line item's appointment time: its ship date, where that counts as recorded."""
+    return F.when(F.col("l_linenumber") == MISSING_DATE_LINE, F.lit(None)).otherwise(F.col("l_shipdate"))
+
+
 def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The "citas" role: line items joined to their orders."""
     li = _t(spark, sf_dir, "lineitem")
     o = _t(spark, sf_dir, "orders")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-    ship = F.col("l_shipdate")
     return j.select(
         *[li[c] for c in APPT_KEY],
         F.col("o_custkey").alias("id_paciente"),
         li["l_suppkey"].alias("id_doctor"),
-        F.when(F.col("l_linenumber") == MISSING_DATE_LINE, F.lit(None)).otherwise(ship).alias("fecha_hora"),
-        F.datediff(F.to_date(ship), F.to_date(F.col("o_orderdate"))).alias("tiempo_espera_minutos"),
+        _appointment_time().alias("fecha_hora"),
+        F.datediff(F.to_date(F.col("l_shipdate")), F.to_date(F.col("o_orderdate"))).alias("tiempo_espera_minutos"),
         F.col("l_quantity").alias("duracion_minutos"),
         F.col("l_extendedprice").alias("costo"),
         F.col("l_returnflag").alias("estado"),
@@ -160,6 +165,29 @@ def silver_and_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Di
     return silver, DimRef(calendar_from_bounds(spark, lo, hi), "id_tiempo", known_rows=calendar_size(lo, hi))
 
 
+def covering_calendar(spark: SparkSession, sf_dir: str) -> DimRef:
+    """A calendar for all line items' appointment times.
+
+    Every Silver date is one of them, so each fact finds its day; days outside
+    the fact's own range find no fact. One column is scanned, nothing shuffled
+    but two dates a task.
+    """
+    times = _t(spark, sf_dir, "lineitem").select(_appointment_time().alias("fecha_hora"))
+    lo, hi = date_bounds(times, "fecha_hora")
+    return DimRef(calendar_from_bounds(spark, lo, hi), "id_tiempo", known_rows=calendar_size(lo, hi))
+
+
+def doctor_ref(spark: SparkSession, sf_dir: str) -> DimRef:
+    """The doctor dimension with its row count.
+
+    Spark takes the product of the two tables' sizes as the size of suppliers
+    joined to nations, and would shuffle the fact for a dimension that is small;
+    counting it reads three short columns.
+    """
+    doctors = doctor_dim(spark, sf_dir)
+    return DimRef(doctors, "id_doctor", known_rows=doctors.count())
+
+
 def star_with_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star with date attributes computed from each appointment's own date
     instead of joined from the calendar (same rows and values; one plan)."""
@@ -168,7 +196,7 @@ def star_with_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_view(
         dated,
         [
-            DimRef(doctor_dim(spark, sf_dir), "id_doctor"),
+            doctor_ref(spark, sf_dir),
             DimRef(patient_dim(spark, sf_dir), "id_paciente", rename={"nombre": "nombre_paciente"}),
         ],
     )
@@ -178,23 +206,17 @@ def star(spark: SparkSession, sf_dir: str, with_calendar: bool = True) -> DataFr
     """Fact with doctor, date and patient dimensions (P7 renames).
 
     The calendar covers every date of the fact by construction (each fact
-    key is a day between the fact's own first and last date, or the unknown
-    member), so joining it never drops a row; it only adds date attributes.
-    Marts that use none of them pass ``with_calendar=False``: same rows, and
-    no Silver write is needed to size the calendar, so the whole mart is one
-    plan.
+    key is a day of some line item, or the unknown member), so joining it never
+    drops a row; it only adds date attributes. Marts that use none of them pass
+    ``with_calendar=False``: same rows. The star reads Silver once, so Silver is
+    not written for it.
     """
-    if with_calendar:
-        silver, cal = silver_and_calendar(spark, sf_dir)
-        dims = [cal]
-    else:
-        silver, dims = silver_appointments(spark, sf_dir), []
-    f = fact_build(silver, "fecha_hora", FACT_COLUMNS)
+    f = fact_build(silver_appointments(spark, sf_dir), "fecha_hora", FACT_COLUMNS)
     return star_view(
         f,
         [
-            DimRef(doctor_dim(spark, sf_dir), "id_doctor"),
-            *dims,
+            doctor_ref(spark, sf_dir),
+            *([covering_calendar(spark, sf_dir)] if with_calendar else []),
             DimRef(patient_dim(spark, sf_dir), "id_paciente", rename={"nombre": "nombre_paciente"}),
         ],
     )

@@ -104,3 +104,70 @@ def test_star_view_broadcasts_only_under_the_row_cap(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_star_view_shuffles_the_fact_before_broadcast_attributes_widen_it(spark):
+    from helpers import plan_text
+
+    fact = spark.createDataFrame([(1, 10, 100), (2, 11, 101), (3, 99, 100), (4, 10, 999), (5, None, 100)],
+                                 "id int, id_doctor int, id_paciente int")
+    doc = spark.createDataFrame([(10, "Dr A"), (11, "Dr B"), (11, "Dr C")], "id_doctor int, nombre string")
+    pat = spark.createDataFrame([(100, "Ana"), (101, None)], "id_paciente int, paciente string")
+    dims = [DimRef(doc, "id_doctor", known_rows=3), DimRef(pat, "id_paciente")]
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    try:
+        s = star_view(fact, dims)
+        simple = plan_text(s, "simple")
+        assert simple.index("BroadcastHashJoin") < simple.index("SortMergeJoin")  # the outer join is printed first
+        assert s.columns == ["id_paciente", "id_doctor", "id", "nombre", "paciente"]
+        assert sorted(map(tuple, s.collect()), key=repr) == [
+            (100, 10, 1, "Dr A", "Ana"), (101, 11, 2, "Dr B", None), (101, 11, 2, "Dr C", None)]
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+
+
+def test_star_view_joins_an_attribute_of_an_earlier_dimension(spark):
+    fact = spark.createDataFrame([(1, 10), (2, 11)], "id int, id_doctor int")
+    doc = spark.createDataFrame([(10, 7), (11, 8)], "id_doctor int, id_area int")
+    area = spark.createDataFrame([(7, "Norte")], "clave int, area string")
+    s = star_view(fact, [DimRef(doc, "id_doctor", known_rows=2), DimRef(area, "clave", fact_key="id_area")])
+    assert s.columns == ["id_doctor", "id", "id_area", "area"]
+    assert [tuple(r) for r in s.collect()] == [(10, 1, 7, "Norte")]
+
+
+def test_star_query_writes_no_silver_and_shuffles_no_fact_by_doctor(spark, tmp_path, monkeypatch):
+    from helpers import plan_text
+
+    from flagstar.plans import driver_tables as D
+
+    day = lambda d: dt.datetime(2024, 1, d, 10)
+    tables = {
+        "lineitem": ([(1, 5, 10, 1, 2.0, 9.0, "A", day(6)), (1, 5, 10, 1, 2.0, 9.0, "A", day(9)), (1, 6, 11, 7, 1.0, 8.0, "R", day(30)),
+                      (2, 5, 77, 1, 1.0, 8.0, "R", day(20)), (None, 5, 10, 1, 1.0, 8.0, "R", day(31)), (1, 7, 11, 2, 1.0, 8.0, "N", None)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+                     " l_returnflag string, l_shipdate timestamp"),
+        "orders": ([(1, 100, day(2)), (2, 100, day(3))], "o_orderkey long, o_custkey long, o_orderdate timestamp"),
+        "customer": ([(100, "Ana", 3, "BUILDING", 1.0)],
+                     "c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double"),
+        "supplier": ([(10, "Dr A", 1), (11, "Dr B", 1)], "s_suppkey long, s_name string, s_nationkey int"),
+        "nation": ([(1, "N1")], "n_nationkey int, n_name string"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(D, "materialize", lambda *a, **k: pytest.fail("Silver written for one reader"))
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    try:
+        s = D.q_star_view(spark, str(tmp_path))
+        plan = plan_text(s, "simple")
+        assert "hashpartitioning(id_paciente" in plan and "hashpartitioning(id_doctor" not in plan
+        got = s.select("l_linenumber", "nombre", "id_tiempo", "fecha", "dia_semana", "nombre_paciente", "tiene_flag_calidad")
+        assert sorted(map(tuple, got.collect())) == [
+            (1, "Dr A", 20240106, dt.date(2024, 1, 6), "Saturday", "Ana", False),
+            (2, "Dr B", -1, None, "Desconocido", "Ana", True),
+            (7, "Dr B", -1, None, "Desconocido", "Ana", True)]
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
