@@ -17,17 +17,17 @@ apart from its data bytes. A folder holds
 Decoding looks every control byte up in a 256-row table of lengths, gets all
 offsets from one cumulative sum and gathers the bytes with numpy.
 
-Texts are cut at blanks, across which the tokenizer never joins. Each distinct word
-of an Arrow batch of documents (64 MB by Spark's default) is looked up once, in what
-its Python worker remembers of earlier batches, and encoded if it isn't there. The
-batch's ids are counted where they arise.
+Texts are cut at blanks, across which the tokenizer never joins, and the distinct
+words of an Arrow batch of documents (64 MB by Spark's default) into the tokenizer's
+pieces. Each distinct piece is looked up once, in what its Python worker remembers of
+earlier batches, and encoded if it isn't there. The batch's ids are counted where
+they arise.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -102,9 +102,13 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 # ------------------------------------------------------------ tokenization
 
-# The tokenizer's own cut (fixed value), and what it comes to within ASCII
+# The tokenizer's own cut (fixed value)
 CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Printable ASCII and letters that NFC leaves alone and that lower-case one to one,
+# whatever stands beside them; and what the cut comes to within these, lower-cased
+LETTERS = "À-ÖØ-öø-įıĲ-ſЀ-џ"
+PLAIN = f"^[!-~{LETTERS}]+$"
+PIECE = f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[!-/:-@\\[-`{{-~]+"
 
 
 def _described(path: str) -> dict:
@@ -120,15 +124,31 @@ def _described(path: str) -> dict:
     return told
 
 
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [c for c in range(256) if c not in shown]
+    return [chr(c if c in shown else 256 + hidden.index(c)) for c in range(256)]
+
+
+def _gather(flat: np.ndarray, width: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists at ``places`` among lists of ``width`` values that stand behind
+    each other in ``flat``, behind each other, and where each ends, from 0 on."""
+    each = width[places]
+    ends = np.concatenate(([0], np.cumsum(each)))
+    return flat[np.repeat(_starts(width)[places] - ends[:-1], each) + np.arange(ends[-1])], ends
+
+
 class PieceEncoder:
     """Token ids of words without blanks.
 
-    Words of printable ASCII characters are lower-cased and cut here and their
-    pieces given to the tokenizer's model (no other step changes them); all other
-    words, and those with a special token's string, go to the library whole.
-    Words are remembered in two generations of at most about ``limit``; when the
-    younger is full, the older is forgotten, but for what was met since. One
-    encoder serves all tasks of a Python worker.
+    Plain words are lower-cased and cut here, for many words at once, and their
+    pieces given to the tokenizer's model (no other step changes them but the one
+    that shows bytes as characters); all other words, and those with a special
+    token's string, go to the library whole. Pieces and such words are remembered
+    in two generations of at most about ``limit``; when the younger is full, the
+    older is forgotten, but for what was met since. One encoder serves all tasks of
+    a Python worker.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
@@ -139,30 +159,57 @@ class PieceEncoder:
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
+        self.model, self.shown = self.tokenizer.model, dict(enumerate(_byte_characters()))
         self.known, self.older = {}, {}
 
-    def _encode(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        other, tokenize = [], self.model.tokenize
-        for word in words:
-            low = word.lower()
-            if word.isascii() and word.isprintable() and not any(t in low for t in self.special):
-                yield word, array("I", [t.id for piece in ASCII_PIECES.findall(low) for t in tokenize(piece)]).tobytes()
+    def _fit(self, words: pa.Array, low: pa.Array, pattern: str) -> pa.Array:
+        """Which words match the pattern and hold no special token's string."""
+        fit = pc.match_substring_regex(words, pattern)
+        for t in self.special:
+            fit = pc.and_not(fit, pc.match_substring(low, t))
+        return fit
+
+    def _pieces(self, words: pa.Array) -> pa.Array:
+        """The pieces of each plain word, every other word as it is."""
+        low = pc.utf8_lower(words)
+        cut = pc.utf8_rtrim(pc.replace_substring_regex(low, f"({PIECE})", r"\1 "), " ")
+        return pc.split_pattern(pc.if_else(self._fit(words, low, PLAIN), cut, words), " ")
+
+    def _encode(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
+        other, tokenize, given = [], self.model.tokenize, pa.array(units, pa.string())
+        for unit, is_piece in zip(units, self._fit(given, pc.utf8_lower(given), f"^(?:{PIECE})$").to_pylist()):
+            if is_piece:
+                shown = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.shown)
+                yield unit, array("I", [t.id for t in tokenize(shown)]).tobytes()
             else:
-                other.append(word)
-        for word, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            yield word, array("I", e.ids).tobytes()
+                other.append(unit)
+        for unit, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            yield unit, array("I", e.ids).tobytes()
 
-    def ids(self, words: list[str]) -> list[bytes]:
+    def _known(self, units: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        lacking = [w for w in words if w not in known]
-        known.update((w, older[w]) for w in lacking if w in older)
-        new = [w for w in lacking if w not in older]
+        lacking = [u for u in units if u not in known]
+        known.update((u, older[u]) for u in lacking if u in older)
+        new = [u for u in lacking if u not in older]
         for at in range(0, len(new), 20_000):
             known.update(self._encode(new[at : at + 20_000]))
-        return [known[w] for w in words]
+        return [known[u] for u in units]
+
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words behind each other, and their number for every word."""
+        lists = self._pieces(words)
+        n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        known = self._known(coded.dictionary.to_pylist())
+        width = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat, ends = _gather(np.frombuffer(b"".join(known), dtype="<u4"), width, coded.indices.to_numpy())
+        return flat, np.diff(ends[np.concatenate(([0], np.cumsum(n)))])
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        flat, width = self.encoded(pa.array(words, pa.string()))
+        return [part.tobytes() for part in np.split(flat, np.cumsum(width)[:-1])] if words else []
 
 
 def _words(texts: pa.Array) -> tuple[list[pa.Array], list[np.ndarray], pa.Array]:
@@ -191,20 +238,16 @@ def _tokenize(path: str, end_id: int):
                 continue
             doc_ids, total = b.column(0), np.zeros(0, dtype=np.int64)
             parts, sizes, distinct = _words(b.column(1))
-            known = encoders[path].ids(distinct.to_pylist())
-            del b, distinct
-            width = np.fromiter(map(len, known), np.int64, len(known)) // 4
-            flat, start, done = np.frombuffer(b"".join(known), dtype="<u4"), _starts(width), 0
-            del known
+            del b
+            (flat, width), done = encoders[path].encoded(distinct), 0
+            del distinct
             for part, size in zip(parts, sizes):  # some documents at a time: the work arrays stay small
-                some = part.to_numpy()
-                each = width[some]
-                ends = np.concatenate(([0], np.cumsum(each)))
+                found, ends = _gather(flat, width, part.to_numpy())
                 n = np.diff(ends[np.concatenate(([0], np.cumsum(size)))]) + 1  # with the end id
                 ids = np.full(int(n.sum()), end_id, dtype="<u4")
                 own = np.ones(len(ids), dtype=bool)
                 own[np.cumsum(n) - 1] = False
-                ids[own] = flat[np.repeat(start[some] - ends[:-1], each) + np.arange(ends[-1])]
+                ids[own] = found
                 count = np.bincount(ids, minlength=len(total))
                 count[: len(total)] += total
                 total = count

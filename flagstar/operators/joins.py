@@ -13,9 +13,10 @@ def bounded_broadcast(
     df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None
 ) -> DataFrame:
     """``broadcast(df)`` where ``known_rows`` (a size known by construction, as
-    of a generated calendar) is at most ``max_rows``; else ``df`` as it is.
+    of a generated calendar, or counted by the caller) is at most ``max_rows``;
+    else ``df`` as it is.
 
-    No job runs while a plan is built: for tables whose size is not known,
+    No job runs here: for tables whose size is not known,
     Spark's byte threshold and AQE decide from file and shuffle sizes.
     """
     if max_rows <= 0 or known_rows is None or known_rows > max_rows:

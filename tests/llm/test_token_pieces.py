@@ -1,9 +1,11 @@
 """Token ids by pieces against the tokenizers library on whole texts; file order."""
 
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from flagstar.llm import op05_tokens as op
@@ -86,3 +88,26 @@ def test_lists_of_codes_round_trip():
     one = [op.encode_ranks(v) for v in np.split(values, np.cumsum(n)[:-1])]
     assert b"".join(c for c, _ in one) == control.tobytes() and b"".join(d for _, d in one) == data.tobytes()
     assert [len(d) for _, d in one] == sizes.tolist()
+
+
+def test_plain_characters_are_cut_as_the_library_cuts_them():
+    """Every plain character alone, and all pairs of a choice of them, between others."""
+    own, plain = op.PieceEncoder(PATH), [chr(c) for c in range(33, 0x600) if re.fullmatch(op.PLAIN, chr(c))]
+    assert len(plain) > 300 and not {"İ", "×", "÷", "Σ", "²", "́"} & set(plain)
+    some = [*"aSTtVe'!9~", *"ÀßÿŐŉſЀйџ"]
+    words = [f"{x}{c}{y}" for c in plain for x in ("", "a'", "É1", "!") for y in ("", "s", "Ж,")]
+    words += [f"{a}{b}{c}" for a in some for b in some for c in some] + [f"'{a}{b}'{c}" for a in "sSrlvd" for b in "aelLE" for c in "sté"]
+    words += ["a<|endoftext|>b", "x<|STARTOFTEXT|>", "", "ΑΣ", "İ", "é", "x\x0by"]
+    for word, raw in zip(words, own.ids(words), strict=True):
+        assert np.frombuffer(raw, dtype="<u4").tolist() == LIB.encode(word, add_special_tokens=False).ids, word
+
+
+def test_a_piece_is_encoded_once_whatever_stands_beside_it(monkeypatch):
+    """Case and punctuation make no new pieces, and letters beyond ASCII need no whole pass of the library."""
+    own, seen = op.PieceEncoder(PATH), []
+    asked = own._encode
+    monkeypatch.setattr(own, "_encode", lambda units: asked(seen.append(units) or units))
+    monkeypatch.setattr(own, "tokenizer", type("Library", (), {"encode_batch_fast": lambda self, words, **_: [pytest.fail(w) for w in words]})())
+    own.ids(["Café", "café,", "CAFÉ!!", "(café)", "Дом", "дом,"])
+    own.ids(["dog", "Dog!!", "CAFÉ,"])
+    assert sorted(u for units in seen for u in units) == sorted(["café", ",", "!!", "(", ")", "дом", "dog"])
